@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from flowgrid.functions.columns import duration_minutes, haversine_km, normalize_station_id
 from flowgrid.operators.joins import bounded_broadcast
 from flowgrid.operators.scan import exact_quantiles
+from flowgrid.session import materialize
 
 TRIP_REQUIRED = ["started_at", "ended_at", "start_station_id", "end_station_id", "rideable_type", "member_casual"]
 STATION_REQUIRED = ["id", "short_name", "station_id", "name", "capacity", "lat"]
@@ -99,10 +100,13 @@ def clean_trips(trips: DataFrame, stations: DataFrame, *, min_minutes: float = 1
         t = with_duration(t)
         t = filter_duration_range(t, "duration_minutes", min_minutes, max_minutes)
         if trims:
+            # read by two statistics passes and the final filter: write once
+            t = materialize(t, "trips-in-range")
             t = trim_quantiles(t, "duration_minutes", q_lo, q_hi)
     elif order == "quantiles_then_range":
         t = with_duration(t, round_to=2)
         if trims:
+            t = materialize(t, "trips-timed")
             t = trim_quantiles(t, "duration_minutes", q_lo, q_hi)
         t = filter_duration_range(t, "duration_minutes", min_minutes, max_minutes)
     else:

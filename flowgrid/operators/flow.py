@@ -174,8 +174,11 @@ def build_grid(trips: DataFrame, stations: DataFrame, weather: DataFrame, holida
     from flowgrid.operators.clean import clean_trips
 
     t = clean_trips(trips, stations, trims=trims, **(clean_kwargs or {}))
-    net = dedup_keep_best(net_flow_single_pass(t, sign))
-    wf = weather_hourly_filled(weather_hourly_dedup(weather, weather_digits))
+    # net flow (<= stations x hours rows) and the filled weather (<= hours rows)
+    # are small and reused by the spine, the size checks and the joins: cut
+    # their lineage once in the shared checkpoint folder.
+    net = dedup_keep_best(net_flow_single_pass(t, sign)).checkpoint()
+    wf = weather_hourly_filled(weather_hourly_dedup(weather, weather_digits)).checkpoint()
     g = left_grid_fill(dense_index(net, spine_mode), net)
     g = left_weather(g, wf)
     g = g.withColumns({"year": F.year("date_hour"), "month": F.month("date_hour"),

@@ -127,7 +127,8 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], buckets: in
     """
     v = df.select(F.col(col).cast("double").alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v"))
     vc = v.groupBy("v").agg(F.count(F.lit(1)).alias("n"))
-    total = vc.agg(F.sum("n")).first()[0] or 0
+    total, n_distinct = vc.agg(F.sum("n"), F.count(F.lit(1))).first()
+    total = total or 0
     if total == 0:
         return [None for _ in probs]
 
@@ -137,10 +138,11 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], buckets: in
         want[math.floor(pos)] = None
         want[math.ceil(pos)] = None
 
-    def select_ranks(frame: DataFrame, ranks: list[int], lo_base: int) -> None:
+    def select_ranks(frame: DataFrame, ranks: list[int], lo_base: int, nrows: int | None = None,
+                     depth: int = 0) -> None:
         # frame: (v, n) rows; ranks are global 0-based ranks; lo_base = rows before frame
-        nrows = frame.count()
-        if nrows <= max_bucket_rows:
+        nrows = frame.count() if nrows is None else nrows
+        if nrows <= max_bucket_rows or depth >= 4:
             w = Window.orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
             # small frame (bounded by max_bucket_rows): the plain ordered window is fine
             cum = frame.withColumn("_c", F.sum("n").over(w) + F.lit(lo_base))
@@ -164,10 +166,10 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], buckets: in
         for bid, c in counts:
             inside = [rk for rk in ranks if start <= rk < start + c]
             if inside:
-                select_ranks(b.where(F.col("_b") == bid).select("v", "n"), inside, start)
+                select_ranks(b.where(F.col("_b") == bid).select("v", "n"), inside, start, None, depth + 1)
             start += c
 
-    select_ranks(vc, sorted(want), 0)
+    select_ranks(vc, sorted(want), 0, n_distinct)
     out = []
     for p in probs:
         pos = (total - 1) * p
