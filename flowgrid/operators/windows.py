@@ -118,3 +118,15 @@ def forward_fill_global(df: DataFrame, order: Sequence[str], cols: Sequence[str]
     out = filled.join(F.broadcast(carry), "_pid", "left")
     return out.withColumns({c: F.coalesce(F.col(c), F.col("_carry_" + c)) for c in cols}) \
         .drop("_pid", *["_carry_" + c for c in cols])
+
+
+def deduplicate_by_agg(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[str],
+                       descending: bool = False) -> DataFrame:
+    """First row per key by ``order_by`` (all ascending or all descending),
+    as a hash aggregate: ``min_by``/``max_by`` of the row struct.  Partial
+    aggregation collapses a hot key map-side, so no task ever holds a whole
+    key group (unlike a row_number window)."""
+    others = [c for c in df.columns if c not in partition_by]
+    pick = F.max_by if descending else F.min_by
+    g = df.groupBy(*partition_by).agg(pick(F.struct(*others), F.struct(*order_by)).alias("_r"))
+    return g.select(*partition_by, *[F.col("_r." + c).alias(c) for c in others])
