@@ -522,3 +522,35 @@ def q_time_ordered_split(spark, sf_dir):
 
 
 _ = (Window, hour_band)
+
+
+# --------------------------------------------------------------------------- table profiles (trips / weather)
+
+TRIP_COLUMNS = ["id", "started_at", "ended_at", "start_station_id", "end_station_id", "rideable_type", "member_casual",
+                "start_lat", "start_lng", "end_lat", "end_lng"]
+
+
+@query("missing_pct", with_adapters("SELECT * FROM (" + "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS column_name, CAST(sum(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) AS DOUBLE) * 100 / count(*) "
+    f"AS missing_pct FROM a_trips" for c in TRIP_COLUMNS) + ") WHERE missing_pct > 0"))
+def q_missing_pct(spark, sf_dir):
+    """Percent null per column (> 0), every column in one aggregate."""
+    return profile.missing_pct(mob(spark, sf_dir)["trips"].select(*TRIP_COLUMNS))
+
+
+@query("categorical_profile", with_adapters("""c AS (SELECT 'rideable_type' AS column_name, rideable_type AS value FROM a_trips
+  UNION ALL SELECT 'member_casual', member_casual FROM a_trips),
+g AS (SELECT column_name, value, count(*) AS n FROM c GROUP BY 1, 2)
+SELECT column_name, value, n, round(n * 100.0 / sum(n) OVER (PARTITION BY column_name), 6) AS pct FROM g"""))
+def q_categorical_profile(spark, sf_dir):
+    """Frequency and share of every value of the text columns."""
+    return profile.categorical_profile(mob(spark, sf_dir)["trips"], ["rideable_type", "member_casual"])
+
+
+@query("duplicate_rows", with_adapters("""SELECT time, temp, coco FROM a_weather
+WHERE date_trunc('hour', time) IN (SELECT date_trunc('hour', time) FROM a_weather GROUP BY 1 HAVING count(*) > 1)"""))
+def q_duplicate_rows(spark, sf_dir):
+    """All weather observations whose hour holds more than one (keep=False)."""
+    from flowgrid.functions.columns import hour_floor
+    w = mob(spark, sf_dir)["weather"].select("time", "temp", "coco", hour_floor("time").alias("_h"))
+    return profile.duplicate_rows(w, ["_h"]).drop("_h")
