@@ -12,22 +12,7 @@ from flowgrid.operators import flow, profile, series, windows
 from flowgrid.plans import sqlparts as S
 from flowgrid.plans.q_mobility import WEATHER_DIGITS, final_trips, mob
 from flowgrid.plans.registry import query, with_adapters
-from flowgrid.session import materialize
-
-_MEMO: dict = {}
-
-
-def memo(spark, sf_dir: str, name: str, build) -> DataFrame:
-    """Materialise a derived table once per session and input folder (a
-    Parquet table in the shared checkpoint folder)."""
-    key = (spark.sparkContext.applicationId, sf_dir, name)
-    if key not in _MEMO:
-        _MEMO[key] = materialize(build(), name)
-    return _MEMO[key]
-
-
-def clear_memo() -> None:
-    _MEMO.clear()
+from flowgrid.plans.memo import clear_memo, memo  # noqa: F401
 
 
 def net(spark, sf_dir) -> DataFrame:

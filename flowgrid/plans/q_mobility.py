@@ -8,13 +8,18 @@ from pyspark.sql import functions as F
 from flowgrid.functions.columns import hour_floor, normalize_station_id, weather_code_parse
 from flowgrid.operators import clean, flow
 from flowgrid.plans import adapters, sqlparts as S
+from flowgrid.plans.memo import memo
 from flowgrid.plans.registry import query, with_adapters
 
 WEATHER_DIGITS = 6  # hourly weather means are rounded to 1e-6 (float-sum order differs between engines)
 
 
 def mob(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return adapters.mobility(spark, sf_dir)
+    """Stand-in mobility tables; the derived trips table is materialised once
+    per session (the ordered lead that builds it is the expensive step)."""
+    m = adapters.mobility(spark, sf_dir)
+    m["trips"] = memo(spark, sf_dir, "trips", lambda: m["trips"])
+    return m
 
 
 def grid(spark: SparkSession, sf_dir: str, **kw) -> DataFrame:
