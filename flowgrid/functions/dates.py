@@ -52,3 +52,15 @@ def last_day_of(part: str, c) -> Column:
 def weekday_sunday0(c) -> Column:
     """Postgres/DuckDB ``dow``: 0 = Sunday."""
     return F.dayofweek(_c(c)) - 1
+
+
+def ntz_lit(value) -> Column:
+    """A TIMESTAMP_NTZ literal from a datetime / date / string, independent of
+    the session and process time zones (a bare ``F.lit(datetime)`` is a zoned
+    timestamp built with the Python process's local zone)."""
+    import datetime as _dt
+    if isinstance(value, _dt.datetime):
+        value = value.strftime("%Y-%m-%d %H:%M:%S.%f")
+    elif isinstance(value, _dt.date):
+        value = value.strftime("%Y-%m-%d 00:00:00")
+    return F.lit(value).cast("timestamp_ntz")

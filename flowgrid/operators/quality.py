@@ -9,7 +9,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowgrid.functions.dates import dateadd
+from flowgrid.functions.dates import dateadd, ntz_lit
 
 
 def _where(df: DataFrame, cond: str | Column | None) -> DataFrame:
@@ -132,7 +132,7 @@ def recency(df: DataFrame, field: str, datepart: str, interval: int, as_of) -> D
     """One row when max(field) is older than ``interval`` dateparts before
     ``as_of`` (explicit, never the wall clock)."""
     g = df.agg(F.max(field).alias("most_recent"))
-    thr = dateadd(datepart, -interval, F.lit(as_of).cast("timestamp_ntz"))
+    thr = dateadd(datepart, -interval, ntz_lit(as_of))
     return g.withColumn("threshold", thr).where(
         F.col("most_recent").isNull() | (F.col("most_recent") < F.col("threshold")))
 

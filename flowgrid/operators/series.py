@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from flowgrid.functions.columns import hour_floor
-from flowgrid.functions.dates import datediff_boundaries, dateadd
+from flowgrid.functions.dates import datediff_boundaries, dateadd, ntz_lit
 
 # ---------------------------------------------------------------------------
 # Spines
@@ -38,8 +38,8 @@ def date_spine(spark: SparkSession, datepart: str, start, end, out: str = "date_
     multiple is excluded.  ``start``/``end`` are literals or, with ``bounds``,
     column names of a 1-row frame (data-derived bounds)."""
     if bounds is None:
-        bounds = spark.range(1).select(F.lit(start).cast("timestamp_ntz").alias("_s"),
-                                       F.lit(end).cast("timestamp_ntz").alias("_e"))
+        bounds = spark.range(1).select(ntz_lit(start).alias("_s"),
+                                       ntz_lit(end).alias("_e"))
     else:
         bounds = bounds.select(F.col(start).cast("timestamp_ntz").alias("_s"),
                                F.col(end).cast("timestamp_ntz").alias("_e"))

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowgrid.functions.columns import hour_floor, normalize_station_id
+from flowgrid.functions.dates import ntz_lit
 from flowgrid.operators import clean, flow
 from flowgrid.plans import sqlparts as S
 from flowgrid.plans.q_drift import predictions
@@ -323,7 +324,7 @@ def q_predictions_import(spark, sf_dir):
         "run_id", "station_id", "request_datetime", "hour", "prediction",
         F.when(F.col("hour") % 2 == 0, 2).otherwise(1).alias("model_version"))
     t = p.agg(F.max("request_datetime").alias("t")).first()["t"]
-    lit_t = F.lit(t).cast("timestamp_ntz")
+    lit_t = ntz_lit(t)
     typed = lambda d: d.withColumns({"month": F.month("request_datetime"),
                                      "jour_semaine": weekday_label("request_datetime")})
     tgt = typed(p.where(F.col("request_datetime") <= F.timestamp_add("HOUR", F.lit(-12), lit_t)))

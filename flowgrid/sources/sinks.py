@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowgrid.functions.dates import date_trunc_ntz
+from flowgrid.functions.dates import date_trunc_ntz, ntz_lit
 
 
 def write_parquet(df: DataFrame, path: str, sort_by: Sequence[str] = (), partition_by: Sequence[str] = (),
@@ -77,8 +77,8 @@ def backfill_by_period(source: DataFrame, target_path: str, ts: str, stop, perio
     spark: SparkSession = source.sparkSession
     tgt = spark.read.parquet(target_path)
     hi = tgt.agg(F.max(ts)).first()[0]
-    upper = F.col(ts) < F.lit(stop).cast("timestamp_ntz")
-    batch = source.where((F.col(ts) >= date_trunc_ntz(period, F.lit(hi).cast("timestamp_ntz"))) & upper) \
+    upper = F.col(ts) < ntz_lit(stop)
+    batch = source.where((F.col(ts) >= date_trunc_ntz(period, ntz_lit(hi))) & upper) \
         if hi is not None else source.where(upper)
     batch = batch.withColumn("period", F.date_format(date_trunc_ntz(period, ts), "yyyy-MM-dd"))
     (batch.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
