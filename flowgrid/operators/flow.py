@@ -100,7 +100,7 @@ def weather_hourly_filled(wh: DataFrame) -> DataFrame:
     observation at or before it (as-of backward).  The weather series is
     bounded by the hours of the study range, so one ordered window is fine."""
     spine = hour_spine(wh, "date_hour")
-    return asof_backward(spine, wh, "date_hour")
+    return asof_backward(spine, wh, "date_hour", global_order="window")
 
 
 # ---------------------------------------------------------------------------

@@ -112,13 +112,17 @@ def years_of(df: DataFrame, ts: str) -> DataFrame:
 
 
 def asof_backward(left: DataFrame, right: DataFrame, ts: str, by: list[str] | None = None,
-                  right_ts: str | None = None) -> DataFrame:
+                  right_ts: str | None = None, global_order: str = "scan") -> DataFrame:
     """For every left row, the values of the latest right row with
     ``right.ts <= left.ts`` (per ``by`` group).
 
-    One union + one window (``last(struct, ignorenulls)`` over an unbounded
-    preceding frame) instead of a non-equi join per column.  Ties at equal
-    timestamps put right rows first so an exact match is taken.
+    One union + a forward fill of the right-row struct (``last(struct,
+    ignorenulls)``) instead of a non-equi join per column.  Ties at equal
+    timestamps put right rows first so an exact match is taken.  Without
+    ``by`` the fill needs a global order: ``global_order='scan'`` uses the
+    range-partitioned scan (no single task); ``'window'`` uses one ordered
+    window and is only for series with a proven small bound (e.g. one row per
+    hour of a study range).
     """
     by = by or []
     right_ts = right_ts or ts
@@ -130,10 +134,14 @@ def asof_backward(left: DataFrame, right: DataFrame, ts: str, by: list[str] | No
     lft = left.select(*by, F.col(ts).alias("_ts"), lcols_struct, F.lit(1).alias("_side"))
     u = lft.withColumn("_r", F.lit(None).cast(r.schema["_r"].dataType)).unionByName(
         r.withColumn("_l", F.lit(None).cast(lft.schema["_l"].dataType)))
-    w = Window.orderBy("_ts", "_side").rowsBetween(Window.unboundedPreceding, 0)
-    if by:
-        w = Window.partitionBy(*by).orderBy("_ts", "_side").rowsBetween(Window.unboundedPreceding, 0)
-    filled = u.withColumn("_m", F.last("_r", ignorenulls=True).over(w)).where(F.col("_side") == 1)
+    if not by and global_order == "scan":
+        from flowgrid.operators.windows import forward_fill_global
+        filled = forward_fill_global(u.withColumn("_m", F.col("_r")), ["_ts", "_side"], ["_m"]) \
+            .where(F.col("_side") == 1)
+    else:
+        w = (Window.partitionBy(*by) if by else Window).orderBy("_ts", "_side") \
+            .rowsBetween(Window.unboundedPreceding, 0)
+        filled = u.withColumn("_m", F.last("_r", ignorenulls=True).over(w)).where(F.col("_side") == 1)
     return filled.select(*[F.col("_l." + c).alias(c) for c in lcols],
                          *[F.col("_m." + c).alias(c) for c in rcols])
 

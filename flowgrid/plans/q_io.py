@@ -5,7 +5,6 @@ the engine's writer and returns it read back with the engine's reader."""
 from __future__ import annotations
 
 import io
-import os
 import zipfile
 
 import pandas as pd
@@ -60,11 +59,12 @@ def q_src_trips_zip(spark, sf_dir):
         from pyarrow import fs as pafs
         filesystem, root = pafs.FileSystem.from_uri(base)  # local, HDFS or object store
         filesystem.create_dir(root, recursive=True)
-        for pdf in it:
+        for batch_no, pdf in enumerate(it):
             if len(pdf) == 0:
                 continue
             pid = int(pdf["_pid"].iloc[0])
-            name = f"{root}/2024{pid:04d}-citibike-tripdata-{os.getpid()}-{id(pdf)}.zip"
+            # deterministic name: a retried task overwrites its own archive instead of adding one
+            name = f"{root}/2024{pid:04d}-{batch_no:05d}-citibike-tripdata.zip"
             buf, blob = io.StringIO(), io.BytesIO()
             pdf.drop(columns=["_pid"]).to_csv(buf, index=False)
             with zipfile.ZipFile(blob, "w", zipfile.ZIP_DEFLATED) as z:

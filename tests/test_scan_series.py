@@ -106,3 +106,14 @@ def test_asof_backward_takes_latest_at_or_before(spark):
                                   "t timestamp_ntz, x double")
     got = sorted((r.t.hour, r.x) for r in series.asof_backward(left, right, "t").collect())
     assert got == [(0, 1.0), (1, 1.0), (2, 2.0), (3, 2.0), (4, 2.0)]
+
+
+def test_asof_scan_equals_window(spark):
+    rnd = random.Random(3)
+    left = spark.createDataFrame([(dt.datetime(2024, 1, 1) + dt.timedelta(minutes=7 * i), i) for i in range(300)],
+                                 "t timestamp_ntz, li long")
+    right = spark.createDataFrame([(dt.datetime(2024, 1, 1) + dt.timedelta(minutes=rnd.randint(0, 2100)), float(i))
+                                   for i in range(80)], "t timestamp_ntz, x double").dropDuplicates(["t"])
+    a = series.asof_backward(left, right, "t", global_order="scan").toPandas().sort_values("li").reset_index(drop=True)
+    b = series.asof_backward(left, right, "t", global_order="window").toPandas().sort_values("li").reset_index(drop=True)
+    pd.testing.assert_frame_equal(a, b)
