@@ -40,22 +40,27 @@ def missing_pct(df: DataFrame) -> DataFrame:
 
 
 def categorical_profile(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Frequency and percentage of every value of each text column."""
+    """Frequency and percentage of every value of each text column (shares
+    from a per-column total: one row per column, broadcast)."""
     d = df.select(*[F.col(c).cast("string") for c in cols]).unpivot([], list(cols), "column_name", "value")
     g = d.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
-    w = Window.partitionBy("column_name")  # one row per distinct value: bounded by cardinality
-    return g.withColumn("pct", F.round(F.col("n") * 100.0 / F.sum("n").over(w), 6))
+    tot = g.groupBy("column_name").agg(F.sum("n").alias("_t"))
+    return g.join(F.broadcast(tot), "column_name").select(
+        "column_name", "value", "n", F.round(F.col("n") * 100.0 / F.col("_t"), 6).alias("pct"))
 
 
 def describe_numeric(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """count, mean, std, min, quartiles (exact, interpolated), max per column,
-    one aggregate after an unpivot.  ``percentile`` keeps a value->count map,
-    so its memory is bounded by the column's distinct values, not its rows."""
+    """count, mean, std, min, quartiles (exact, interpolated), max per column:
+    one aggregate for the moments and one skew-safe grouped-percentile pass
+    after an unpivot."""
+    from flowgrid.operators.scan import grouped_percentiles
     d = df.select(*[F.col(c).cast("double") for c in cols]).unpivot([], list(cols), "column_name", "v")
-    return d.groupBy("column_name").agg(
+    m = d.groupBy("column_name").agg(
         F.count("v").alias("count"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"),
-        F.min("v").alias("min"), F.percentile("v", 0.25).alias("p25"), F.percentile("v", 0.5).alias("p50"),
-        F.percentile("v", 0.75).alias("p75"), F.max("v").alias("max"))
+        F.min("v").alias("min"), F.max("v").alias("max"))
+    q = grouped_percentiles(d, ["column_name"], "v", [0.25, 0.5, 0.75], ["p25", "p50", "p75"])
+    return m.join(q, "column_name", "left").select("column_name", "count", "mean", "std", "min", "p25", "p50",
+                                                  "p75", "max")
 
 
 def histogram(df: DataFrame, cols: Sequence[str], bins: int = 30) -> DataFrame:

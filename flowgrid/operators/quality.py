@@ -119,13 +119,17 @@ def relationships_where(child: DataFrame, column: str, parent: DataFrame, field:
 
 def sequential_values(df: DataFrame, column: str, interval=1, datepart: str | None = None,
                       group_by: Sequence[str] = ()) -> DataFrame:
-    from pyspark.sql import Window
-    w = (Window.partitionBy(*group_by) if group_by else Window).orderBy(column)
-    prev = F.lag(column).over(w)
-    d = df.select(*group_by, column, prev.alias("previous_" + column))
-    exp = dateadd(datepart, interval, F.col("previous_" + column)) if datepart else \
-        F.col("previous_" + column) + F.lit(interval)
-    return d.where(~(F.col(column) == exp))
+    """Rows whose predecessor (by ``column``, per group) plus the step differs;
+    the first row passes.  Successor pairs come from the skew-safe ordered
+    lead (a hot group, or no group at all, is split over range partitions):
+    for every pair (x, y), y violates when y != x + step."""
+    from flowgrid.operators.scan import lead_in_order
+    g = list(group_by)
+    base = df.select(*g, column).withColumn("_tb", F.monotonically_increasing_id())
+    pairs = lead_in_order(base, by=g, order=[column, "_tb"], cols={column: "_next"})
+    exp = dateadd(datepart, interval, F.col(column)) if datepart else F.col(column) + F.lit(interval)
+    return pairs.where(F.col("_next").isNotNull() & ~(F.col("_next") == exp)).select(
+        *g, F.col("_next").alias(column), F.col(column).alias("previous_" + column))
 
 
 def recency(df: DataFrame, field: str, datepart: str, interval: int, as_of) -> DataFrame:

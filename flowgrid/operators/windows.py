@@ -43,33 +43,32 @@ def deduplicate(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[C
 
 
 def range_violations(df: DataFrame, lower: str, upper: str, partition_by: Sequence[str] = (),
-                     gaps: str = "allowed", zero_length_allowed: bool = False) -> DataFrame:
+                     gaps: str = "allowed", zero_length_allowed: bool = False,
+                     tiebreak: str | None = None) -> DataFrame:
     """Rows breaking bound order or overlapping the next range (mutually
     exclusive ranges).  ``gaps``: allowed / not_allowed / required.  Null bounds
-    are violations."""
-    w = (Window.partitionBy(*partition_by) if partition_by else Window).orderBy(lower, upper)
-    nxt = F.lead(lower).over(w)
-    rn_desc = F.row_number().over((Window.partitionBy(*partition_by) if partition_by else Window)
-                                  .orderBy(F.col(lower).desc(), F.col(upper).desc()))
-    d = df.withColumns({"next_lower_bound": nxt, "_is_last": rn_desc == 1})
+    are violations.  The next lower bound per partition comes from the
+    skew-safe ordered lead; the last row of a partition has none and passes
+    the second test."""
+    from flowgrid.operators.scan import lead_in_order
+    tb = tiebreak or "_tb"
+    d = df if tiebreak else df.withColumn("_tb", F.monotonically_increasing_id())
+    d = lead_in_order(d, by=list(partition_by), order=[lower, upper, tb], cols={lower: "next_lower_bound"})
     lo, up, nl = F.col(lower), F.col(upper), F.col("next_lower_bound")
     order_ok = (lo <= up) if zero_length_allowed else (lo < up)
     cmp = {"allowed": up <= nl, "not_allowed": up == nl, "required": up < nl}[gaps]
-    ok_next = F.col("_is_last") | cmp
     d = d.withColumns({"lower_bound_within_upper_bound": F.coalesce(order_ok, F.lit(False)),
-                       "upper_bound_fits_next": F.coalesce(ok_next, F.lit(False))})
-    return d.where(~F.col("lower_bound_within_upper_bound") | ~F.col("upper_bound_fits_next")).drop("_is_last")
+                       "upper_bound_fits_next": F.coalesce(nl.isNull() | cmp, F.lit(False))})
+    out = d.where(~F.col("lower_bound_within_upper_bound") | ~F.col("upper_bound_fits_next"))
+    return out if tiebreak else out.drop("_tb")
 
 
 def sequence_gaps(df: DataFrame, col: str, step=1, datepart: str | None = None,
-                  partition_by: Sequence[str] = (), skew_safe_order: Sequence[str] | None = None) -> DataFrame:
+                  partition_by: Sequence[str] = ()) -> DataFrame:
     """Rows whose predecessor (by ``col``) plus ``step`` differs from the row's
-    value; the first row passes.  Partitioned by ``partition_by`` when given."""
-    w = (Window.partitionBy(*partition_by) if partition_by else Window).orderBy(col)
-    prev = F.lag(col).over(w)
-    expected = dateadd(datepart, step, prev) if datepart else prev + F.lit(step)
-    d = df.withColumns({"previous_" + col: prev, "_exp": expected})
-    return d.where(F.col("_exp").isNotNull() & (F.col(col) != F.col("_exp"))).drop("_exp")
+    value; the first row passes (same rule as the sequential-values check)."""
+    from flowgrid.operators.quality import sequential_values
+    return sequential_values(df, col, step, datepart, partition_by)
 
 
 def time_ordered_split(df: DataFrame, order: Sequence[str], ratio: float = 0.8) -> DataFrame:

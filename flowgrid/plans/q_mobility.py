@@ -119,12 +119,10 @@ def q_trim_quantiles(spark, sf_dir):
 SELECT event_type, quantile_cont(value, 0.01) AS p01, quantile_cont(value, 0.5) AS p50,
        quantile_cont(value, 0.99) AS p99 FROM events GROUP BY event_type"""))
 def q_exact_percentiles(spark, sf_dir):
-    """Per-group exact interpolated percentiles (``percentile`` aggregates:
-    one group per event type, partial aggregation per partition)."""
+    """Per-group exact interpolated percentiles (skew-safe grouped scan)."""
+    from flowgrid.operators.scan import grouped_percentiles
     ev = adapters.table(spark, sf_dir, "events")
-    return ev.groupBy("event_type").agg(
-        F.percentile("value", 0.01).alias("p01"), F.percentile("value", 0.5).alias("p50"),
-        F.percentile("value", 0.99).alias("p99"))
+    return grouped_percentiles(ev, ["event_type"], "value", [0.01, 0.5, 0.99], ["p01", "p50", "p99"])
 
 
 @query("haversine_km", with_adapters(S.TRIMMED_TRIPS + """

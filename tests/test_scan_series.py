@@ -117,3 +117,15 @@ def test_asof_scan_equals_window(spark):
     a = series.asof_backward(left, right, "t", global_order="scan").toPandas().sort_values("li").reset_index(drop=True)
     b = series.asof_backward(left, right, "t", global_order="window").toPandas().sort_values("li").reset_index(drop=True)
     pd.testing.assert_frame_equal(a, b)
+
+
+def test_grouped_percentiles_hot_group(spark):
+    rnd = np.random.default_rng(9)
+    g = np.where(np.arange(3000) % 3 == 0, 0, rnd.integers(1, 6, 3000))
+    v = np.round(rnd.normal(size=3000), 2)
+    df = spark.createDataFrame([(int(a), float(b)) for a, b in zip(g, v)], "g long, v double")
+    out = {r.g: r for r in scan.grouped_percentiles(df, ["g"], "v", [0.1, 0.5, 0.9], ["a", "b", "c"]).collect()}
+    for key in np.unique(g):
+        want = np.quantile(v[g == key], [0.1, 0.5, 0.9])
+        got = [out[int(key)].a, out[int(key)].b, out[int(key)].c]
+        assert np.allclose(got, want, atol=1e-12), key
