@@ -65,10 +65,14 @@ def net_flow_single_pass(trips: DataFrame, sign: str = "taken_minus_dropped") ->
 
 
 def dedup_keep_best(df: DataFrame, keys=KEYS, by: str = "net_flow") -> DataFrame:
-    """One row per key, highest ``by``; remaining columns break ties."""
+    """One row per key, highest ``by``; remaining columns (descending) break
+    ties.  A hash aggregate of ``max(struct(by, others))``: partial aggregation
+    collapses a hot key map-side (a row_number window would sort a whole key
+    group in one task), and after an aggregate on the same keys it adds no
+    shuffle."""
     others = [c for c in df.columns if c not in keys and c != by]
-    w = Window.partitionBy(*keys).orderBy(F.col(by).desc(), *[F.col(c).desc() for c in others])
-    return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+    g = df.groupBy(*keys).agg(F.max(F.struct(F.col(by), *[F.col(c) for c in others])).alias("_r"))
+    return g.select(*[F.col(c) if c in keys else F.col("_r." + c).alias(c) for c in df.columns])
 
 
 def station_day_summary(net: DataFrame) -> DataFrame:

@@ -10,7 +10,8 @@ the oracle.  Fixed derivation rules:
   written ``NNN.1`` for even ids and ``NNN.10`` for odd ones (normalisation
   folds them together); member_casual is null for ids divisible by 53.
 * stations: distinct station numbers except 120..122; station 101 has no name.
-* weather: events with id % 3 = 0 outside hours 3, 4 and 13; code text
+* weather: every event outside hours 3, 4 and 13 (so the as-of fill has
+  gaps to fill); code text
   id % 28 (``n/a`` for id % 19 = 0, null for id % 31 = 0, ``.0`` suffix for
   id % 5 = 0, ``.7`` suffix for id % 7 = 0).
 * holidays: the holiday calendar of every year present in ``events``.
@@ -27,6 +28,7 @@ N_STATIONS = 23
 STATION_BASE = 100
 EXCLUDED_STATIONS = [120, 121, 122]
 NAMELESS_STATION = 101
+WEATHER_GAP_HOURS = [3, 4, 13]  # hours of the day without weather observations
 BASE_LAT, STEP_LAT = 40.70, 0.004
 BASE_LNG, STEP_LNG = -74.00, 0.003
 
@@ -92,7 +94,7 @@ def stations(events: DataFrame) -> DataFrame:
 def weather(events: DataFrame) -> DataFrame:
     eid = F.col("event_id")
     code = (eid % 28).cast("string")
-    return events.where((eid % 3 == 0) & ~F.hour("ts").isin(3, 4, 13)).select(
+    return events.where(~F.hour("ts").isin(*WEATHER_GAP_HOURS)).select(
         F.col("ts").alias("time"),
         F.col("value").alias("temp"),
         (F.lit(50) + eid % 50).cast("double").alias("relative_humidity"),
@@ -183,7 +185,7 @@ a_weather AS (
               WHEN event_id % 5 = 0 THEN CAST(event_id % 28 AS VARCHAR) || '.0'
               WHEN event_id % 7 = 0 THEN CAST(event_id % 28 AS VARCHAR) || '.7'
               ELSE CAST(event_id % 28 AS VARCHAR) END AS coco
-  FROM events WHERE event_id % 3 = 0 AND hour(ts) NOT IN (3, 4, 13)
+  FROM events WHERE hour(ts) NOT IN ({', '.join(map(str, WEATHER_GAP_HOURS))})
 ),
 yrs AS (SELECT DISTINCT CAST(year(ts) AS INTEGER) AS y FROM events),
 a_holidays AS ({_sql_holidays()})

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from flowgrid.functions.columns import hour_floor, normalize_station_id
 from flowgrid.functions.dates import ntz_lit
 from flowgrid.operators import clean, flow
+from flowgrid.operators.joins import bounded_broadcast
 from flowgrid.plans import sqlparts as S
 from flowgrid.plans.q_drift import predictions
 from flowgrid.plans.q_grid import G, grid
@@ -77,20 +78,30 @@ def q_src_trips_zip(spark, sf_dir):
     return readers.read_trip_archives(spark, base)
 
 
+FEED_DOC_STATIONS = 10_000  # stations per feed document (part)
+
+
+def feed_documents(st: DataFrame, item, key: str = "station_id") -> DataFrame:
+    """``{"data": {"stations": [...]}}`` documents, one per hash bucket of
+    ``key`` with about FEED_DOC_STATIONS items each, so no task or group ever
+    holds the whole dimension.  Written one document per line."""
+    n = max(1, -(-st.count() // FEED_DOC_STATIONS))
+    b = F.pmod(F.xxhash64(key), F.lit(n)).alias("_part")
+    return st.groupBy(b).agg(F.collect_list(item).alias("stations")).select(F.struct("stations").alias("data"))
+
+
 def _stations_complete(spark, sf_dir) -> DataFrame:
     return mob(spark, sf_dir)["stations"]
 
 
 @query("src_stations_json", with_adapters("SELECT short_name, station_id, name, capacity, lat, lon FROM a_stations"))
 def q_src_stations_json(spark, sf_dir):
-    """Station dimension as one nested feed document (the dimension is
-    small: one row per station)."""
+    """Station dimension as nested feed documents (one per bucket of
+    stations), read back line-delimited."""
     path = scratch_path(spark, "station-feed")
     st = _stations_complete(spark, sf_dir)
-    doc = st.agg(F.collect_list(F.struct(*readers.STATION_FIELDS)).alias("stations")).select(
-        F.struct("stations").alias("data"))
-    doc.coalesce(1).write.json(path)
-    return readers.read_stations(spark, path)
+    feed_documents(st, F.struct(*readers.STATION_FIELDS)).write.json(path)
+    return readers.read_stations(spark, path, multi_line=False)
 
 
 STATUS_SQL = with_adapters("""SELECT station_id, CAST(id % 7 AS INTEGER) AS num_bikes_available,
@@ -107,11 +118,9 @@ def status(spark, sf_dir) -> DataFrame:
 @query("src_station_status_json", STATUS_SQL)
 def q_src_station_status_json(spark, sf_dir):
     path = scratch_path(spark, "status-feed")
-    doc = status(spark, sf_dir).agg(F.collect_list(F.struct("station_id", "num_bikes_available",
-                                                            "num_docks_available")).alias("stations")) \
-        .select(F.struct("stations").alias("data"))
-    doc.coalesce(1).write.json(path)
-    return readers.read_station_status(spark, path)
+    feed_documents(status(spark, sf_dir),
+                   F.struct("station_id", "num_bikes_available", "num_docks_available")).write.json(path)
+    return readers.read_station_status(spark, path, multi_line=False)
 
 
 @query("src_weather_json", with_adapters("""SELECT time, temp, relative_humidity, precipitation_total,
@@ -341,25 +350,26 @@ def q_predictions_import(spark, sf_dir):
 # --------------------------------------------------------------------------- request-side joins
 
 REQ_SQL = f"""rq AS (SELECT event_id AS request_id, {S.norm_sql("CAST(100 + event_id % 23 AS VARCHAR) || '.1'")} AS station_id,
-  date_trunc('hour', ts) AS date_hour, CASE WHEN event_id % 100 = 0 THEN 'take' ELSE 'drop' END AS action
-  FROM events WHERE event_id % 50 = 0),
+  date_trunc('hour', ts) AS date_hour, CASE WHEN event_id % 2 = 0 THEN 'take' ELSE 'drop' END AS action
+  FROM events),
 st AS (SELECT short_name, station_id AS feed_station_id, capacity, CAST(id % 7 AS INTEGER) AS num_bikes_available,
   CAST(capacity - id % 7 AS INTEGER) AS num_docks_available FROM a_stations)"""
 
 
 def requests(spark, sf_dir) -> DataFrame:
-    """Every 50th event is a forecast request for its station and hour."""
-    e = TBL(spark, sf_dir, "events").where(F.col("event_id") % 50 == 0)
+    """Every event is a forecast request for its station and hour (even ids
+    ask to take a bike, odd ids to drop one)."""
+    e = TBL(spark, sf_dir, "events")
     sid = normalize_station_id(F.concat((F.lit(100) + F.col("event_id") % 23).cast("string"), F.lit(".1")))
     return e.select(F.col("event_id").alias("request_id"), sid.alias("station_id"), hour_floor("ts").alias("date_hour"),
-                    F.when(F.col("event_id") % 100 == 0, F.lit("take")).otherwise(F.lit("drop")).alias("action"))
+                    F.when(F.col("event_id") % 2 == 0, F.lit("take")).otherwise(F.lit("drop")).alias("action"))
 
 
 def availability(spark, sf_dir) -> DataFrame:
     st = status(spark, sf_dir).select(F.col("short_name").alias("station_id"),
                                       F.col("station_id").alias("feed_station_id"),
                                       "num_bikes_available", "num_docks_available")
-    return requests(spark, sf_dir).join(F.broadcast(st), "station_id", "left")  # dimension: one row per station
+    return requests(spark, sf_dir).join(bounded_broadcast(st), "station_id", "left")  # one row per station
 
 
 @query("lookup_availability", with_adapters(REQ_SQL + """

@@ -65,16 +65,18 @@ def read_trip_archives(spark: SparkSession, path: str) -> DataFrame:
 STATION_FIELDS = ["short_name", "station_id", "name", "capacity", "lat", "lon"]
 
 
-def read_stations(spark: SparkSession, path: str) -> DataFrame:
-    """Nested station feed ``{"data": {"stations": [...]}}`` -> 6 columns."""
-    doc = spark.read.option("multiLine", True).json(path)
+def read_stations(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """Nested station feed ``{"data": {"stations": [...]}}`` -> 6 columns.
+    ``multi_line``: one (pretty-printed) document per file, as served;
+    otherwise one document per line (several feed parts per file)."""
+    doc = spark.read.option("multiLine", multi_line).json(path)
     return doc.select(F.inline("data.stations")).select(
         F.col("short_name").cast("string"), F.col("station_id").cast("string"), F.col("name").cast("string"),
         F.col("capacity").cast("int"), F.col("lat").cast("double"), F.col("lon").cast("double"))
 
 
-def read_station_status(spark: SparkSession, path: str) -> DataFrame:
-    doc = spark.read.option("multiLine", True).json(path)
+def read_station_status(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    doc = spark.read.option("multiLine", multi_line).json(path)
     return doc.select(F.inline("data.stations")).select(
         F.col("station_id").cast("string"), F.col("num_bikes_available").cast("int"),
         F.col("num_docks_available").cast("int"))
