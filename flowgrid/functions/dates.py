@@ -19,20 +19,45 @@ def date_trunc_ntz(part: str, c) -> Column:
     return F.date_trunc(part, _c(c)).cast("timestamp_ntz")
 
 
+_MICROS_PER = {"millisecond": 1_000, "second": 1_000_000, "minute": 60_000_000, "hour": 3_600_000_000}
+
+
+def _epoch_micros(x: Column) -> Column:
+    """Microseconds since 1970-01-01 00:00 of a TIMESTAMP_NTZ (no zone rules)."""
+    return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), x)
+
+
+def _monday(x: Column) -> Column:
+    d = F.to_date(x)
+    return F.date_sub(d, F.pmod(F.dayofweek(d) + F.lit(5), F.lit(7)))  # dayofweek: 1 = Sunday
+
+
 def datediff_boundaries(a, b, part: str) -> Column:
     """Number of ``part`` boundaries crossed from ``a`` to ``b`` (the macro
-    semantics; bare ``timestampdiff`` counts whole units instead)."""
+    semantics; bare ``timestampdiff`` counts whole units instead).  Plain
+    calendar arithmetic on the fields of the TIMESTAMP_NTZ values (floor
+    division of epoch microseconds below a day), so no time-zone rule is
+    consulted per row.  Weeks start on Monday.  Returns BIGINT."""
     part = part.lower()
     if part not in _PARTS:
         raise ValueError(f"unsupported date part {part!r}")
     ac, bc = _c(a).cast("timestamp_ntz"), _c(b).cast("timestamp_ntz")
-    if part in ("microsecond",):
-        return F.timestamp_diff("MICROSECOND", ac, bc)
-    if part == "millisecond":
-        return F.timestamp_diff("MILLISECOND", date_trunc_ntz("millisecond", ac), date_trunc_ntz("millisecond", bc))
-    if part == "week":
-        return (F.datediff(F.to_date(date_trunc_ntz("week", bc)), F.to_date(date_trunc_ntz("week", ac))) / 7).cast("long")
-    return F.timestamp_diff(part.upper(), date_trunc_ntz(part, ac), date_trunc_ntz(part, bc))
+    if part == "microsecond":
+        out = F.timestamp_diff("MICROSECOND", ac, bc)
+    elif part in _MICROS_PER:
+        u = F.lit(_MICROS_PER[part])
+        out = F.floor(_epoch_micros(bc) / u) - F.floor(_epoch_micros(ac) / u)
+    elif part == "day":
+        out = F.datediff(F.to_date(bc), F.to_date(ac))
+    elif part == "week":
+        out = F.datediff(_monday(bc), _monday(ac)) / F.lit(7)
+    elif part == "month":
+        out = (F.year(bc) - F.year(ac)) * 12 + (F.month(bc) - F.month(ac))
+    elif part == "quarter":
+        out = (F.year(bc) - F.year(ac)) * 4 + (F.quarter(bc) - F.quarter(ac))
+    else:  # year
+        out = F.year(bc) - F.year(ac)
+    return out.cast("long")
 
 
 def dateadd(part: str, n, c) -> Column:

@@ -11,6 +11,7 @@ from flowgrid.functions.columns import (hour_floor, weather_code_group, weather_
 from flowgrid.operators.clean import WEATHER_REQUIRED, filter_complete_rows
 from flowgrid.operators.joins import bounded_broadcast
 from flowgrid.operators.series import asof_backward, day_hour_spine, hour_spine
+from flowgrid.session import materialize
 
 KEYS = ["station_id", "date_hour"]
 SIGNS = ("dropped_minus_taken", "taken_minus_dropped")
@@ -179,10 +180,11 @@ def build_grid(trips: DataFrame, stations: DataFrame, weather: DataFrame, holida
 
     t = clean_trips(trips, stations, trims=trims, **(clean_kwargs or {}))
     # net flow (<= stations x hours rows) and the filled weather (<= hours rows)
-    # are small and reused by the spine, the size checks and the joins: cut
-    # their lineage once in the shared checkpoint folder.
-    net = dedup_keep_best(net_flow_single_pass(t, sign)).checkpoint()
-    wf = weather_hourly_filled(weather_hourly_dedup(weather, weather_digits)).checkpoint()
+    # are small and reused by the spine, the size checks and the joins: write
+    # them once as Parquet in the shared checkpoint folder (one job each, unlike
+    # an RDD checkpoint that computes the lineage twice) and read them back.
+    net = materialize(dedup_keep_best(net_flow_single_pass(t, sign)), "net-flow")
+    wf = materialize(weather_hourly_filled(weather_hourly_dedup(weather, weather_digits)), "weather-filled")
     g = left_grid_fill(dense_index(net, spine_mode), net)
     g = left_weather(g, wf)
     g = g.withColumns({"year": F.year("date_hour"), "month": F.month("date_hour"),

@@ -15,10 +15,14 @@ WEATHER_DIGITS = 6  # hourly weather means are rounded to 1e-6 (float-sum order
 
 
 def mob(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Stand-in mobility tables; the derived trips table is materialised once
-    per session (the ordered lead that builds it is the expensive step)."""
+    """Stand-in mobility tables.  Trips (the ordered lead that builds them is
+    the expensive step) and the two small dimensions are materialised once per
+    session, like the warehouse tables they stand in for, so size checks and
+    joins read a few files instead of rescanning ``events``.  Weather stays a
+    lazy projection of ``events`` (read once per use)."""
     m = adapters.mobility(spark, sf_dir)
-    m["trips"] = memo(spark, sf_dir, "trips", lambda: m["trips"])
+    for name in ("trips", "stations", "holidays"):
+        m[name] = memo(spark, sf_dir, name, lambda d=m[name]: d)
     return m
 
 

@@ -84,3 +84,41 @@ def test_url_parts(spark):
     assert [x[0] for x in r] == ["www.example.com", "example.com", "h.io", "com.app"]
     assert [x[1] for x in r] == ["a/b", "example.com", "", "/com.app/path"]
     assert [x[2] for x in r] == ["2", None, None, None]
+
+
+def _py_boundaries(a: dt.datetime, b: dt.datetime, part: str) -> int:
+    """Boundary count from truncated values (plain Python reference)."""
+    def micros(x):
+        return (x - dt.datetime(1970, 1, 1)) // dt.timedelta(microseconds=1)
+    unit = {"microsecond": 1, "millisecond": 1_000, "second": 10**6, "minute": 60 * 10**6, "hour": 3600 * 10**6}
+    if part in unit:
+        return micros(b) // unit[part] - micros(a) // unit[part]
+    if part == "day":
+        return (b.date() - a.date()).days
+    if part == "week":
+        ma = a.date() - dt.timedelta(days=a.weekday())
+        mb = b.date() - dt.timedelta(days=b.weekday())
+        return (mb - ma).days // 7
+    if part == "month":
+        return (b.year - a.year) * 12 + b.month - a.month
+    if part == "quarter":
+        return (b.year - a.year) * 4 + (b.month - 1) // 3 - (a.month - 1) // 3
+    return b.year - a.year
+
+
+def test_datediff_boundaries_matches_truncation_rule(spark):
+    import random
+    rnd = random.Random(7)
+    base = dt.datetime(1965, 3, 1)
+    pairs = []
+    for _ in range(300):
+        a = base + dt.timedelta(microseconds=rnd.randrange(0, 70 * 365 * 86400 * 10**6))
+        b = a + dt.timedelta(microseconds=rnd.randrange(-3 * 365 * 86400 * 10**6, 3 * 365 * 86400 * 10**6))
+        pairs.append((a.isoformat(sep=" "), b.isoformat(sep=" ")))
+    df = spark.createDataFrame(pairs, "a string, b string").select(
+        F.col("a").cast("timestamp_ntz").alias("a"), F.col("b").cast("timestamp_ntz").alias("b"))
+    parts = ["microsecond", "millisecond", "second", "minute", "hour", "day", "week", "month", "quarter", "year"]
+    got = df.select("a", "b", *[D.datediff_boundaries("a", "b", p).alias(p) for p in parts]).collect()
+    for r in got:
+        for p in parts:
+            assert r[p] == _py_boundaries(r["a"], r["b"], p), (r["a"], r["b"], p)
