@@ -119,10 +119,12 @@ def asof_backward(left: DataFrame, right: DataFrame, ts: str, by: list[str] | No
     One union + a forward fill of the right-row struct (``last(struct,
     ignorenulls)``) instead of a non-equi join per column.  Ties at equal
     timestamps put right rows first so an exact match is taken.  Without
-    ``by`` the fill needs a global order: ``global_order='scan'`` uses the
-    range-partitioned scan (no single task); ``'window'`` uses one ordered
-    window and is only for series with a proven small bound (e.g. one row per
-    hour of a study range).
+    ``by`` the fill needs a global order, and with ``by`` one key may hold a
+    large share of the rows: ``global_order='scan'`` (default) uses the
+    range-partitioned scan with a carry table (no task ever holds a whole key
+    or the whole series); ``'window'`` uses an ordered window per key (or one
+    global window) and is only for series with a proven small bound (e.g. one
+    row per hour of a study range).
     """
     by = by or []
     right_ts = right_ts or ts
@@ -134,9 +136,9 @@ def asof_backward(left: DataFrame, right: DataFrame, ts: str, by: list[str] | No
     lft = left.select(*by, F.col(ts).alias("_ts"), lcols_struct, F.lit(1).alias("_side"))
     u = lft.withColumn("_r", F.lit(None).cast(r.schema["_r"].dataType)).unionByName(
         r.withColumn("_l", F.lit(None).cast(lft.schema["_l"].dataType)))
-    if not by and global_order == "scan":
-        from flowgrid.operators.windows import forward_fill_global
-        filled = forward_fill_global(u.withColumn("_m", F.col("_r")), ["_ts", "_side"], ["_m"]) \
+    if global_order == "scan":
+        from flowgrid.operators.windows import forward_fill_by
+        filled = forward_fill_by(u.withColumn("_m", F.col("_r")), by, ["_ts", "_side"], ["_m"]) \
             .where(F.col("_side") == 1)
     else:
         w = (Window.partitionBy(*by) if by else Window).orderBy("_ts", "_side") \
@@ -146,7 +148,14 @@ def asof_backward(left: DataFrame, right: DataFrame, ts: str, by: list[str] | No
                          *[F.col("_m." + c).alias(c) for c in rcols])
 
 
-def forward_fill(df: DataFrame, order: str, cols: list[str], by: list[str] | None = None) -> DataFrame:
-    """Carry the last non-null value of each column forward in ``order``."""
+def forward_fill(df: DataFrame, order: str, cols: list[str], by: list[str] | None = None,
+                 skew_safe: bool = True) -> DataFrame:
+    """Carry the last non-null value of each column forward in ``order``
+    (per ``by`` key).  ``skew_safe``: range-partition scan with a carry table;
+    otherwise one window partition per key (one task for the whole series
+    without ``by``)."""
+    if skew_safe:
+        from flowgrid.operators.windows import forward_fill_by
+        return forward_fill_by(df, by or [], [order], cols)
     w = (Window.partitionBy(*by) if by else Window).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     return df.withColumns({c: F.last(c, ignorenulls=True).over(w) for c in cols})

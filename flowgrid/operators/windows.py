@@ -119,6 +119,40 @@ def forward_fill_global(df: DataFrame, order: Sequence[str], cols: Sequence[str]
         .drop("_pid", *["_carry_" + c for c in cols])
 
 
+def forward_fill_by(df: DataFrame, by: Sequence[str], order: Sequence[str], cols: Sequence[str]) -> DataFrame:
+    """``last(c, ignorenulls) over (partition by by order by order)`` for each
+    column, without one task per key: range-partition on ``by + order`` (a hot
+    key is spread over many partitions), fill inside each (partition, key)
+    slice, then carry the last non-null value of a key from earlier partitions
+    into the first key of each partition.  The carry table has one row per
+    partition (only a partition's first key can continue from before it)."""
+    by, order = list(by), list(order)
+    if not by:
+        return forward_fill_global(df, order, cols)
+    r = range_partitioned(df, by + order)
+    key = F.struct(*[F.col(b) for b in by])
+    w_in = Window.partitionBy("_pid", *by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    filled = r.withColumns({c: F.last(c, ignorenulls=True).over(w_in) for c in cols})
+    per = r.groupBy("_pid").agg(F.min(key).alias("_first"), F.max(key).alias("_last"))
+    # last non-null value of each column among the rows of the partition's last key
+    tails = r.join(F.broadcast(per.select("_pid", "_last")), "_pid").where(key.eqNullSafe(F.col("_last"))) \
+        .groupBy("_pid").agg(
+        *[F.max_by(c, F.when(F.col(c).isNotNull(), F.struct(*order))).alias("_t_" + c) for c in cols])
+    per = per.join(tails, "_pid", "left")
+    # cumulative per last key over the partitions (the carry table is one row per partition)
+    wk = Window.partitionBy("_last").orderBy("_pid").rowsBetween(Window.unboundedPreceding, 0)
+    per = per.withColumns({"_cum_" + c: F.last("_t_" + c, ignorenulls=True).over(wk) for c in cols})
+    wp = Window.orderBy("_pid")
+    carry = per.select("_pid", "_first", F.lag("_last").over(wp).alias("_prev_last"),
+                       *[F.lag("_cum_" + c).over(wp).alias("_carry_" + c) for c in cols])
+    carry = carry.where(F.col("_prev_last").eqNullSafe(F.col("_first"))).drop("_prev_last")
+    out = filled.join(F.broadcast(carry), "_pid", "left")  # one row per partition
+    first_group = key.eqNullSafe(F.col("_first"))
+    return out.withColumns({c: F.when(first_group, F.coalesce(F.col(c), F.col("_carry_" + c)))
+                            .otherwise(F.col(c)) for c in cols}) \
+        .drop("_pid", "_first", *["_carry_" + c for c in cols])
+
+
 def deduplicate_by_agg(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[str],
                        descending: bool = False) -> DataFrame:
     """First row per key by ``order_by`` (all ascending or all descending),

@@ -129,3 +129,36 @@ def test_grouped_percentiles_hot_group(spark):
         want = np.quantile(v[g == key], [0.1, 0.5, 0.9])
         got = [out[int(key)].a, out[int(key)].b, out[int(key)].c]
         assert np.allclose(got, want, atol=1e-12), key
+
+
+def test_forward_fill_by_matches_window_with_hot_key(spark):
+    from pyspark.sql import Window
+    from flowgrid.operators.windows import forward_fill_by
+    rows = []
+    for i in range(6000):  # key "hot" holds about a third of the rows
+        k = "hot" if i % 3 == 0 else f"k{i % 37}"
+        v = None if (i % 5 and i % 7) else float(i)  # long runs of nulls
+        rows.append((k, i, v, None if i % 11 else i))
+    rows.append((None, 1, None, 4))
+    rows.append((None, 2, 5.0, None))
+    df = spark.createDataFrame(rows, "k string, t int, v double, w int").repartition(7)
+    w = Window.partitionBy("k").orderBy("t").rowsBetween(Window.unboundedPreceding, 0)
+    def nk(t):
+        return tuple((x is None, x) for x in t)
+    want = sorted((tuple(r) for r in df.withColumns({c: F.last(c, ignorenulls=True).over(w) for c in ["v", "w"]})
+                   .collect()), key=nk)
+    got = forward_fill_by(df, ["k"], ["t"], ["v", "w"])
+    assert got.columns == df.columns
+    assert sorted((tuple(r) for r in got.collect()), key=nk) == want
+
+
+def test_asof_backward_by_key_matches_window(spark):
+    from flowgrid.operators.series import asof_backward
+    left = spark.createDataFrame([(k, t) for k in ["a", "b", "hot"] for t in range(0, 600, 3)], "k string, t int")
+    right = spark.createDataFrame([("hot", t, float(t)) for t in range(1, 600, 2)] + [("a", 10, 1.0), ("a", 99, 2.0)],
+                                  "k string, t int, x double")
+    scan = asof_backward(left, right, "t", by=["k"])
+    win = asof_backward(left, right, "t", by=["k"], global_order="window")
+    assert sorted(tuple(r) for r in scan.collect()) == sorted(tuple(r) for r in win.collect())
+    got = {(r.k, r.t): r.x for r in scan.collect()}
+    assert got[("a", 9)] is None and got[("a", 12)] == 1.0 and got[("a", 99)] == 2.0 and got[("hot", 6)] == 5.0
