@@ -262,7 +262,7 @@ def q_insert_ignore(spark, sf_dir):
 WHERE o_orderdate < TIMESTAMP '1997-01-01 00:00:00'""")
 def q_insert_by_period(spark, sf_dir):
     """Target holds orders up to 1995-01-01; the backfill resumes after its
-    newest timestamp and loads every month up to the stop date in one pass."""
+    newest timestamp and appends every month up to the stop date in one pass."""
     o = TBL(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_totalprice")
     path = scratch_path(spark, "orders-by-period")
     first = o.where(F.col("o_orderdate") <= F.lit("1995-01-01 00:00:00").cast("timestamp_ntz"))

@@ -68,21 +68,31 @@ def insert_ignore(target: DataFrame, batch: DataFrame, keys: Sequence[str], path
     return target.sparkSession.read.parquet(path)
 
 
-def backfill_by_period(source: DataFrame, target_path: str, ts: str, stop, period: str = "month") -> DataFrame:
-    """Resume after the newest loaded timestamp, up to ``stop`` (exclusive),
-    stamped with the period and written with dynamic partition overwrite
-    (one pass, no per-period driver loop).  The period holding the newest
-    loaded row is reloaded whole, because overwriting its partition with only
-    the newer rows would drop the loaded ones."""
+def _path_exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def backfill_by_period(source: DataFrame, target_path: str, ts: str, stop, period: str = "month",
+                       start=None) -> DataFrame:
+    """Insert-by-period in one pass: load the rows after the newest loaded
+    timestamp (``start`` when the target is empty or absent; a row exactly at
+    it is not loaded) and before ``stop`` minus one millisecond, stamped with
+    the calendar ``period`` they fall in and appended as partitions of the
+    target.  The union of the reference's per-period statements is this one
+    range, so no driver loop is needed; a rerun resumes after the new maximum,
+    so it never loads a row twice, and a failed job leaves no committed files."""
     spark: SparkSession = source.sparkSession
-    tgt = spark.read.parquet(target_path)
-    hi = tgt.agg(F.max(ts)).first()[0]
-    upper = F.col(ts) < ntz_lit(stop)
-    batch = source.where((F.col(ts) >= date_trunc_ntz(period, ntz_lit(hi))) & upper) \
-        if hi is not None else source.where(upper)
-    batch = batch.withColumn("period", F.date_format(date_trunc_ntz(period, ts), "yyyy-MM-dd"))
-    (batch.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("period").parquet(target_path))
+    hi = None
+    if _path_exists(spark, target_path):
+        hi = spark.read.parquet(target_path).agg(F.max(ts)).first()[0]
+    lower = ntz_lit(hi) if hi is not None else (ntz_lit(start) if start is not None else None)
+    cond = F.col(ts) < F.timestamp_add("MILLISECOND", F.lit(-1), ntz_lit(stop))
+    if lower is not None:
+        cond = cond & (F.col(ts) > lower)
+    batch = source.where(cond).withColumn("period", F.date_format(date_trunc_ntz(period, ts), "yyyy-MM-dd"))
+    batch.write.mode("append").partitionBy("period").parquet(target_path)
     return spark.read.parquet(target_path)
 
 
