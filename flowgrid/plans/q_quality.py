@@ -249,9 +249,11 @@ def q_date_spine(spark, sf_dir):
 
 
 @query("generate_series", """SELECT generate_series AS generated_number
-FROM generate_series(1, (SELECT count(*) FROM nation))""")
+FROM generate_series(1, (SELECT count(*) FROM orders))""")
 def q_generate_series(spark, sf_dir):
-    n = T(spark, sf_dir, "nation").count()
+    """1..n with n = rows of ``orders`` (grows with the data); ``range`` is
+    generated in parallel splits, nothing but n passes through the driver."""
+    n = T(spark, sf_dir, "orders").count()
     return series.generate_series(spark, n)
 
 
