@@ -10,7 +10,7 @@ from flowgrid.functions.columns import (hour_floor, weather_code_group, weather_
                                         weekday_label)
 from flowgrid.operators.clean import WEATHER_REQUIRED, filter_complete_rows
 from flowgrid.operators.joins import bounded_broadcast
-from flowgrid.operators.series import asof_backward, day_hour_spine, hour_spine
+from flowgrid.operators.series import asof_backward, hour_spine
 from flowgrid.session import materialize
 
 KEYS = ["station_id", "date_hour"]
@@ -119,11 +119,26 @@ GRID_COLUMNS = ["station_id", "date_hour", "year", "month", "day", "hour", "temp
 
 
 def dense_index(net: DataFrame, spine_mode: str = "hour_span") -> DataFrame:
-    """stations x hours.  ``hour_span``: first..last observed hour (SQL);
-    ``day_x_24``: whole days x 24 hours (pandas)."""
-    stations = net.select("station_id").distinct()
-    hours = hour_spine(net) if spine_mode == "hour_span" else day_hour_spine(net)
-    return stations.crossJoin(bounded_broadcast(hours, MAX_HOURS_BROADCAST))
+    """stations x hours, as a generator rather than a join: every station row
+    explodes the hour range, whose bounds come from one scalar subquery.
+    ``hour_span``: first..last observed hour (SQL); ``day_x_24``: whole days x
+    24 hours (pandas).  The station list is hash-spread over the shuffle
+    partitions first, so the (stations x hours) rows are generated by many
+    tasks, not by the one that holds a small distinct result."""
+    if spine_mode == "hour_span":
+        b = net.agg(F.struct(F.min(hour_floor("date_hour")).alias("lo"),
+                             F.max(hour_floor("date_hour")).alias("hi")).alias("b")).scalar()
+        lo, hi = b.getField("lo"), b.getField("hi")
+    elif spine_mode == "day_x_24":
+        b = net.agg(F.struct(F.min(F.to_date("date_hour")).alias("lo"),
+                             F.max(F.to_date("date_hour")).alias("hi")).alias("b")).scalar()
+        lo = b.getField("lo").cast("timestamp_ntz")
+        hi = F.timestamp_add("HOUR", F.lit(23), b.getField("hi").cast("timestamp_ntz"))
+    else:
+        raise ValueError(spine_mode)
+    n = int(net.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    stations = net.select("station_id").distinct().repartition(n, "station_id")
+    return stations.select("station_id", F.explode(F.sequence(lo, hi, F.expr("INTERVAL 1 HOUR"))).alias("date_hour"))
 
 
 def left_grid_fill(index: DataFrame, net: DataFrame) -> DataFrame:

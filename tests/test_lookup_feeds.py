@@ -63,3 +63,16 @@ def test_feed_documents_split_and_read_back(spark, tmp_path):
     docs.write.json(path)
     back = readers.read_stations(spark, path, multi_line=False)
     assert back.count() == n and back.select("station_id").distinct().count() == n
+
+
+def test_dense_index_modes(spark):
+    t = dt.datetime
+    net = spark.createDataFrame([("A", t(2024, 3, 1, 5)), ("B", t(2024, 3, 2, 7)), ("A", t(2024, 3, 2, 1))],
+                                "station_id string, date_hour timestamp_ntz")
+    span = flow.dense_index(net, "hour_span")
+    assert span.count() == 2 * 27  # 03-01 05:00 .. 03-02 07:00
+    assert {r.date_hour for r in span.where("station_id = 'B'").collect()} == \
+        {t(2024, 3, 1, 5) + dt.timedelta(hours=i) for i in range(27)}
+    days = flow.dense_index(net, "day_x_24")
+    assert days.count() == 2 * 48 and days.agg(F.max("date_hour")).first()[0] == t(2024, 3, 2, 23)
+    assert flow.dense_index(net.where("false"), "hour_span").count() == 0
