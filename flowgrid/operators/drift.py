@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from flowgrid.operators.scan import prefix_scan
 from flowgrid.operators.windows import first_alarm, page_hinkley
+from flowgrid.operators.joins import with_scalars
 
 # Fixed thresholds of the monitoring job.
 RMSE_THRESHOLD = 15.0
@@ -24,10 +25,10 @@ MIN_VOTES = 2
 
 def regression_metrics(df: DataFrame, y: str, yhat: str, digits: int | None = 6) -> DataFrame:
     """n, RMSE, MAE, R^2 (null when y is constant) in one aggregate pass plus
-    one pass for the centred sum of squares (mean via a 1-row join)."""
+    one pass for the centred sum of squares (mean as a scalar subquery)."""
     e = F.col(y) - F.col(yhat)
     m = df.agg(F.avg(y).alias("_ybar"))
-    j = df.crossJoin(F.broadcast(m))
+    j = with_scalars(df, m)
     a = j.agg(F.count(F.lit(1)).alias("n"), F.sqrt(F.avg(e * e)).alias("rmse"), F.avg(F.abs(e)).alias("mae"),
               F.sum(e * e).alias("_sse"), F.sum((F.col(y) - F.col("_ybar")) ** 2).alias("_sst"))
     r2 = F.when(F.col("_sst") != 0, 1 - F.col("_sse") / F.col("_sst"))

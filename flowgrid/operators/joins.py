@@ -16,6 +16,14 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS)
     return F.broadcast(df) if n <= max_rows else df
 
 
+def with_scalars(df: DataFrame, stats: DataFrame) -> DataFrame:
+    """Attach every column of a 1-row frame (a global aggregate) to each row
+    of ``df`` as scalar subqueries: evaluated once (the struct subquery is
+    reused for every field), inlined as values, no join and no shuffle."""
+    s = stats.select(F.struct(*[F.col(c) for c in stats.columns]).alias("_s")).scalar()
+    return df.select("*", *[s.getField(c).alias(c) for c in stats.columns])
+
+
 def semi_join(df: DataFrame, keys: DataFrame, on: str | list[str], max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     return df.join(bounded_broadcast(keys, max_rows), on, "left_semi")
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowgrid.functions.columns import hour_band
+from flowgrid.operators.joins import with_scalars
 
 
 def top_k(df: DataFrame, key: str, measure: str, k: int = 20, ascending: bool = False,
@@ -89,7 +90,7 @@ def series_alignment(df: DataFrame, key: str = "station_id", ts: str = "date_hou
     total = df.agg(F.count_distinct(ts).alias("n_all"))
     s = per.agg(F.count(F.lit(1)).alias("n_series"), F.count_distinct("n_points").alias("n_distinct_lengths"),
                 F.min("n_points").alias("min_points"), F.max("n_points").alias("max_points"))
-    return s.crossJoin(total).select(
+    return with_scalars(s, total).select(
         "n_series", "n_distinct_lengths", "min_points", "max_points",
         ((F.col("n_distinct_lengths") == 1) & (F.col("min_points") == F.col("n_all"))).alias("same_hour_set"))
 
@@ -137,7 +138,7 @@ def pd_cut_bins(df: DataFrame, col: str, bins: int = 20, out: str = "bin", round
     c = F.round(col, round_to) if round_to is not None else F.col(col)
     d = df.withColumn("_x", c)
     mm = d.agg(F.min("_x").alias("_mn"), F.max("_x").alias("_mx"))
-    j = d.crossJoin(F.broadcast(mm))  # 1-row statistics
+    j = with_scalars(d, mm)  # 1-row statistics
     step = (F.col("_mx") - F.col("_mn")) / bins
     b = F.greatest(F.lit(1), F.least(F.lit(bins), F.ceil((F.col("_x") - F.col("_mn")) / step))).cast("int")
     b = F.when(F.col("_mx") == F.col("_mn"), F.lit(1)).otherwise(b)

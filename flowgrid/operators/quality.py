@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowgrid.functions.dates import dateadd, ntz_lit
+from flowgrid.operators.joins import with_scalars
 
 
 def _where(df: DataFrame, cond: str | Column | None) -> DataFrame:
@@ -82,14 +83,14 @@ def not_null_proportion(df: DataFrame, column: str, at_least: float, at_most: fl
 def equal_rowcount(a: DataFrame, b: DataFrame) -> DataFrame:
     ca = a.agg(F.count(F.lit(1)).alias("count_a"))
     cb = b.agg(F.count(F.lit(1)).alias("count_b"))
-    j = ca.crossJoin(cb)  # two 1-row frames
+    j = with_scalars(ca, cb)  # two 1-row frames
     return j.withColumn("diff_count", F.abs(F.col("count_a") - F.col("count_b"))).where("diff_count > 0")
 
 
 def fewer_rows_than(a: DataFrame, b: DataFrame) -> DataFrame:
     """Fails when a has at least as many rows as b (equal counts give 1)."""
-    j = a.agg(F.count(F.lit(1)).alias("count_our_model")).crossJoin(
-        b.agg(F.count(F.lit(1)).alias("count_comparison_model")))
+    j = with_scalars(a.agg(F.count(F.lit(1)).alias("count_our_model")),
+                     b.agg(F.count(F.lit(1)).alias("count_comparison_model")))
     return j.withColumn("row_count_delta",
                         F.when(F.col("count_our_model") >= F.col("count_comparison_model"),
                                F.col("count_our_model") - F.col("count_comparison_model") + 1).otherwise(0)) \

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowgrid.session import ensure_checkpoint_dir
+from flowgrid.operators.joins import with_scalars
 
 
 def _n_parts(df: DataFrame, n: int | None) -> int:
@@ -256,7 +257,7 @@ def grouped_percentiles(df: DataFrame, by: Sequence[str], col: str, probs: Seque
         side = F.broadcast(tgt) if n_groups <= max_broadcast_groups else tgt
         j = s.join(side, by)
     else:
-        j = s.crossJoin(F.broadcast(tgt))  # one row
+        j = with_scalars(s, tgt)  # one row
     hi_c = F.col("_cum") - F.col("_off")
     lo_c = hi_c - F.col("_n")
     aggs = []

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from flowgrid.operators import drift
 from flowgrid.plans.q_grid import G, grid
 from flowgrid.plans.registry import query
+from flowgrid.operators.joins import with_scalars
 
 PERIOD_SQL = "CASE WHEN day <= 15 THEN 'reference' ELSE 'current' END"
 RES_SQL = f"""r_res AS (SELECT station_id, date_hour, hour, month, jour_semaine, {PERIOD_SQL} AS period,
@@ -192,5 +193,5 @@ def q_retrain_decision(spark, sf_dir):
     dd = data_drift(spark, sf_dir).agg(F.coalesce(F.bool_or("drift"), F.lit(False)).alias("data_drift"))
     cd = q_concept_drift_vote(spark, sf_dir).select("concept_drift")
     pg = q_performance_gate(spark, sf_dir).select(F.col("retrain").alias("performance_drift"))
-    j = dd.crossJoin(cd).crossJoin(pg)  # three 1-row frames
+    j = with_scalars(with_scalars(dd, cd), pg)  # three 1-row frames
     return j.withColumn("retrain", F.col("data_drift") | F.col("concept_drift") | F.col("performance_drift"))

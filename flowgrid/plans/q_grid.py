@@ -13,6 +13,7 @@ from flowgrid.plans import sqlparts as S
 from flowgrid.plans.q_mobility import WEATHER_DIGITS, final_trips, mob
 from flowgrid.plans.registry import query, with_adapters
 from flowgrid.plans.memo import clear_memo, memo  # noqa: F401
+from flowgrid.operators.joins import with_scalars
 
 
 def net(spark, sf_dir) -> DataFrame:
@@ -100,7 +101,7 @@ FROM g_grid g, (SELECT avg(net_flow) AS mean_net_flow FROM g_grid) s"""))
 def q_cross_scalar_stats(spark, sf_dir):
     g = grid(spark, sf_dir)
     stats = g.agg(F.avg("net_flow").alias("mean_net_flow"))
-    return g.select("station_id", "date_hour", "net_flow").crossJoin(F.broadcast(stats))  # 1-row side
+    return with_scalars(g.select("station_id", "date_hour", "net_flow"), stats)
 
 
 @query("anti_missing_rows", G("""SELECT g.station_id, g.date_hour FROM g_grid g
@@ -270,7 +271,7 @@ def q_filter_period(spark, sf_dir):
     """Grid rows inside the weather-covered range (bounds from a 1-row aggregate)."""
     from flowgrid.plans.q_mobility import weather_hourly
     b = weather_hourly(spark, sf_dir).agg(F.min("date_hour").alias("lo"), F.max("date_hour").alias("hi"))
-    g = grid(spark, sf_dir).select("station_id", "date_hour").crossJoin(F.broadcast(b))
+    g = with_scalars(grid(spark, sf_dir).select("station_id", "date_hour"), b)
     return g.where(F.col("date_hour").between(F.col("lo"), F.col("hi"))).drop("lo", "hi")
 
 

@@ -14,6 +14,7 @@ from flowgrid.operators import reshape, windows
 from flowgrid.plans.adapters import table
 from flowgrid.plans.q_mobility import mob
 from flowgrid.plans.registry import query, with_adapters
+from flowgrid.operators.joins import with_scalars
 
 
 def T(spark, sf_dir, name) -> DataFrame:
@@ -57,7 +58,7 @@ SELECT bucket, count(*) AS n FROM b GROUP BY 1""")
 def q_width_bucket(spark, sf_dir):
     li = T(spark, sf_dir, "lineitem")
     s = li.agg(F.min("l_extendedprice").alias("mn"), F.max("l_extendedprice").alias("mx"))
-    j = li.select("l_extendedprice").crossJoin(F.broadcast(s))  # 1-row statistics
+    j = with_scalars(li.select("l_extendedprice"), s)  # 1-row statistics
     return j.groupBy(width_bucket("l_extendedprice", "mn", "mx", 10, "edge_mod").alias("bucket")).agg(
         F.count(F.lit(1)).alias("n"))
 
@@ -381,7 +382,7 @@ def q_url_host_profile(spark, sf_dir):
     p = T(spark, sf_dir, "pages")
     g = p.groupBy(urls.url_host("url").alias("host")).agg(F.count(F.lit(1)).alias("n_pages"))
     total = p.agg(F.count(F.lit(1)).alias("_t"))
-    return g.crossJoin(F.broadcast(total)).select(
+    return with_scalars(g, total).select(
         "host", "n_pages", F.round(F.col("n_pages") * 100.0 / F.col("_t"), 6).alias("pct_pages"))
 
 
