@@ -8,7 +8,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from flowgrid.operators.scan import prefix_scan
@@ -38,6 +38,51 @@ def regression_metrics(df: DataFrame, y: str, yhat: str, digits: int | None = 6)
     return out
 
 
+def fanout_metrics(actuals: DataFrame, preds: DataFrame, keys: Sequence[str], y: str, yhat: str,
+                   digits: int | None = 6) -> DataFrame:
+    """``regression_metrics`` over ``actuals JOIN preds ON keys`` (every match
+    kept, null predictions dropped) without emitting the pairs.  Per key:
+    counts, sums and sums of squares of both sides give n, SSE, the mean and
+    SST; the sum of |a - p| over a key's pairs comes from a running count and
+    sum of the actuals in value order (for each prediction p:
+    p*c - s + (S - s) - p*(N - c)), a window over one key's rows only."""
+    keys = list(keys)
+    a = actuals.select(*keys, F.col(y).cast("double").alias("_v"), F.lit(1).alias("_isa"))
+    p = preds.where(F.col(yhat).isNotNull()).select(*keys, F.col(yhat).cast("double").alias("_v"),
+                                                   F.lit(0).alias("_isa"))
+    sa = a.groupBy(*keys).agg(F.count(F.lit(1)).alias("_na"), F.sum("_v").alias("_sa"),
+                              F.sum(F.col("_v") * F.col("_v")).alias("_sa2"))
+    w = Window.partitionBy(*keys).orderBy(F.col("_v"), F.col("_isa").desc()) \
+        .rowsBetween(Window.unboundedPreceding, 0)
+    u = a.unionByName(p).withColumns({"_c": F.sum("_isa").over(w),
+                                      "_s": F.sum(F.when(F.col("_isa") == 1, F.col("_v")).otherwise(0.0)).over(w)})
+    pr = u.where(F.col("_isa") == 0).join(sa, keys)  # keys present on both sides only
+    pv, c, s_le = F.col("_v"), F.col("_c"), F.col("_s")
+    absum = pv * c - s_le + (F.col("_sa") - s_le) - pv * (F.col("_na") - c)
+    k = pr.groupBy(*keys).agg(F.first("_na").alias("_na"), F.first("_sa").alias("_sa"), F.first("_sa2").alias("_sa2"),
+                              F.count(F.lit(1)).alias("_np"), F.sum("_v").alias("_sp"),
+                              F.sum(pv * pv).alias("_sp2"), F.sum(absum).alias("_abs"))
+    na, np_, sa_, sp_ = F.col("_na"), F.col("_np"), F.col("_sa"), F.col("_sp")
+    t = k.agg(F.coalesce(F.sum(na * np_), F.lit(0)).alias("n"),
+              F.sum(np_ * F.col("_sa2") - 2 * sa_ * sp_ + na * F.col("_sp2")).alias("_sse"),
+              F.sum(F.col("_abs")).alias("_abs"),
+              F.try_divide(F.sum(np_ * sa_), F.sum(na * np_).cast("double")).alias("_ybar"))
+    # SST directly (exactly 0 for a constant target): each actual weighs as
+    # many pairs as its key has predictions
+    ybar = t.select("_ybar").scalar()
+    sst_f = a.join(k.select(*keys, "_np"), keys).agg(
+        F.sum(F.col("_np") * (F.col("_v") - ybar) * (F.col("_v") - ybar)).alias("_sst"))
+    t = with_scalars(t, sst_f)
+    n = F.col("n").cast("double")
+    sst = F.col("_sst")
+    sse = F.greatest(F.col("_sse"), F.lit(0.0))
+    out = t.select("n", F.sqrt(F.try_divide(sse, n)).alias("rmse"), F.try_divide(F.col("_abs"), n).alias("mae"),
+                   F.when(sst != 0, 1 - sse / sst).alias("r2"))
+    if digits is not None:
+        out = out.select("n", *[F.round(c, digits).alias(c) for c in ("rmse", "mae", "r2")])
+    return out
+
+
 def residual_stats(df: DataFrame, residual: str, by: Sequence[str]) -> DataFrame:
     return df.groupBy(*by).agg(F.count(residual).alias("n"), F.round(F.avg(residual), 6).alias("mean"),
                                F.round(F.stddev_pop(residual), 6).alias("std_pop"))

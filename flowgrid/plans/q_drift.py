@@ -84,8 +84,11 @@ def q_regression_metrics(spark, sf_dir):
 SELECT *, coalesce(rmse > {drift.RMSE_THRESHOLD}, FALSE) AS retrain FROM ({_metrics_sql('j_join', 'actual', 'prediction')})"""))
 def q_performance_gate(spark, sf_dir):
     """Metrics of the fan-out join and the retrain flag (RMSE > 15; empty
-    input gives false)."""
-    m = drift.regression_metrics(joined(spark, sf_dir), "actual", "prediction")
+    input gives false).  Computed from per-key statistics of both sides, so
+    the pairs of the fan-out are never emitted."""
+    r = residuals(spark, sf_dir).where("period = 'current'")
+    keys = ["station_id", "hour", "month", "jour_semaine"]
+    m = drift.fanout_metrics(r.select(*keys, "actual"), r.select(*keys, "prediction"), keys, "actual", "prediction")
     return m.withColumn("retrain", F.coalesce(F.col("rmse") > drift.RMSE_THRESHOLD, F.lit(False)))
 
 

@@ -119,3 +119,29 @@ def test_dedup_by_agg_matches_row_number(spark):
     got = sorted(tuple(r) for r in windows.deduplicate_by_agg(df, ["k"], ["o", "v"], descending=True).collect())
     assert got == [(1, 5, "y"), (2, 1, "z")]
     _ = F
+
+
+def test_fanout_metrics_equal_pair_join(spark):
+    import random
+    from flowgrid.operators import drift as DR
+    rnd = random.Random(3)
+    act = [(f"k{rnd.randrange(12)}", rnd.randrange(-5, 6)) for _ in range(300)]
+    pre = [(f"k{rnd.randrange(14)}", None if rnd.random() < 0.1 else rnd.choice([rnd.randrange(-5, 6) * 1.0,
+                                                                               rnd.uniform(-5, 5)]))
+           for _ in range(250)]
+    a = spark.createDataFrame(act, "k string, y int")
+    p = spark.createDataFrame(pre, "k string, p double")
+
+    def both(a, p):
+        pairs = a.join(p, "k").where("p IS NOT NULL")
+        want = DR.regression_metrics(pairs, "y", "p").first()
+        got = DR.fanout_metrics(a, p, ["k"], "y", "p").first()
+        return want, got
+    want, got = both(a, p)
+    assert got.n == want.n > 0
+    for c in ("rmse", "mae", "r2"):
+        assert abs(got[c] - want[c]) < 1e-6, c
+    want, got = both(a.withColumn("y", F.lit(2)), p)           # constant target: r2 is null
+    assert got.r2 is None and want.r2 is None and abs(got.rmse - want.rmse) < 1e-6
+    want, got = both(a.where("false"), p)                       # no pairs
+    assert got.n == 0 and got.rmse is None and want.rmse is None
