@@ -17,11 +17,15 @@ from flowgrid.functions.dates import date_trunc_ntz, ntz_lit
 def write_parquet(df: DataFrame, path: str, sort_by: Sequence[str] = (), partition_by: Sequence[str] = (),
                   max_records_per_file: int = 5_000_000, n_partitions: int | None = None) -> DataFrame:
     """Parallel export: range-partition on ``sort_by`` (each output file
-    holds one contiguous key range, sorted), cap rows per file."""
+    holds one contiguous key range, sorted), cap rows per file.  A hash of
+    the whole row is appended to the range key as a tie-breaker, so a sort
+    value shared by a large share of the rows is split over many tasks (the
+    hash is deterministic, so a retried task writes the same rows)."""
     out = df
     if sort_by:
         n = n_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-        out = out.repartitionByRange(n, *sort_by).sortWithinPartitions(*sort_by)
+        out = (out.withColumn("_tb", F.xxhash64(*[F.col(c) for c in df.columns]))
+               .repartitionByRange(n, *sort_by, "_tb").sortWithinPartitions(*sort_by, "_tb").drop("_tb"))
     w = out.write.mode("overwrite").option("maxRecordsPerFile", max_records_per_file)
     if partition_by:
         w = w.partitionBy(*partition_by)

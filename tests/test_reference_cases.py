@@ -84,3 +84,15 @@ def test_date_trunc_day_and_month(spark):
     r = df.select(F.to_date(D.date_trunc_ntz("day", "updated_at")).alias("d"),
                   F.to_date(D.date_trunc_ntz("month", "updated_at")).alias("m")).first()
     assert (r.d, r.m) == (dt.date(2018, 1, 5), dt.date(2018, 1, 1))
+
+
+def test_sorted_export_splits_a_hot_sort_value(spark, tmp_path):
+    df = spark.range(9000).select(F.when(F.col("id") % 3 == 0, F.lit(5)).otherwise(F.col("id") % 50).alias("k"),
+                                  F.col("id").alias("v"))
+    out = sinks.write_parquet(df, str(tmp_path / "export"), sort_by=["k"], n_partitions=6)
+    assert out.count() == 9000
+    f = out.select("k", F.input_file_name().alias("f"))
+    assert f.where("k = 5").select("f").distinct().count() > 1      # the hot value is spread over files
+    ranges = {r.f: (r.lo, r.hi) for r in f.groupBy("f").agg(F.min("k").alias("lo"), F.max("k").alias("hi")).collect()}
+    spans = sorted(ranges.values())
+    assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))      # files hold contiguous, ordered key ranges
