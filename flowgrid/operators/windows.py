@@ -37,8 +37,27 @@ def lead_target(df: DataFrame, col: str, by: Sequence[str], order: Sequence[str]
 
 def deduplicate(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[Column | str]) -> DataFrame:
     """First row per key by ``order_by`` (add a unique tie-break for
-    determinism).  Rows with null keys are kept (grouped together)."""
-    w = Window.partitionBy(*partition_by).orderBy(*order_by)
+    determinism).  Rows with null keys are kept (grouped together).
+
+    ``order_by`` entries are column names, optionally suffixed ``asc`` /
+    ``desc`` (``"version desc"``).  When all share one direction the skew-safe
+    aggregate form (``deduplicate_by_agg``) is used; only mixed directions or
+    Column expressions fall back to a ``row_number`` window."""
+    parsed = []
+    for o in order_by:
+        if not isinstance(o, str):
+            break
+        parts = o.split()
+        if len(parts) == 1 or (len(parts) == 2 and parts[1].lower() in ("asc", "desc")):
+            parsed.append((parts[0], len(parts) == 2 and parts[1].lower() == "desc"))
+        else:
+            break
+    else:
+        # struct comparison puts null fields first, so min_by / max_by pick
+        # the same row as ORDER BY ... ASC NULLS FIRST / DESC NULLS LAST
+        if parsed and len({d for _, d in parsed}) == 1:
+            return deduplicate_by_agg(df, partition_by, [c for c, _ in parsed], descending=parsed[0][1])
+    w = Window.partitionBy(*partition_by).orderBy(*[F.expr(o) if isinstance(o, str) else o for o in order_by])
     return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
 
 
@@ -162,4 +181,4 @@ def deduplicate_by_agg(df: DataFrame, partition_by: Sequence[str], order_by: Seq
     others = [c for c in df.columns if c not in partition_by]
     pick = F.max_by if descending else F.min_by
     g = df.groupBy(*partition_by).agg(pick(F.struct(*others), F.struct(*order_by)).alias("_r"))
-    return g.select(*partition_by, *[F.col("_r." + c).alias(c) for c in others])
+    return g.select(*[F.col(c) if c in partition_by else F.col("_r." + c).alias(c) for c in df.columns])

@@ -145,3 +145,21 @@ def test_fanout_metrics_equal_pair_join(spark):
     assert got.r2 is None and want.r2 is None and abs(got.rmse - want.rmse) < 1e-6
     want, got = both(a.where("false"), p)                       # no pairs
     assert got.n == 0 and got.rmse is None and want.rmse is None
+
+
+def test_deduplicate_uniform_order_uses_aggregate_and_matches_window(spark):
+    from pyspark.sql import Window
+    rows = [(1, 1, "a"), (1, 3, "b"), (1, None, "c"), (2, 2, "d"), (2, 2, "e"), (None, 5, "f"), (None, 4, "g")]
+    rows += [(7, i, f"h{i}") for i in range(2000)]  # hot key
+    df = spark.createDataFrame(rows, "user_id int, version int, tag string")
+    for d in ("asc", "desc"):
+        got = windows.deduplicate(df, ["user_id"], [f"version {d}", f"tag {d}"])
+        assert "Window" not in got._jdf.queryExecution().executedPlan().toString()
+        o = [F.col("version").asc(), F.col("tag").asc()] if d == "asc" else [F.col("version").desc(), F.col("tag").desc()]
+        w = Window.partitionBy("user_id").orderBy(*o)
+        want = df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+        assert got.columns == df.columns
+        key = lambda t: tuple((x is None, x) for x in t)
+        assert sorted(map(tuple, got.collect()), key=key) == sorted(map(tuple, want.collect()), key=key)
+    mixed = windows.deduplicate(df, ["user_id"], ["version desc", "tag asc"])
+    assert {r.user_id: r.tag for r in mixed.collect()}[2] == "d"
