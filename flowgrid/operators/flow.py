@@ -142,10 +142,22 @@ def dense_index(net: DataFrame, spine_mode: str = "hour_span") -> DataFrame:
 
 
 def left_grid_fill(index: DataFrame, net: DataFrame) -> DataFrame:
-    g = index.join(net, KEYS, "left")
-    return g.select(*KEYS, F.hour("date_hour").alias("hour"),
-                    *[F.coalesce(c, F.lit(0)).cast("long").alias(c)
-                      for c in ["num_bikes_taken", "num_bikes_dropped", "net_flow"]])
+    """index LEFT JOIN net (one row per key), counts 0 where net has no row.
+
+    Written as a union + aggregate on station-hash-partitioned inputs instead
+    of a join: ``dense_index`` already lays the index out by station, so only
+    net flow (<= the grid) is shuffled, by station; the aggregate on (station,
+    hour) and the later per-station windows reuse that partitioning (no
+    grid-sized shuffle for the join, none for the windows).  Net rows whose
+    key is not in the index are dropped, as by the left join."""
+    counts = ["num_bikes_taken", "num_bikes_dropped", "net_flow"]
+    n = int(net.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    i = index.select(*KEYS, F.lit(1).alias("_i"), *[F.lit(0).cast("long").alias(c) for c in counts])
+    m = net.select(*KEYS, F.lit(0).alias("_i"), *[F.col(c).cast("long").alias(c) for c in counts]) \
+        .repartition(n, "station_id")
+    g = i.unionByName(m).groupBy(*KEYS).agg(F.max("_i").alias("_i"), *[F.sum(c).alias(c) for c in counts])
+    return g.where(F.col("_i") == 1).select(*KEYS, F.hour("date_hour").alias("hour"),
+                                             *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in counts])
 
 
 def left_weather(grid: DataFrame, weather_filled: DataFrame) -> DataFrame:

@@ -76,3 +76,15 @@ def test_dense_index_modes(spark):
     days = flow.dense_index(net, "day_x_24")
     assert days.count() == 2 * 48 and days.agg(F.max("date_hour")).first()[0] == t(2024, 3, 2, 23)
     assert flow.dense_index(net.where("false"), "hour_span").count() == 0
+
+
+def test_left_grid_fill_edges(spark):
+    t = dt.datetime
+    index = spark.createDataFrame([("A", t(2024, 1, 1, h)) for h in range(3)], "station_id string, date_hour timestamp_ntz")
+    net = spark.createDataFrame([("A", t(2024, 1, 1, 1), 3, 1, 2), ("A", t(2024, 1, 1, 2), None, 2, None),
+                                 ("Z", t(2024, 1, 1, 1), 9, 9, 0)],
+                                "station_id string, date_hour timestamp_ntz, num_bikes_taken long, "
+                                "num_bikes_dropped long, net_flow long")
+    got = sorted(tuple(r) for r in flow.left_grid_fill(index, net).collect())
+    assert got == [("A", t(2024, 1, 1, 0), 0, 0, 0, 0), ("A", t(2024, 1, 1, 1), 1, 3, 1, 2),
+                   ("A", t(2024, 1, 1, 2), 2, 0, 2, 0)]
