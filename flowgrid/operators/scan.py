@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowgrid.session import ensure_checkpoint_dir
-from flowgrid.operators.joins import with_scalars
+from flowgrid.operators.joins import bounded_broadcast, with_scalars
 
 
 def _n_parts(df: DataFrame, n: int | None) -> int:
@@ -253,8 +253,7 @@ def grouped_percentiles(df: DataFrame, by: Sequence[str], col: str, probs: Seque
         F.floor((F.col("_tot") - 1) * F.lit(p)).alias(f"_rlo{i}"), F.ceil((F.col("_tot") - 1) * F.lit(p)).alias(f"_rhi{i}"),
         ((F.col("_tot") - 1) * F.lit(p) - F.floor((F.col("_tot") - 1) * F.lit(p))).alias(f"_fr{i}"))])
     if by:
-        n_groups = tgt.count()
-        side = F.broadcast(tgt) if n_groups <= max_broadcast_groups else tgt
+        side = bounded_broadcast(tgt, max_broadcast_groups)  # rows and bytes checked
         j = s.join(side, by)
     else:
         j = with_scalars(s, tgt)  # one row

@@ -96,3 +96,21 @@ def test_sorted_export_splits_a_hot_sort_value(spark, tmp_path):
     ranges = {r.f: (r.lo, r.hi) for r in f.groupBy("f").agg(F.min("k").alias("lo"), F.max("k").alias("hi")).collect()}
     spans = sorted(ranges.values())
     assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))      # files hold contiguous, ordered key ranges
+
+
+def test_bounded_broadcast_checks_rows_and_bytes(spark):
+    from flowgrid.operators import joins as J
+
+    def hinted(df):
+        return "ResolvedHint" in df._jdf.queryExecution().analyzed().toString()
+    df = spark.range(1000).selectExpr("id", "cast(id as string) AS s")
+    assert J.row_width(df.schema) == 28
+    assert hinted(J.bounded_broadcast(df, max_rows=1000, max_bytes=28_000))
+    assert not hinted(J.bounded_broadcast(df, max_rows=999, max_bytes=10**9))     # too many rows
+    assert not hinted(J.bounded_broadcast(df, max_rows=10**6, max_bytes=27_999))   # too many bytes
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")                # broadcasting disabled
+        assert not hinted(J.bounded_broadcast(df))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
