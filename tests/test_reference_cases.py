@@ -114,3 +114,14 @@ def test_bounded_broadcast_checks_rows_and_bytes(spark):
         assert not hinted(J.bounded_broadcast(df))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_with_scalars_attaches_statistics_without_a_join(spark):
+    from flowgrid.operators import joins as J
+    df = spark.range(100).select((F.col("id") % 10).alias("x"))
+    stats = df.agg(F.avg("x").alias("mean_x"), F.max("x").alias("max_x"))
+    out = J.with_scalars(df, stats)
+    assert out.columns == ["x", "mean_x", "max_x"]
+    assert {(r.mean_x, r.max_x) for r in out.collect()} == {(4.5, 9)}
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "CartesianProduct" not in plan
