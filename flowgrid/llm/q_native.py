@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from flowgrid.llm import line_dedup, mixing, sharding
 from flowgrid.llm import quality_rules as qr
-from flowgrid.llm import sharding
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,5 +48,49 @@ def op1_turn_table_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(documents(spark, sf_dir)).select("doc_id", "slot", "shard")
 
 
-QUERIES = {"op1_turn_table_sharding": op1_turn_table_sharding, "op9_rule_ledger": op9_rule_ledger}
-ORACLES = {"op9_rule_ledger": OP9_SQL}
+def op2_flow_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(documents(spark, sf_dir), F.array("source"))
+    return mixed.select("doc_id", "size", F.get("source_size", F.lit(0)).alias("source_size"),
+                        F.get("target", F.lit(0)).alias("target"), "taken")
+
+
+OP2_SQL = r"""
+WITH d AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
+                  md5('mix-1:' || coalesce(doc_id::VARCHAR, 'null')) AS h FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
+w AS (SELECT *, [5, 2, 1][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT] AS weight FROM s),
+k AS (SELECT *, 2.0::DOUBLE * source_size / weight AS k,
+             (SELECT 1.5::DOUBLE * sum(source_size) FROM s) AS total FROM w),
+c AS (SELECT *, coalesce(sum(2 * source_size) OVER (ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::DOUBLE AS below,
+             sum(weight) OVER (ORDER BY k ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)::DOUBLE AS open_weight FROM k),
+lv AS (SELECT arg_min((total - below) / open_weight, k) FILTER (WHERE k >= (total - below) / open_weight) AS level FROM c),
+t AS (SELECT source, source_size, least(2.0::DOUBLE * source_size, level * weight) AS target FROM c, lv),
+q AS (SELECT *, floor(target + 0.5)::BIGINT AS quota FROM t),
+r AS (SELECT d.*, source_size, target,
+             CASE WHEN source_size = 0 THEN 0 ELSE quota // source_size END AS passes,
+             CASE WHEN source_size = 0 THEN 0 ELSE quota % source_size END AS rest,
+             coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY h, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+      FROM d JOIN q ON d.source IS NOT DISTINCT FROM q.source)
+SELECT doc_id, size, source_size, target, (passes * size + greatest(0, least(size, rest - before)))::BIGINT AS taken FROM r
+"""
+
+
+def op10_site_spread_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.remove_boilerplate(documents(spark, sf_dir), F.col("source"))
+
+
+OP10_SQL = r"""
+WITH l AS (SELECT doc_id, coalesce(source, 'null source') AS site, generate_subscripts(string_split(text, chr(10)), 1) AS pos,
+                  unnest(string_split(text, chr(10))) AS line FROM documents WHERE text IS NOT NULL),
+k AS (SELECT *, trim(line, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) AS key FROM l),
+wide AS (SELECT key FROM k WHERE key <> '' GROUP BY key HAVING count(DISTINCT site) >= 10),
+f AS (SELECT k.*, wide.key IS NOT NULL AS gone FROM k LEFT JOIN wide USING (key)),
+a AS (SELECT doc_id, count(*) FILTER (WHERE key <> '') AS n_lines, count(*) FILTER (WHERE gone) AS n_removed,
+             coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '') AS text FROM f GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_lines, 0)::BIGINT AS n_lines, coalesce(n_removed, 0)::BIGINT AS n_removed, a.text
+FROM documents d LEFT JOIN a USING (doc_id)
+"""
+
+QUERIES = {"op1_turn_table_sharding": op1_turn_table_sharding, "op2_flow_mix": op2_flow_mix,
+           "op9_rule_ledger": op9_rule_ledger, "op10_site_spread_lines": op10_site_spread_lines}
+ORACLES = {"op2_flow_mix": OP2_SQL, "op9_rule_ledger": OP9_SQL, "op10_site_spread_lines": OP10_SQL}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from flowgrid.llm import q_native
+from flowgrid.llm import q_native, q_scan
 
-QUERIES = {**q_native.QUERIES}
-ORACLES = {**q_native.ORACLES}
+QUERIES = {**q_native.QUERIES, **q_scan.QUERIES}
+ORACLES = {**q_native.ORACLES, **q_scan.ORACLES}
