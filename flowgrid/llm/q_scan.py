@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowgrid.llm import contamination
+from flowgrid.llm import contamination, suffix_dedup, window_dedup
 from flowgrid.llm.q_native import documents
 
 
@@ -34,5 +34,41 @@ SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
 FROM dw LEFT JOIN hit USING (doc_id) LEFT JOIN its USING (doc_id)
 """
 
-QUERIES = {"op7_shift_table_decontamination": op7_shift_table_decontamination}
-ORACLES = {"op7_shift_table_decontamination": OP7_SQL}
+def op6_super_kmer_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return window_dedup.remove_repeats(documents(spark, sf_dir), with_text=False)
+
+
+def _windows_sql(window: int) -> str:
+    """CTEs: w (words), win (windows with a class), late (windows that also start earlier)."""
+    return rf"""
+w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+win AS (SELECT doc_id, i, md5(array_to_string(ws[i:i + {window - 1}], ' ')) AS g
+        FROM (SELECT doc_id, ws, unnest(generate_series(1, len(ws) - {window - 1})) AS i FROM w)),
+late AS (SELECT doc_id, i FROM win QUALIFY row_number() OVER (PARTITION BY g ORDER BY doc_id, i) > 1)"""
+
+
+OP6_SQL = rf"""
+WITH {_windows_sql(20)},
+gone AS (SELECT DISTINCT doc_id, i + o AS p FROM late, (SELECT unnest(generate_series(0, 19)) AS o)),
+words AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS p FROM w),
+kept AS (SELECT words.doc_id, count(gone.p) AS n_removed, string_agg(word, ' ' ORDER BY words.p) FILTER (WHERE gone.p IS NULL) AS t
+         FROM words LEFT JOIN gone ON words.doc_id = gone.doc_id AND words.p = gone.p GROUP BY words.doc_id)
+SELECT w.doc_id, len(ws)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)
+"""
+
+
+def op8_sparse_suffix_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeated_spans(documents(spark, sf_dir))
+
+
+OP8_SQL = rf"""
+WITH {_windows_sql(50)},
+o AS (SELECT doc_id, i, i + 50 AS e, max(i + 50) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS top FROM late),
+s AS (SELECT *, count(*) FILTER (WHERE top IS NULL OR i > top) OVER (PARTITION BY doc_id ORDER BY i) AS grp FROM o)
+SELECT doc_id, min(i)::BIGINT - 1 AS start_word, max(e)::BIGINT - 1 AS end_word, (max(e) - min(i))::BIGINT AS n_words FROM s GROUP BY doc_id, grp
+"""
+
+QUERIES = {"op6_super_kmer_windows": op6_super_kmer_windows, "op7_shift_table_decontamination": op7_shift_table_decontamination,
+           "op8_sparse_suffix_spans": op8_sparse_suffix_spans}
+ORACLES = {"op6_super_kmer_windows": OP6_SQL, "op7_shift_table_decontamination": OP7_SQL, "op8_sparse_suffix_spans": OP8_SQL}
