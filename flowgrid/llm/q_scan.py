@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowgrid.llm import contamination, suffix_dedup, window_dedup
+from flowgrid.llm import contamination, near_dup, suffix_dedup, window_dedup
 from flowgrid.llm.q_native import documents
 
 
@@ -34,6 +34,27 @@ SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
 FROM dw LEFT JOIN hit USING (doc_id) LEFT JOIN its USING (doc_id)
 """
 
+def op4_setsketch_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(documents(spark, sf_dir), shingle=3, percent=85)
+
+
+OP4_SQL = r"""
+WITH RECURSIVE w AS MATERIALIZED (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                        'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS MATERIALIZED (SELECT DISTINCT doc_id, array_to_string(ws[i:i + least(3, len(ws)) - 1], ' ') AS g
+      FROM (SELECT doc_id, ws, unnest(generate_series(1, greatest(1, len(ws) - 2))) AS i FROM w WHERE len(ws) > 0)),
+n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+link AS MATERIALIZED (SELECT a, b FROM pairs JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * k >= 85 * (x.n + y.n - k)),
+edge AS MATERIALIZED (SELECT a AS u, b AS v FROM link UNION ALL SELECT b, a FROM link),
+reach(u, r) AS (SELECT doc_id, doc_id FROM n UNION SELECT edge.v, reach.r FROM reach JOIN edge ON edge.u = reach.u),
+c AS (SELECT u AS doc_id, min(r) AS component_id FROM reach GROUP BY u)
+SELECT w.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, coalesce(component_id, w.doc_id)::BIGINT AS component_id,
+       coalesce(component_id, w.doc_id) = w.doc_id AS kept
+FROM w LEFT JOIN n USING (doc_id) LEFT JOIN c USING (doc_id)
+"""
+
+
 def op6_super_kmer_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return window_dedup.remove_repeats(documents(spark, sf_dir), with_text=False)
 
@@ -69,6 +90,6 @@ s AS (SELECT *, count(*) FILTER (WHERE top IS NULL OR i > top) OVER (PARTITION B
 SELECT doc_id, min(i)::BIGINT - 1 AS start_word, max(e)::BIGINT - 1 AS end_word, (max(e) - min(i))::BIGINT AS n_words FROM s GROUP BY doc_id, grp
 """
 
-QUERIES = {"op6_super_kmer_windows": op6_super_kmer_windows, "op7_shift_table_decontamination": op7_shift_table_decontamination,
+QUERIES = {"op4_setsketch_near_dup": op4_setsketch_near_dup, "op6_super_kmer_windows": op6_super_kmer_windows, "op7_shift_table_decontamination": op7_shift_table_decontamination,
            "op8_sparse_suffix_spans": op8_sparse_suffix_spans}
-ORACLES = {"op6_super_kmer_windows": OP6_SQL, "op7_shift_table_decontamination": OP7_SQL, "op8_sparse_suffix_spans": OP8_SQL}
+ORACLES = {"op4_setsketch_near_dup": OP4_SQL, "op6_super_kmer_windows": OP6_SQL, "op7_shift_table_decontamination": OP7_SQL, "op8_sparse_suffix_spans": OP8_SQL}
