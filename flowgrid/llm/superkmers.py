@@ -5,13 +5,17 @@ leftmost smallest hash among their ``mer``-word pieces) travel as one packed
 string.  Equal windows have equal minimisers, so all copies of a window meet
 in the bucket of its minimiser.
 
+A first pass counts minimiser values.  A value that occurs once cannot belong
+to a repeated window: a bitmap of fixed size (at most ``MAX_BITS`` bits) marks
+the repeated ones and keeps the other strings at home; when the bitmap fills up
+it only saves less.  Values that hold a large share of the strings (the fringe
+of a passage that many documents contain), at most ``1 / HOT_SHARE`` of them,
+are split: their windows travel one by one, keyed by the whole window, so that
+no bucket grows with them.
+
 Map side, per Arrow batch: super-k-mers with equal words are combined; only
 the first of them is sent, the windows of the others are already known to be
-repeats.  Strings for one bucket are compressed into one row.  Minimisers that
-hold a large share of the distinct strings (the fringe of a passage many
-documents contain) are found in a first pass, at most ``1 / HOT_SHARE`` of
-them; their windows travel one by one, keyed by the whole window, so that no
-bucket grows with them.
+repeats.  Strings for one bucket are compressed into one row.
 
 A document is (doc_id, checksum of its text); rows that repeat both are one
 document.
@@ -28,9 +32,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowgrid.llm import text as tx
+from flowgrid.session import materialize
 
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 6 << 20
 BUCKET_BYTES = 16 << 20
+MAX_BITS = 1 << 27
 HOT_SHARE = 1e-3
 PACKED = "bucket long, payload binary"
 RUNS = "doc_id long, text_key long, start int, n int"
@@ -154,28 +160,36 @@ def _same_rows(ids: np.ndarray, keys: np.ndarray, doc: np.ndarray) -> np.ndarray
 
 def _parts(batches, window: int, mer: int, hot: np.ndarray):
     for ids, keys, w, h in _batches(batches):
-        p = split_hot(pieces(h, w.ptr, window, mer), hot, h, window)
-        if not len(p.n):
-            continue
+        p = pieces(h, w.ptr, window, mer)
         p = Piece(*(a[~_same_rows(ids, keys, p.doc)] for a in p))
-        body, starts, ends = squeeze(w)
-        key = _span_hash(h, p.first, p.n + window - 1)
-        yield ids, keys, w, p, body, starts, ends, combine(p, key, window, body, starts, ends)
+        yield ids, keys, w, h, p
 
 
-def _heavy(window: int, mer: int, share: float):
+def _values(window: int, mer: int):
+    """Minimiser values of a part with their number of strings."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for *_, p, _b, _s, _e, lead in _parts(batches, window, mer, np.empty(0, np.uint64)):
-            own = p.value[lead == np.arange(len(lead))]
-            v, n = np.unique(own, return_counts=True)
-            big = n >= np.maximum(8, share * len(own))
-            yield pa.RecordBatch.from_arrays([pa.array(v[big].view(np.int64)), pa.array(n[big].astype(np.int64))], names=["value", "n"])
+        for *_, p in _parts(batches, window, mer, np.empty(0, np.uint64)):
+            v, n = np.unique(p.value, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(v.view(np.int64)), pa.array(n.astype(np.int64))], names=["value", "n"])
     return count
 
 
-def _pack(window: int, mer: int, n_buckets: int, hot: np.ndarray):
+def _slots(value: np.ndarray, n_bits: int) -> np.ndarray:
+    """Bitmap position of a value (the value is a finalised hash already)."""
+    return (value >> np.uint64(64 - (n_bits.bit_length() - 1))).astype(np.int64)
+
+
+def _pack(window: int, mer: int, n_buckets: int, shared):
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, keys, w, p, body, starts, ends, lead in _parts(batches, window, mer, hot):
+        hot, bits = shared.value
+        for ids, keys, w, h, p in _parts(batches, window, mer, hot):
+            at = _slots(p.value, len(bits) * 64)
+            twice = (bits[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) > 0
+            p = split_hot(Piece(*(a[twice] for a in p)), hot, h, window)
+            if not len(p.n):
+                continue
+            body, starts, ends = squeeze(w)
+            lead = combine(p, _span_hash(h, p.first, p.n + window - 1), window, body, starts, ends)
             own = lead == np.arange(len(lead))
             bucket = (tx.mix(p.value) % np.uint64(n_buckets)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
@@ -299,12 +313,21 @@ def late_runs(docs: DataFrame, judge: Callable[[Bucket], np.ndarray], window: in
     word): ``doc_id``, ``text_key``, ``start`` (0-based), ``n`` windows.  A null
     doc_id is ``NO_ID`` (before all others)."""
     rows = source_rows(docs, id_col, text_col)
+    sc = docs.sparkSession.sparkContext
     total = rows.agg(F.sum(F.octet_length("_text"))).first()[0] or 0
     n_buckets = int(max(1, 3.3 * total // bucket_bytes))
-    heavy = (rows.mapInArrow(_heavy(window, mer, hot_share), "value long, n long")
-             .groupBy("value").agg(F.sum("n").alias("n")))
-    # distinct strings of a minimiser against all of them: windows / ((span + 1) / 2), words of about 6.5 bytes
-    floor = hot_share * total / 6.5 / ((window - mer + 2) / 2)
-    hot = np.array([r["value"] for r in heavy.filter(F.col("n") >= max(64, floor)).select("value").collect()], np.int64).view(np.uint64)
-    packed = rows.mapInArrow(_pack(window, mer, n_buckets, hot), PACKED)
+    # strings: one for every (span + 1) / 2 windows, words of about 6.5 bytes
+    strings = total / 6.5 / ((window - mer + 2) / 2)
+    n_bits = 1 << int(np.clip(np.ceil(np.log2(max(1, 4 * strings))), 12, np.log2(MAX_BITS)))
+    counts = rows.mapInArrow(_values(window, mer), "value long, n long").groupBy("value").agg(F.sum("n").alias("n"))
+    many = materialize(counts.filter(F.col("n") > 1), "minimisers")
+    hot = many.filter(F.col("n") >= max(64, hot_share * strings)).select("value").toArrow().column("value").to_numpy()
+    shift = 64 - (n_bits.bit_length() - 1)
+    slot = F.shiftrightunsigned("value", shift)
+    words = (many.groupBy(F.shiftright(slot, 6).cast("int").alias("w"))
+             .agg(F.bit_or(F.expr(f"shiftleft(1L, cast(shiftrightunsigned(value, {shift}) & 63 as int))")).alias("b")).toArrow())
+    bits = np.zeros(n_bits // 64, np.uint64)
+    bits[words.column("w").to_numpy()] = words.column("b").to_numpy().view(np.uint64)
+    shared = sc.broadcast((hot.view(np.uint64), bits))
+    packed = rows.mapInArrow(_pack(window, mer, n_buckets, shared), PACKED)
     return packed.groupBy("bucket").applyInArrow(_reduce(judge, window), RUNS)
