@@ -193,6 +193,32 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
             .select("doc_id", "n_words", n_hit.alias("n_hit"), "hits", "items"))
 
 
+def _dropper(shared):
+    def drop(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        matchers, column = shared.value
+        for batch in batches:
+            data, offsets = tx.utf8(batch.column(column))
+            for lo, hi in tx.spans(offsets):
+                w = tx.words(*tx.part(data, offsets, lo, hi), tx.ALNUM, lower=True)
+                h, doc = tx.word_hashes(w), w.docs()
+                clean = np.ones(hi - lo, bool)
+                for m in matchers:
+                    clean[doc[m.search(w, h)[0]]] = False
+                yield batch.slice(lo, hi - lo).filter(pa.array(clean))
+    return drop
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text_col: str = "text",
+                      item_col: str = "item_id", item_text_col: str = "text", max_patterns: int = MAX_PATTERNS) -> DataFrame:
+    """The rows of ``docs`` (all columns) without an occurrence of any pattern;
+    blocks of patterns are filters one after the other, without a shuffle."""
+    sc = docs.sparkSession.sparkContext
+    for block in blocks(benchmark, window, max_patterns, item_col, item_text_col):
+        shared = sc.broadcast(([Matcher(n, ps) for n, ps in sorted(block.items())], docs.columns.index(text_col)))
+        docs = docs.mapInArrow(_dropper(shared), docs.schema)
+    return docs
+
+
 def merge_spans(spans):
     """Union of sorted [start, end) spans as disjoint spans (array expression)."""
     kind = "array<struct<start:int,end:int>>"

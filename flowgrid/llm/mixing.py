@@ -149,7 +149,7 @@ def mix(docs: DataFrame, membership: Column, weights: tuple = WEIGHTS, share: fl
     """Per document row: ``size``, its ``sources`` (array), ``taken`` words and
     ``source_size`` / ``target`` of its sources (arrays aligned with ``sources``).
 
-    ``keep`` names further input columns to carry.
+    ``keep`` names input columns to carry, as ``k_<name>``.
     """
     spark = docs.sparkSession
     membership = F.coalesce(membership, F.array().cast("array<string>"))
@@ -193,6 +193,17 @@ def mix(docs: DataFrame, membership: Column, weights: tuple = WEIGHTS, share: fl
               .withColumn("_cum", F.col("_before") + F.coalesce(F.sum("_size").over(inner), F.lit(0)))
               .join(F.broadcast(plan_df), "_key"))
     extra = F.greatest(F.lit(0), F.least(F.col("_size"), F.col("_rest") - F.col("_cum")))
-    return placed.select(*[F.col(f"k_{c}").alias(c) for c in keep or [] if c != id_col], F.col("_id").alias(id_col), F.col("_src").alias("sources"),
+    return placed.select(*[f"k_{c}" for c in keep or []], F.col("_id").alias(id_col), F.col("_src").alias("sources"),
                          F.col("_size").alias("size"), "source_size", "target",
                          (F.col("_full") * F.col("_size") + extra).cast("long").alias("taken"))
+
+
+def repeat_documents(docs: DataFrame, membership: Column, id_col: str = "doc_id", **options) -> DataFrame:
+    """The rows of ``docs`` as the mix takes them: each as often as it is
+    passed over, a last part of at least half a document counting as a pass."""
+    mixed = mix(docs, membership, id_col=id_col, keep=docs.columns, **options)
+    part = F.col("taken") % F.col("size")
+    passes = F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size")) + (2 * part >= F.col("size")).cast("int")).otherwise(0)
+    taken = mixed.withColumn("_passes", passes.cast("int")).filter(F.col("_passes") > 0)
+    copies = taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_passes"))))
+    return copies.select(*[F.col(f"k_{c}").alias(c) for c in docs.columns])

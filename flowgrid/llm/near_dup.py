@@ -267,3 +267,15 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     component = F.when(F.col("id").isNotNull(), F.coalesce("_comp", "id"))
     return out.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), component.alias("component_id"),
                       (F.col("id").isNull() | (component == F.col("id"))).alias("kept"))
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
+    """The rows of ``docs`` (all columns) with one document of each component;
+    of rows that repeat an id one stays, rows with a null id all stay."""
+    verdict = near_duplicates(docs, id_col=id_col, **options)
+    kept = verdict.filter(F.col("kept")).select(F.col("doc_id").alias("_kept")).distinct()
+    out = docs.join(kept, docs[id_col].cast("long").eqNullSafe(kept["_kept"]), "left_semi")
+    again = docs.filter(F.col(id_col).isNotNull()).groupBy(id_col).count().filter(F.col("count") > 1)
+    if again.isEmpty():
+        return out
+    return out.filter(F.col(id_col).isNotNull()).dropDuplicates([id_col]).unionByName(out.filter(F.col(id_col).isNull()))

@@ -121,6 +121,16 @@ def ledger(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                            bits.alias("failed_bits"))
 
 
+def passing(docs: DataFrame, policy: str = "v2", text_col: str = "text", rules: list[Rule] = RULES) -> DataFrame:
+    """The rows of ``docs`` (all columns) that no rule of the policy rejects."""
+    made = "_quality_" + "_".join(c for c in docs.columns if c.startswith("_quality_"))
+    bad = F.lit(False)
+    for r in rules:
+        if r.name in POLICIES[policy]:
+            bad = bad | r.fails(lambda n: F.col(made)[n])
+    return docs.withColumn(made, measure(F.col(text_col))).filter(~bad).select(*docs.columns)
+
+
 def rejected(policy: str, rules: list[Rule] = RULES) -> Column:
     """Whether a ledger row is rejected under a policy version."""
     return F.col("failed_bits").bitwiseAND(F.lit(mask(POLICIES[policy], rules)).cast("bigint")) != 0

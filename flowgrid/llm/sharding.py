@@ -64,9 +64,9 @@ def assign_shards(docs: DataFrame, shards: list[str] = SHARDS, slots: int = SLOT
     """``docs`` with ``slot`` and ``shard``."""
     spark: SparkSession = docs.sparkSession
     table = fill_table(shards, slots, weights)
-    place = spark.createDataFrame([(i, s) for i, s in enumerate(table)], "_slot int, _shard string")
+    place = spark.createDataFrame([(i, s) for i, s in enumerate(table)], "__slot int, __shard string")
     other = F.col(fallback) if fallback in docs.columns else F.lit("")
     kept = [F.col(c) for c in docs.columns if c not in ("slot", "shard")]
     placed = docs.select(*kept, slot_of(F.col(key), other, slots).alias("slot"))
-    return (placed.join(F.broadcast(place), F.col("slot") == F.col("_slot"), "left")
-            .select(*[c for c in placed.columns], F.col("_shard").alias("shard")))
+    return (placed.join(F.broadcast(place), F.col("slot") == F.col("__slot"), "left")
+            .select(*[c for c in placed.columns], F.col("__shard").alias("shard")))
