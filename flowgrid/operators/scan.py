@@ -3,11 +3,13 @@ table) into one task.
 
 Pattern used throughout: range-partition the rows on the full ordering key
 (``repartitionByRange`` splits a hot group across many partitions, because the
-order columns are part of the key), checkpoint so partition ids are stable
-across jobs and survive executor loss, compute per-partition partials in one
-vectorised pass, build a *carry table* that has one row per partition (its
-size is bounded by the partition count, never by the data) and apply the
-carries in a second narrow pass.  No global window, no collect of data rows.
+order columns are part of the key), stamp each row with its partition id, run
+the ordered function as a window *inside* each partition, write the result as
+Parquet into the shared checkpoint folder (stable ids, survives executor loss,
+later passes prune columns), build a *carry table* with one row per partition
+(its size is bounded by the partition count, never by the data) and apply the
+carries through a broadcast of that table.  Built-in functions only; no global
+window over data rows, no collect of data rows.
 """
 
 from __future__ import annotations
@@ -15,14 +17,11 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from flowgrid.session import ensure_checkpoint_dir
 from flowgrid.operators.joins import bounded_broadcast, with_scalars
+from flowgrid.session import materialize
 
 
 def _n_parts(df: DataFrame, n: int | None) -> int:
@@ -31,211 +30,98 @@ def _n_parts(df: DataFrame, n: int | None) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
+def _dealt(df: DataFrame, keys: Sequence[str], n: int | None = None) -> DataFrame:
+    """Rows range-partitioned on ``keys``, each stamped with its partition id
+    (``_pid``).  Ids only mean something once written (``materialize``): later
+    passes read them from the data, never from the task context."""
+    return df.repartitionByRange(_n_parts(df, n), *keys).withColumn("_pid", F.spark_partition_id())
+
+
 def range_partitioned(df: DataFrame, keys: Sequence[str], n: int | None = None) -> DataFrame:
-    """Range-partition on ``keys``, sort inside partitions, stamp each row with
-    its partition id (``_pid``) and checkpoint to the shared checkpoint folder,
-    so ids are stable across jobs and survive executor loss.  Later passes read
-    ``_pid`` from the data, never from the task context (a task's index is
-    shifted under a Union)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    r = (df.repartitionByRange(_n_parts(df, n), *keys).sortWithinPartitions(*keys)
-         .withColumn("_pid", F.spark_partition_id()))
-    return r.checkpoint(eager=True)
+    """Range-partitioned, sorted and stamped rows, written to the shared folder."""
+    return materialize(_dealt(df, keys, n).sortWithinPartitions(*keys), "ranges")
 
 
-def _first_rows(r: DataFrame, cols: Sequence[str]) -> dict[int, tuple]:
-    """First row (by the partition's sort order) of every non-empty partition:
-    a table with at most one row per partition."""
-    firsts = r.groupBy("_pid").agg(F.min(F.struct(*cols)).alias("_f")).collect()
-    return {row["_pid"]: tuple(row["_f"]) for row in firsts}
+def _next_partition(r: DataFrame, value: Column) -> DataFrame:
+    """(``_pid``, ``_nf``): the smallest ``value`` of the next non-empty partition.
+    The ordered window runs over one row per partition."""
+    firsts = r.groupBy("_pid").agg(F.min(value).alias("_f"))
+    return firsts.select("_pid", F.lead("_f").over(Window.orderBy("_pid")).alias("_nf"))
 
 
 def lead_in_order(df: DataFrame, by: Sequence[str], order: Sequence[str], cols: dict[str, str],
                   n: int | None = None, skew_safe: bool = True) -> DataFrame:
     """``lead(c, 1) over (partition by by order by order)`` for each
-    ``c -> alias`` in ``cols``.  ``by + order`` must identify a row.
+    ``c -> alias`` in ``cols`` (nulls first, null keys are a group).  ``by +
+    order`` must identify a row.
 
     ``skew_safe=False`` uses the plain window (one task per ``by`` group);
-    the default splits every group across range partitions and stitches the
-    partition boundaries with a carry table of one row per partition.
+    the default splits every group across range partitions and takes the row
+    after a partition's last one from the carry table.
     """
     if not skew_safe:
         w = Window.partitionBy(*by).orderBy(*order)
         return df.withColumns({a: F.lead(c).over(w) for c, a in cols.items()})
     keys = list(by) + [o for o in order if o not in by]
-    names = list(df.columns)
-    r = range_partitioned(df, keys, n)
-    fcols = keys + [c for c in cols if c not in keys]
-    first = _first_rows(r, fcols)
-    pids = sorted(first)
-    nxt = {p: first[pids[i + 1]] for i, p in enumerate(pids[:-1])}  # next non-empty partition's first row
-    pos = {c: i for i, c in enumerate(fcols)}
-    out_schema = T.StructType([r.schema[c] for c in names]
-                              + [T.StructField(a, r.schema[c].dataType, True) for c, a in cols.items()])
-    by_l = list(by)
-
-    def resolve(pid, row):
-        f = nxt.get(int(pid))
-        if f is not None and all(f[pos[b]] == row[b] for b in by_l):
-            return [f[pos[c]] for c in cols]
-        return [None for _ in cols]
-
-    def run(it):
-        pending = None
-        for pdf in it:
-            if pending is not None:
-                pdf = pd.concat([pending, pdf], ignore_index=True)
-            if len(pdf) == 0:
-                continue
-            pid = pdf["_pid"]
-            same_pid = (pid.shift(-1) == pid).to_numpy()
-            same = same_pid.copy()
-            for b in by_l:
-                same &= (pdf[b].shift(-1) == pdf[b]).to_numpy()
-            out = pdf.copy()
-            for c, a in cols.items():
-                src = pdf[c].astype("Int64") if pdf[c].dtype.kind in "iu" else pdf[c]
-                out[a] = src.shift(-1).where(same)
-            out = out.astype({a: object for a in cols.values()})
-            # rows followed by a row of another partition: stitch with the carry table
-            for i in np.flatnonzero(~same_pid[:-1]):
-                vals = resolve(pid.iat[i], pdf.iloc[i])
-                for a, v in zip(cols.values(), vals):
-                    out.at[i, a] = v
-            pending = pdf.iloc[-1:].reset_index(drop=True)
-            yield out.iloc[:-1][names + list(cols.values())]
-        if pending is not None:
-            out = pending.copy()
-            vals = resolve(pending["_pid"].iat[0], pending.iloc[0])
-            for a, v in zip(cols.values(), vals):
-                out[a] = pd.Series([v], dtype=object)
-            yield out[names + list(cols.values())]
-
-    return r.mapInPandas(run, out_schema)
-
-
-def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], buckets: int = 256,
-                    max_bucket_rows: int = 2_000_000) -> list[float | None]:
+    row = F.struct(*keys, *[c for c in cols if c not in keys])
+    w = Window.partitionBy("_pid").orderBy(*keys)
+    r = materialize(_dealt(df, keys, n).withColumn("_nx", F.lead(row).over(w)), "ordered")
+    # a partition's last row is the only one without a successor inside it
+    x = r.join(F.broadcast(_next_partition(r, row)), "_pid", "left").withColumn("_nx", F.coalesce("_nx", "_nf"))
+    same = F.col("_nx").isNotNull()
+    for b in by:
+        same = same & F.col(b).eqNullSafe(F.col(f"_nx.{b}"))
+    return x.select(*df.columns, *[F.when(same, F.col(f"_nx.{c}")).alias(a) for c, a in cols.items()])
+
+
+def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], n: int | None = None) -> list[float | None]:
     """Exact interpolated quantiles (``percentile_cont``) without funnelling
-    the column into one task.
+    the column into one task, one way at every size.
 
     Values are first collapsed to (value, count) - partial aggregation turns a
-    hot value into one row - then assigned to buckets whose edges are
-    approximate quantiles (deterministic: a pure function of the value).  Only
-    the bucket that holds a wanted rank is ordered, and it is refined again when
-    it is still large.  Returned to the driver: at most one number per bucket
-    plus the answers.
-    """
+    hot value into one row -, the counts get a running sum over the ordered
+    values from the range-partition scan, and the values that hold a wanted
+    rank are picked out.  Returned to the driver: at most two values per
+    probability."""
     v = df.select(F.col(col).cast("double").alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v"))
-    vc = v.groupBy("v").agg(F.count(F.lit(1)).alias("n"))
-    total, n_distinct = vc.agg(F.sum("n"), F.count(F.lit(1))).first()
-    total = total or 0
+    s = prefix_scan(v.groupBy("v").agg(F.count(F.lit(1)).cast("double").alias("n")), ["v"], "n", n)
+    total = int(s.agg(F.max("_cum")).first()[0] or 0)
     if total == 0:
         return [None for _ in probs]
-
-    want: dict[int, float | None] = {}
-    for p in probs:
-        pos = (total - 1) * p
-        want[math.floor(pos)] = None
-        want[math.ceil(pos)] = None
-
-    def select_ranks(frame: DataFrame, ranks: list[int], lo_base: int, nrows: int | None = None,
-                     depth: int = 0) -> None:
-        # frame: (v, n) rows; ranks are global 0-based ranks; lo_base = rows before frame
-        nrows = frame.count() if nrows is None else nrows
-        if nrows <= max_bucket_rows or depth >= 4:
-            w = Window.orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-            # small frame (bounded by max_bucket_rows): the plain ordered window is fine
-            cum = frame.withColumn("_c", F.sum("n").over(w) + F.lit(lo_base))
-            conds = None
-            for rk in ranks:
-                c = (F.col("_c") - F.col("n") <= rk) & (F.lit(rk) < F.col("_c"))
-                conds = c if conds is None else (conds | c)
-            for row in cum.where(conds).select("v", "n", "_c").collect():
-                for rk in ranks:
-                    if row["_c"] - row["n"] <= rk < row["_c"]:
-                        want[rk] = row["v"]
-            return
-        grid = [i / buckets for i in range(1, buckets)]
-        edges = frame.agg(F.percentile_approx("v", grid, 10000)).first()[0]
-        edges = sorted(set(edges))
-        # bucket id = number of edges <= v (binary search on a literal array)
-        arr = F.array(*[F.lit(float(e)) for e in edges])
-        b = frame.withColumn("_b", F.size(F.filter(arr, lambda e: e <= F.col("v"))))
-        counts = sorted((r["_b"], r["c"]) for r in b.groupBy("_b").agg(F.sum("n").alias("c")).collect())
-        start = lo_base
-        for bid, c in counts:
-            inside = [rk for rk in ranks if start <= rk < start + c]
-            if inside:
-                select_ranks(b.where(F.col("_b") == bid).select("v", "n"), inside, start, None, depth + 1)
-            start += c
-
-    select_ranks(vc, sorted(want), 0, n_distinct)
-    out = []
-    for p in probs:
-        pos = (total - 1) * p
-        lo, hi = want[math.floor(pos)], want[math.ceil(pos)]
-        out.append(lo + (hi - lo) * (pos - math.floor(pos)))
-    return out
+    spots = [(total - 1) * p for p in probs]
+    ranks = sorted({f(x) for x in spots for f in (math.floor, math.ceil)})
+    first = F.col("_cum") - F.col("n")
+    held = F.exists(F.array(*[F.lit(float(r)) for r in ranks]), lambda r: (first <= r) & (r < F.col("_cum")))
+    rows = s.where(held).select("v", first.alias("a"), F.col("_cum").alias("z")).collect()
+    at = {r: next(x["v"] for x in rows if x["a"] <= r < x["z"]) for r in ranks}
+    return [at[math.floor(x)] + (at[math.ceil(x)] - at[math.floor(x)]) * (x - math.floor(x)) for x in spots]
 
 
 def prefix_scan(df: DataFrame, order: Sequence[str], value: str, n: int | None = None) -> DataFrame:
     """Adds ``_idx`` (0-based global row number), ``_cum`` (running sum of
-    ``value``) and ``_cummin`` (running minimum of ``_cum``) in ``order``,
-    using the two-level range-partition scan.  ``order`` must identify a row.
-    Driver-side state: three numbers per partition.
-    """
-    names = list(df.columns)
-    r = range_partitioned(df, list(order), n)
-    schema1 = T.StructType([T.StructField("_pid", T.IntegerType()), T.StructField("cnt", T.LongType()),
-                            T.StructField("s", T.DoubleType()), T.StructField("m", T.DoubleType())])
-
-    def partials(it):
-        st: dict[int, list] = {}
-        for pdf in it:
-            for pid, g in pdf.groupby("_pid", sort=False):
-                cnt, run, best = st.get(int(pid), [0, 0.0, math.inf])
-                c = g[value].astype("float64").fillna(0.0).cumsum() + run
-                st[int(pid)] = [cnt + len(g), float(c.iloc[-1]), min(best, float(c.min()))]
-        yield pd.DataFrame([(p, v[0], v[1], v[2]) for p, v in st.items()], columns=["_pid", "cnt", "s", "m"])
-
-    parts = {row["_pid"]: (row["cnt"], row["s"], row["m"]) for row in r.mapInPandas(partials, schema1).collect()}
-    carry: dict[int, tuple] = {}
-    idx, s, m = 0, 0.0, math.inf
-    for pid in sorted(parts):
-        carry[pid] = (idx, s, m)
-        cnt, ps, pm = parts[pid]
-        m = min(m, s + pm)
-        idx += cnt
-        s += ps
-    out_schema = T.StructType([r.schema[c] for c in names] + [
-        T.StructField("_idx", T.LongType()), T.StructField("_cum", T.DoubleType()),
-        T.StructField("_cummin", T.DoubleType())])
-
-    def final(it):
-        st: dict[int, tuple] = {}
-        for pdf in it:
-            outs = []
-            for pid, g in pdf.groupby("_pid", sort=False):
-                i0, s0, m0 = st.get(int(pid), carry.get(int(pid), (0, 0.0, math.inf)))
-                c = g[value].astype("float64").fillna(0.0).cumsum().to_numpy() + s0
-                mm = np.minimum.accumulate(np.minimum(c, m0))
-                o = g[names].copy()
-                o["_idx"] = np.arange(i0, i0 + len(g), dtype="int64")
-                o["_cum"] = c
-                o["_cummin"] = mm
-                st[int(pid)] = (i0 + len(g), float(c[-1]), float(mm[-1]))
-                outs.append(o)
-            if outs:
-                yield pd.concat(outs, ignore_index=True)
-
-    return r.mapInPandas(final, out_schema)
+    ``value``, null and NaN as 0) and ``_cummin`` (running minimum of ``_cum``)
+    in ``order``.  ``order`` must identify a row.  Windows run inside range
+    partitions; what came before a partition is one carry row, computed over
+    one row per partition."""
+    w = Window.partitionBy("_pid").orderBy(*order)
+    upto = w.rowsBetween(Window.unboundedPreceding, 0)
+    x = F.coalesce(F.nanvl(F.col(value).cast("double"), F.lit(0.0)), F.lit(0.0))
+    d = _dealt(df, order, n).withColumns({"_idx": F.row_number().over(w).cast("long") - 1, "_cum": F.sum(x).over(upto)})
+    r = materialize(d.withColumn("_cummin", F.min("_cum").over(upto)), "ordered")
+    per = r.groupBy("_pid").agg(F.count(F.lit(1)).alias("_k"), F.max_by("_cum", "_idx").alias("_s"), F.min("_cum").alias("_m"))
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
+    per = per.withColumns({"_k0": F.coalesce(F.sum("_k").over(before), F.lit(0)), "_s0": F.coalesce(F.sum("_s").over(before), F.lit(0.0))})
+    per = per.withColumn("_m0", F.coalesce(F.min(F.col("_s0") + F.col("_m")).over(before), F.lit(math.inf)))
+    return r.join(F.broadcast(per.select("_pid", "_k0", "_s0", "_m0")), "_pid").select(
+        *df.columns, (F.col("_idx") + F.col("_k0")).alias("_idx"), (F.col("_cum") + F.col("_s0")).alias("_cum"),
+        F.least(F.col("_cummin") + F.col("_s0"), F.col("_m0")).alias("_cummin"))
 
 
 def grouped_percentiles(df: DataFrame, by: Sequence[str], col: str, probs: Sequence[float],
                         names: Sequence[str] | None = None, max_broadcast_groups: int = 1_000_000) -> DataFrame:
-    """Exact interpolated percentiles (``percentile_cont``) per group, lazily
-    and without funnelling a group into one task.
+    """Exact interpolated percentiles (``percentile_cont``) per group, without
+    funnelling a group into one task (the ordered counts are written once, at
+    the call; the rest is lazy).
 
     Values collapse to (group, value, count) by a partial aggregate; a prefix
     sum of the counts in (group, value) order comes from the range-partition

@@ -44,7 +44,7 @@ def q_src_trips_csv(spark, sf_dir):
     match the name pattern (same rows: any leak would duplicate them)."""
     base = scratch_path(spark, "trip-csv")
     frame = _trip_csv_frame(spark, sf_dir)
-    frame.write.option("header", True).csv(f"{base}/202401-citibike-tripdata_1.csv")
+    frame.write.option("header", True).csv(f"{base}/202401-bike-tripdata_1.csv")
     frame.write.option("header", True).csv(f"{base}/notes_export.csv")
     return readers.read_trips(spark, base)
 
@@ -65,11 +65,11 @@ def q_src_trips_zip(spark, sf_dir):
                 continue
             pid = int(pdf["_pid"].iloc[0])
             # deterministic name: a retried task overwrites its own archive instead of adding one
-            name = f"{root}/2024{pid:04d}-{batch_no:05d}-citibike-tripdata.zip"
+            name = f"{root}/2024{pid:04d}-{batch_no:05d}-bike-tripdata.zip"
             buf, blob = io.StringIO(), io.BytesIO()
             pdf.drop(columns=["_pid"]).to_csv(buf, index=False)
             with zipfile.ZipFile(blob, "w", zipfile.ZIP_DEFLATED) as z:
-                z.writestr("202401-citibike-tripdata.csv", buf.getvalue())
+                z.writestr("202401-bike-tripdata.csv", buf.getvalue())
             with filesystem.open_output_stream(name) as out:
                 out.write(blob.getvalue())
             yield pd.DataFrame({"n": [len(pdf)]})
@@ -79,6 +79,7 @@ def q_src_trips_zip(spark, sf_dir):
 
 
 FEED_DOC_STATIONS = 10_000  # stations per feed document (part)
+WEATHER_DOC_ROWS = 10_000  # observations per weather document
 
 
 def feed_documents(st: DataFrame, item, key: str = "station_id") -> DataFrame:
@@ -126,14 +127,16 @@ def q_src_station_status_json(spark, sf_dir):
 @query("src_weather_json", with_adapters("""SELECT time, temp, relative_humidity, precipitation_total,
   average_wind_speed, coco FROM a_weather"""))
 def q_src_weather_json(spark, sf_dir):
-    """One payload document per day (``data`` array of hourly objects with
-    extra fields that the reader drops)."""
+    """Payload documents of at most about WEATHER_DOC_ROWS observations of a day
+    (``data`` array of hourly objects with extra fields that the reader drops)."""
     path = scratch_path(spark, "weather-json")
     w = mob(spark, sf_dir)["weather"]
     obj = F.struct(F.date_format("time", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("time"), "temp",
                    F.col("relative_humidity").alias("rhum"), F.col("precipitation_total").alias("prcp"),
                    F.col("average_wind_speed").alias("wspd"), "coco", (F.col("temp") - 3).alias("dwpt"))
-    docs = w.groupBy(F.to_date("time").alias("d")).agg(F.collect_list(obj).alias("data")).select("data")
+    n = max(1, -(-w.count() // WEATHER_DOC_ROWS))
+    part = F.pmod(F.xxhash64("time", "temp", "coco"), F.lit(n))
+    docs = w.groupBy(F.to_date("time").alias("d"), part.alias("p")).agg(F.collect_list(obj).alias("data")).select("data")
     docs.write.json(path)
     return readers.read_weather_json(spark, path)
 
@@ -239,36 +242,37 @@ HKEYS = ["station_id", "year", "month", "day", "hour"]
 
 @query("insert_ignore", G(f"""h AS ({HISTORY_SQL}),
 tgt AS (SELECT * FROM h WHERE day <= 12),
-bat AS (SELECT * FROM h WHERE day BETWEEN 10 AND 20
-        UNION ALL SELECT * REPLACE (CAST(temp + 1 AS FLOAT) AS temp) FROM h WHERE day BETWEEN 10 AND 20),
+bat AS (SELECT * FROM h WHERE day >= 10
+        UNION ALL SELECT * REPLACE (CAST(temp + 1 AS FLOAT) AS temp) FROM h WHERE day >= 10),
 bd AS (SELECT * FROM bat QUALIFY row_number() OVER (PARTITION BY station_id, year, month, day, hour ORDER BY temp) = 1)
 SELECT * FROM tgt UNION ALL
 SELECT * FROM bd WHERE NOT EXISTS (SELECT 1 FROM tgt WHERE tgt.station_id = bd.station_id AND tgt.year = bd.year
   AND tgt.month = bd.month AND tgt.day = bd.day AND tgt.hour = bd.hour)"""))
 def q_insert_ignore(spark, sf_dir):
-    """History rows of days <= 12 exist; a batch of days 10..20 (each key
-    twice, the copy with a higher temperature) is inserted: existing keys
+    """History rows of days <= 12 exist; a batch of the days from 10 on (each
+    key twice, the copy with a higher temperature) is inserted: existing keys
     win, inside the batch the smallest row wins."""
     h = history(spark, sf_dir)
     tgt_path = scratch_path(spark, "history-target")
     h.where("day <= 12").write.parquet(tgt_path)
-    b = h.where("day BETWEEN 10 AND 20")
+    b = h.where("day >= 10")
     batch = b.unionByName(b.withColumn("temp", (F.col("temp") + 1).cast("float")))
-    return sinks.insert_ignore(spark.read.parquet(tgt_path), batch, HKEYS, scratch_path(spark, "history-merged"))
+    return sinks.insert_ignore(tgt_path, batch, HKEYS)
 
 
-@query("insert_by_period", """SELECT o_orderkey, o_orderdate, o_totalprice,
-  strftime(date_trunc('month', o_orderdate), '%Y-%m-%d') AS period FROM orders
-WHERE o_orderdate < TIMESTAMP '1997-01-01 00:00:00'""")
+@query("insert_by_period", """WITH o AS (SELECT o_orderkey, o_orderdate, o_totalprice,
+  datediff('month', TIMESTAMP '1992-01-20 00:00:00', o_orderdate) AS n FROM orders
+  WHERE o_orderdate > TIMESTAMP '1992-01-20 00:00:00' AND o_orderdate < TIMESTAMP '1997-01-01 00:00:00')
+SELECT o_orderkey, o_orderdate, o_totalprice, strftime(TIMESTAMP '1992-01-20 00:00:00' + to_months(CAST(
+  CASE WHEN day(o_orderdate) < 20 THEN n - 1 ELSE n END AS INTEGER)), '%Y-%m-%d') AS period FROM o""")
 def q_insert_by_period(spark, sf_dir):
-    """Target holds orders up to 1995-01-01; the backfill resumes after its
-    newest timestamp and appends every month up to the stop date in one pass."""
+    """Months counted from 1992-01-20: one load up to 1995, then the backfill
+    resumes after its newest timestamp and appends every further month up to
+    the stop date in one pass."""
     o = TBL(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_totalprice")
-    path = scratch_path(spark, "orders-by-period")
-    first = o.where(F.col("o_orderdate") <= F.lit("1995-01-01 00:00:00").cast("timestamp_ntz"))
-    first.withColumn("period", F.date_format(F.date_trunc("month", "o_orderdate"), "yyyy-MM-dd")) \
-        .write.partitionBy("period").parquet(path)
-    sinks.backfill_by_period(o, path, "o_orderdate", "1997-01-01 00:00:00", "month")
+    path, start = scratch_path(spark, "orders-by-period"), "1992-01-20 00:00:00"
+    sinks.backfill_by_period(o, path, "o_orderdate", "1995-01-01 00:00:00", "month", start=start)
+    sinks.backfill_by_period(o, path, "o_orderdate", "1997-01-01 00:00:00", "month", start=start)
     schema = "o_orderkey long, o_orderdate timestamp_ntz, o_totalprice double, period string"
     return spark.read.schema(schema).parquet(path)
 
@@ -343,8 +347,7 @@ def q_predictions_import(spark, sf_dir):
     batch = typed(win.where(F.col("model_version") == top))
     tgt_path = scratch_path(spark, "predictions-table")
     tgt.write.parquet(tgt_path)
-    return sinks.insert_ignore(spark.read.parquet(tgt_path), batch.select(*tgt.columns), ["run_id"],
-                               scratch_path(spark, "predictions-merged"))
+    return sinks.insert_ignore(tgt_path, batch.select(*tgt.columns), ["run_id"])
 
 
 # --------------------------------------------------------------------------- request-side joins

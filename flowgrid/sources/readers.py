@@ -3,6 +3,8 @@ schema enforcement and downcasting."""
 
 from __future__ import annotations
 
+import csv
+import functools
 import io
 import zipfile
 from collections.abc import Sequence
@@ -29,20 +31,45 @@ def _typed_trips(raw: DataFrame) -> DataFrame:
           else F.col(c).cast("string").alias(c) for c in TRIP_KEEP])
 
 
+def _first_line(spark: SparkSession, path: str) -> str | None:
+    """First line of one file, through Hadoop's file system (any store)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    stream = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(p)
+    try:
+        return jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8")).readLine()
+    finally:
+        stream.close()
+
+
 def read_trips(spark: SparkSession, path: str) -> DataFrame:
     """All trip CSVs below ``path`` whose file name matches
-    ``*-tripdata_*.csv``; every column read as text, then typed with
-    ``try_cast`` (bad timestamps -> null).  Unused columns are pruned by the
-    CSV scan."""
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in TRIP_CSV_COLUMNS])
-    raw = (spark.read.schema(schema).option("header", True).option("recursiveFileLookup", True)
-           .csv(path).where(F.col("_metadata.file_path").rlike(TRIP_FILE_PATTERN)))
-    return _typed_trips(raw)
+    ``*-tripdata_*.csv``, columns taken by header name: files are grouped by
+    their header line (one line per file is read on the driver), each group is
+    one scan under its own column order, missing columns are null, others are
+    dropped.  Every column is read as text, then typed with ``try_cast`` (bad
+    timestamps -> null).  Unused columns are pruned by the CSV scan."""
+    listed = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path")
+              .where(F.col("path").rlike(TRIP_FILE_PATTERN)).orderBy("path").collect())
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for row in listed:
+        line = _first_line(spark, row["path"])
+        if line:
+            names = tuple(c.strip().strip("\ufeff") for c in next(csv.reader([line])))
+            groups.setdefault(names, []).append(row["path"])
+    parts = []
+    for names, files in groups.items():
+        raw = spark.read.schema(T.StructType([T.StructField(c, T.StringType()) for c in names])).option("header", True).csv(files)
+        parts.append(raw.select(*[F.col(c) if c in names else F.lit(None).cast("string").alias(c) for c in TRIP_KEEP]))
+    if not parts:
+        parts = [spark.createDataFrame([], T.StructType([T.StructField(c, T.StringType()) for c in TRIP_KEEP]))]
+    return _typed_trips(functools.reduce(DataFrame.unionByName, parts))
 
 
 def read_trip_archives(spark: SparkSession, path: str) -> DataFrame:
-    """Monthly zip archives -> CSV rows.  One task per archive (binaryFile),
-    each unzipped and parsed by pandas inside the task."""
+    """Monthly zip archives -> CSV rows, columns by header name.  A zip can't be
+    split, so an archive is one task (binaryFile: one row of at most 2 GB); it
+    is unzipped and parsed in chunks."""
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
              .where(F.col("path").rlike(TRIP_ZIP_PATTERN)).select("content"))
     schema = T.StructType([T.StructField(c, T.StringType()) for c in TRIP_CSV_COLUMNS])
@@ -63,35 +90,40 @@ def read_trip_archives(spark: SparkSession, path: str) -> DataFrame:
 
 
 STATION_FIELDS = ["short_name", "station_id", "name", "capacity", "lat", "lon"]
+_STATION_FEED = "data struct<stations: array<struct<short_name: string, station_id: string, name: string, capacity: int, lat: double, lon: double>>>"
+_STATUS_FEED = "data struct<stations: array<struct<station_id: string, num_bikes_available: int, num_docks_available: int>>>"
+_WEATHER_FEED = "data array<struct<time: string, temp: double, rhum: double, prcp: double, wspd: double, coco: string>>"
 
 
 def read_stations(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    """Nested station feed ``{"data": {"stations": [...]}}`` -> 6 columns.
-    ``multi_line``: one (pretty-printed) document per file, as served;
-    otherwise one document per line (several feed parts per file)."""
-    doc = spark.read.option("multiLine", multi_line).json(path)
-    return doc.select(F.inline("data.stations")).select(
-        F.col("short_name").cast("string"), F.col("station_id").cast("string"), F.col("name").cast("string"),
-        F.col("capacity").cast("int"), F.col("lat").cast("double"), F.col("lon").cast("double"))
+    """Nested station feed ``{"data": {"stations": [...]}}`` -> 6 columns
+    (declared schema: no inference pass).  ``multi_line``: one (pretty-printed)
+    document per file, as served; otherwise one document per line (several feed
+    parts per file)."""
+    return spark.read.schema(_STATION_FEED).option("multiLine", multi_line).json(path).select(F.inline("data.stations"))
 
 
 def read_station_status(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    doc = spark.read.option("multiLine", multi_line).json(path)
-    return doc.select(F.inline("data.stations")).select(
-        F.col("station_id").cast("string"), F.col("num_bikes_available").cast("int"),
-        F.col("num_docks_available").cast("int"))
+    return spark.read.schema(_STATUS_FEED).option("multiLine", multi_line).json(path).select(F.inline("data.stations"))
 
 
-def read_weather_json(spark: SparkSession, path: str) -> DataFrame:
+def read_weather_json(spark: SparkSession, path: str, source_tz: str | None = None, target_tz: str = "UTC") -> DataFrame:
     """Hourly weather payloads ``{"data": [{time, temp, rhum, prcp, wspd, coco,
-    ...}]}`` (one document per line): parse time, rename, keep 6 columns."""
-    doc = spark.read.json(path)
-    rows = doc.select(F.inline("data"))
-    return rows.select(F.col("time").try_cast("timestamp_ntz").alias("time"), F.col("temp").cast("double"),
-                       F.col("rhum").cast("double").alias("relative_humidity"),
-                       F.col("prcp").cast("double").alias("precipitation_total"),
-                       F.col("wspd").cast("double").alias("average_wind_speed"),
-                       F.col("coco").cast("string").alias("coco"))
+    ...}]}`` (one document per line): parse time (local to ``source_tz``, if
+    given, then shown in ``target_tz``), rename, keep 6 columns."""
+    rows = spark.read.schema(_WEATHER_FEED).json(path).select(F.inline("data"))
+    time = F.col("time").try_cast("timestamp_ntz")
+    if source_tz:
+        time = F.convert_timezone(F.lit(source_tz), F.lit(target_tz), time)
+    return rows.select(time.alias("time"), "temp", F.col("rhum").alias("relative_humidity"),
+                       F.col("prcp").alias("precipitation_total"), F.col("wspd").alias("average_wind_speed"), "coco")
+
+
+def newest_observation(weather: DataFrame) -> DataFrame:
+    """The latest weather row (ties by all columns), as a 1-row frame."""
+    others = [c for c in weather.columns if c != "time"]
+    return (weather.where(F.col("time").isNotNull()).agg(F.max(F.struct("time", *others)).alias("_r"))
+            .where(F.col("_r").isNotNull()).select("_r.*").select(*weather.columns))
 
 
 def read_parquet_projected(spark: SparkSession, path: str, cols: Sequence[str], where=None) -> DataFrame:

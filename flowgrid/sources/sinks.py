@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowgrid.functions.dates import date_trunc_ntz, ntz_lit
+from flowgrid.functions.dates import date_trunc_ntz, datediff_boundaries, ntz_lit
 
 
 def write_parquet(df: DataFrame, path: str, sort_by: Sequence[str] = (), partition_by: Sequence[str] = (),
@@ -33,8 +33,13 @@ def write_parquet(df: DataFrame, path: str, sort_by: Sequence[str] = (), partiti
     return df.sparkSession.read.parquet(path)
 
 
-def write_month_partitions(df: DataFrame, path: str, ts: str) -> DataFrame:
-    d = df.withColumns({"year": F.year(ts), "month": F.month(ts)}) if "year" not in df.columns else df
+def write_month_partitions(df: DataFrame, path: str, ts: str, files_per_month: int = 8) -> DataFrame:
+    """``year=/month=`` partitions (derived from ``ts`` where the columns are
+    missing).  Rows are dealt by month and a row hash, so a month is at most
+    ``files_per_month`` files, however many tasks produced it."""
+    new = {c: f(ts) for c, f in (("year", F.year), ("month", F.month)) if c not in df.columns}
+    d = df.withColumns(new) if new else df
+    d = d.repartition("year", "month", F.pmod(F.xxhash64(*df.columns), F.lit(files_per_month)))
     d.write.mode("overwrite").partitionBy("year", "month").parquet(path)
     return df.sparkSession.read.parquet(path)
 
@@ -52,24 +57,27 @@ def full_refresh(df: DataFrame, name: str, path: str) -> DataFrame:
     return spark.table(name)
 
 
-def insert_ignore(target: DataFrame, batch: DataFrame, keys: Sequence[str], path: str) -> DataFrame:
-    """Append batch rows whose key is not in the target yet (existing row
-    wins).  Equal keys inside the batch keep the smallest row (by all
-    columns); null keys never conflict, as in Postgres.  The batch is
-    deduplicated by an aggregate (skew-safe) and anti-joined with the target's
-    keys.  The result is written to ``path`` and read back."""
+def insert_ignore(path: str, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Append the batch rows whose key is not yet in the table at ``path``
+    (existing row wins); files already there are not touched.  Equal keys
+    inside the batch keep the smallest row (by all columns); null keys never
+    conflict, as in Postgres.  The batch is deduplicated by an aggregate
+    (skew-safe) and anti-joined with the target's keys (only the key columns
+    are read).  A repeated call appends nothing, except rows with null keys."""
+    spark = batch.sparkSession
+    target = spark.read.parquet(path)
     keys = list(keys)
     others = [c for c in batch.columns if c not in keys]
     nn = F.lit(True)
     for k in keys:
         nn = nn & F.col(k).isNotNull()
     keyed, nullkey = batch.where(nn), batch.where(~nn)
-    dedup = keyed.groupBy(*keys).agg(F.min(F.struct(*others)).alias("_r")).select(
-        *keys, *[F.col("_r." + c).alias(c) for c in others]).select(*batch.columns)
+    dedup = keyed.distinct() if not others else keyed.groupBy(*keys).agg(F.min(F.struct(*others)).alias("_r")).select(
+        *keys, *[F.col("_r." + c).alias(c) for c in others])
     fresh = dedup.join(target.select(*keys), keys, "left_anti")
-    out = target.unionByName(fresh.select(*target.columns)).unionByName(nullkey.select(*target.columns))
-    out.write.mode("overwrite").parquet(path)
-    return target.sparkSession.read.parquet(path)
+    out = fresh.select(*target.columns).unionByName(nullkey.select(*target.columns))
+    out.write.mode("append").parquet(path)
+    return spark.read.schema(target.schema).parquet(path)
 
 
 def _path_exists(spark: SparkSession, path: str) -> bool:
@@ -78,15 +86,35 @@ def _path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+_MONTHS = {"month": 1, "quarter": 3, "year": 12}
+
+
+def period_start(ts, period: str, anchor=None):
+    """Start of the period that holds ``ts``: periods are counted from
+    ``anchor`` (whole months keep its day, clamped at month ends), or follow the
+    calendar without one."""
+    if anchor is None:
+        return date_trunc_ntz(period, ts)
+    a, t = ntz_lit(anchor), F.col(ts) if isinstance(ts, str) else ts
+    if period in _MONTHS:
+        step = _MONTHS[period]
+        n = F.floor(datediff_boundaries(a, t, "month") / F.lit(step)).cast("int")
+        n = F.when(F.timestamp_add("MONTH", n * step, a) > t, n - 1).otherwise(n)
+        return F.timestamp_add("MONTH", n * step, a)
+    n = F.floor(F.timestamp_diff("SECOND", a, t) / F.lit({"hour": 3600, "day": 86400, "week": 604800}[period])).cast("int")
+    return F.timestamp_add(period.upper(), n, a)
+
+
 def backfill_by_period(source: DataFrame, target_path: str, ts: str, stop, period: str = "month",
                        start=None) -> DataFrame:
     """Insert-by-period in one pass: load the rows after the newest loaded
     timestamp (``start`` when the target is empty or absent; a row exactly at
     it is not loaded) and before ``stop`` minus one millisecond, stamped with
-    the calendar ``period`` they fall in and appended as partitions of the
-    target.  The union of the reference's per-period statements is this one
-    range, so no driver loop is needed; a rerun resumes after the new maximum,
-    so it never loads a row twice, and a failed job leaves no committed files."""
+    the start of their ``period`` - counted from ``start``, or by the calendar
+    without one - and appended as partitions of the target.  The union of the
+    per-period statements is this one range, so no driver loop is needed; a
+    rerun resumes after the new maximum, so it never loads a row twice, and a
+    failed job leaves no committed files."""
     spark: SparkSession = source.sparkSession
     hi = None
     if _path_exists(spark, target_path):
@@ -95,16 +123,17 @@ def backfill_by_period(source: DataFrame, target_path: str, ts: str, stop, perio
     cond = F.col(ts) < F.timestamp_add("MILLISECOND", F.lit(-1), ntz_lit(stop))
     if lower is not None:
         cond = cond & (F.col(ts) > lower)
-    batch = source.where(cond).withColumn("period", F.date_format(date_trunc_ntz(period, ts), "yyyy-MM-dd"))
-    batch.write.mode("append").partitionBy("period").parquet(target_path)
+    label = F.date_format(period_start(ts, period, start), "yyyy-MM-dd HH" if period == "hour" else "yyyy-MM-dd")
+    source.where(cond).withColumn("period", label).write.mode("append").partitionBy("period").parquet(target_path)
     return spark.read.parquet(target_path)
 
 
 def append_evolving(target_path: str, batch: DataFrame) -> tuple[DataFrame, list[str], list[str]]:
     """Append with additive schema evolution: columns the batch lacks are null,
-    new batch columns are added (reported).  Read back with mergeSchema."""
+    new batch columns are added (reported once: the table's schema is that of
+    all its files)."""
     spark = batch.sparkSession
-    old = spark.read.parquet(target_path)
+    old = spark.read.option("mergeSchema", True).parquet(target_path)
     missing = [c for c in old.columns if c not in batch.columns]
     extra = [c for c in batch.columns if c not in old.columns]
     batch.write.mode("append").parquet(target_path)

@@ -67,7 +67,9 @@ def test_sequential_values_with_datepart(spark):
 def test_insert_ignore_existing_wins_batch_min_wins_null_keys_kept(spark):
     tgt = spark.createDataFrame([(1, "old")], "k int, v string")
     batch = spark.createDataFrame([(1, "new"), (2, "b"), (2, "a"), (None, "x"), (None, "y")], "k int, v string")
-    out = sinks.insert_ignore(tgt, batch, ["k"], tempfile.mkdtemp(prefix="fg-ii-") + "/t")
+    path = tempfile.mkdtemp(prefix="fg-ii-") + "/t"
+    tgt.write.parquet(path)
+    out = sinks.insert_ignore(path, batch, ["k"])
     got = sorted(((r.k if r.k is not None else -1), r.v) for r in out.collect())
     assert got == [(-1, "x"), (-1, "y"), (1, "old"), (2, "a")]
 

@@ -28,6 +28,22 @@ def test_lead_in_order_matches_window_with_hot_key(spark):
     pd.testing.assert_frame_equal(a[["id", "nid", "nv"]], b[["id", "nid", "nv"]], check_dtype=False)
 
 
+def test_lead_in_order_null_keys(spark):
+    rows = [(i, None if i % 3 == 0 else i % 5, None if i % 7 == 0 else f"t{i % 4}") for i in range(400)]
+    df = spark.createDataFrame(rows, "id long, k long, t string")
+    w = Window.partitionBy("k", "t").orderBy("id")
+    want = {r.id: r.nid for r in df.withColumn("nid", F.lead("id").over(w)).collect()}
+    got = {r.id: r.nid for r in scan.lead_in_order(df, by=["k", "t"], order=["id"], cols={"id": "nid"}, n=9).collect()}
+    assert got == want
+
+
+def test_empty_input(spark):
+    df = spark.createDataFrame([], "id long, k long, v double")
+    assert scan.lead_in_order(df, ["k"], ["id"], {"v": "nv"}).count() == 0
+    assert scan.prefix_scan(df, ["id"], "v").count() == 0
+    assert scan.exact_quantiles(df, "v", [0.5]) == [None]
+
+
 def test_lead_in_order_global(spark):
     df = spark.range(0, 500).select((F.col("id") * 3).alias("x"))
     out = scan.lead_in_order(df, by=[], order=["x"], cols={"x": "nx"}, n=7).toPandas().sort_values("x")
@@ -35,12 +51,12 @@ def test_lead_in_order_global(spark):
     assert pd.isna(out["nx"].iloc[-1])
 
 
-def test_exact_quantiles_match_numpy_with_duplicates_and_buckets(spark):
+def test_exact_quantiles_match_numpy_with_duplicates_over_partitions(spark):
     rnd = np.random.default_rng(3)
     vals = np.concatenate([rnd.normal(size=4000), np.zeros(2000)])
     df = spark.createDataFrame([(float(v),) for v in vals], "x double")
     probs = [0.01, 0.25, 0.5, 0.99]
-    got = scan.exact_quantiles(df, "x", probs, buckets=16, max_bucket_rows=200)  # forces bucket refinement
+    got = scan.exact_quantiles(df, "x", probs, n=16)
     want = np.quantile(vals, probs)  # linear interpolation = percentile_cont
     assert np.allclose(got, want, rtol=0, atol=1e-12)
 
