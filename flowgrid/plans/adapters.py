@@ -5,13 +5,17 @@ holidays are *derived by Spark* from ``events`` (their size grows with it).
 The same definitions exist as a DuckDB ``WITH`` prefix (``ADAPTER_SQL``) for
 the oracle.  Fixed derivation rules:
 
+* events: those of every other pair of users (user_id // 2 odd) take place 31
+  days later, so there are two months and a rest.
 * trips: per user ordered by (ts, event_id) the trip starts at an event and
-  ends at the user's next event; station number = 100 + id % 23; the raw id is
-  written ``NNN.1`` for even ids and ``NNN.10`` for odd ones (normalisation
-  folds them together); member_casual is null for ids divisible by 53.
+  ends at the user's next event; there are 40 + events // 500 station numbers
+  from 100 on, every third event is at one of the first 7 (busy stations); the
+  raw id is written ``NNN.1`` for even ids and ``NNN.10`` for odd ones
+  (normalisation folds them together); member_casual is null for ids divisible
+  by 53.
 * stations: distinct station numbers except 120..122; station 101 has no name.
-* weather: every event outside hours 3, 4 and 13 (so the as-of fill has
-  gaps to fill); code text
+* weather: every event; temperatures are null in hours 3, 4 and 13 (so the
+  as-of fill has gaps to fill); code text
   id % 28 (``n/a`` for id % 19 = 0, null for id % 31 = 0, ``.0`` suffix for
   id % 5 = 0, ``.7`` suffix for id % 7 = 0).
 * holidays: the holiday calendar of every year present in ``events``.
@@ -24,11 +28,12 @@ from pyspark.sql import functions as F
 
 from flowgrid.operators.series import holiday_calendar, years_of
 
-N_STATIONS = 23
 STATION_BASE = 100
+BUSY_STATIONS = 7
+SHIFT_DAYS = 31
 EXCLUDED_STATIONS = [120, 121, 122]
 NAMELESS_STATION = 101
-WEATHER_GAP_HOURS = [3, 4, 13]  # hours of the day without weather observations
+WEATHER_GAP_HOURS = [3, 4, 13]  # hours of the day without a temperature
 BASE_LAT, STEP_LAT = 40.70, 0.004
 BASE_LNG, STEP_LNG = -74.00, 0.003
 
@@ -40,24 +45,39 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _station_text(eid):
-    num = (F.lit(STATION_BASE) + eid % N_STATIONS).cast("string")
+def n_stations(events: DataFrame) -> int:
+    """Grows with the data (a count of the table, from Parquet footers)."""
+    return 40 + events.count() // 500
+
+
+def shifted(events: DataFrame) -> DataFrame:
+    late = F.floor(F.col("user_id") / 2) % 2 == 1
+    return events.withColumn("ts", F.when(late, F.timestamp_add("DAY", F.lit(SHIFT_DAYS), F.col("ts"))).otherwise(F.col("ts")))
+
+
+def station_index(eid, k: int):
+    return F.when(eid % 3 == 0, eid % BUSY_STATIONS).otherwise(eid % k)
+
+
+def _station_text(eid, k: int):
+    num = (F.lit(STATION_BASE) + station_index(eid, k)).cast("string")
     return F.concat(num, F.lit("."), F.when(eid % 2 == 0, F.lit("1")).otherwise(F.lit("10")))
 
 
-def _lat(eid):
-    return F.lit(BASE_LAT) + (eid % N_STATIONS).cast("double") * F.lit(STEP_LAT)
+def _lat(eid, k: int):
+    return F.lit(BASE_LAT) + station_index(eid, k).cast("double") * F.lit(STEP_LAT)
 
 
-def _lng(eid):
-    return F.lit(BASE_LNG) + (eid % N_STATIONS).cast("double") * F.lit(STEP_LNG)
+def _lng(eid, k: int):
+    return F.lit(BASE_LNG) + station_index(eid, k).cast("double") * F.lit(STEP_LNG)
 
 
 def trips(events: DataFrame) -> DataFrame:
     """Trip rows: start at an event, end at the same user's next event."""
     from flowgrid.operators.scan import lead_in_order
 
-    e = events.select("event_id", "ts", "user_id", "event_type")
+    k = n_stations(events)
+    e = shifted(events).select("event_id", "ts", "user_id", "event_type")
     e = lead_in_order(e, by=["user_id"], order=["ts", "event_id"],
                       cols={"ts": "_nts", "event_id": "_nid"})
     eid, nid = F.col("event_id"), F.col("_nid")
@@ -65,18 +85,18 @@ def trips(events: DataFrame) -> DataFrame:
         eid.alias("id"),
         F.col("ts").alias("started_at"),
         F.col("_nts").alias("ended_at"),
-        _station_text(eid).alias("start_station_id"),
-        F.when(nid.isNotNull(), _station_text(nid)).alias("end_station_id"),
+        _station_text(eid, k).alias("start_station_id"),
+        F.when(nid.isNotNull(), _station_text(nid, k)).alias("end_station_id"),
         F.col("event_type").alias("rideable_type"),
         F.when(eid % 53 == 0, F.lit(None).cast("string"))
          .when(F.col("user_id") % 2 == 0, F.lit("member")).otherwise(F.lit("casual")).alias("member_casual"),
-        _lat(eid).alias("start_lat"), _lng(eid).alias("start_lng"),
-        _lat(nid).alias("end_lat"), _lng(nid).alias("end_lng"),
+        _lat(eid, k).alias("start_lat"), _lng(eid, k).alias("start_lng"),
+        _lat(nid, k).alias("end_lat"), _lng(nid, k).alias("end_lng"),
     )
 
 
 def stations(events: DataFrame) -> DataFrame:
-    sn = (F.lit(STATION_BASE) + F.col("event_id") % N_STATIONS).alias("sn")
+    sn = (F.lit(STATION_BASE) + station_index(F.col("event_id"), n_stations(events))).alias("sn")
     d = events.select(sn).distinct().where(~F.col("sn").isin(*EXCLUDED_STATIONS))
     k = F.col("sn") - STATION_BASE
     return d.select(
@@ -94,9 +114,9 @@ def stations(events: DataFrame) -> DataFrame:
 def weather(events: DataFrame) -> DataFrame:
     eid = F.col("event_id")
     code = (eid % 28).cast("string")
-    return events.where(~F.hour("ts").isin(*WEATHER_GAP_HOURS)).select(
+    return shifted(events).select(
         F.col("ts").alias("time"),
-        F.col("value").alias("temp"),
+        F.when(~F.hour("ts").isin(*WEATHER_GAP_HOURS), F.col("value")).alias("temp"),
         (F.lit(50) + eid % 50).cast("double").alias("relative_humidity"),
         ((eid % 13).cast("double") * F.lit(0.5)).alias("precipitation_total"),
         ((eid % 11).cast("double") * F.lit(1.5)).alias("average_wind_speed"),
@@ -109,7 +129,7 @@ def weather(events: DataFrame) -> DataFrame:
 
 
 def holidays(events: DataFrame) -> DataFrame:
-    return holiday_calendar(years_of(events, "ts"))
+    return holiday_calendar(years_of(shifted(events), "ts"))
 
 
 def mobility(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -121,11 +141,19 @@ def mobility(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 # The same derivations for DuckDB (oracle side).  CTE names are prefixed with
 # ``a_`` so they never shadow the pre-registered driver views.
 # ---------------------------------------------------------------------------
+def sql_station_index(x: str) -> str:
+    return f"(CASE WHEN {x} % 3 = 0 THEN {x} % {BUSY_STATIONS} ELSE {x} % (SELECT k FROM a_k) END)"
+
+
 def _sql_station_text(x: str) -> str:
-    return (f"CAST({STATION_BASE} + {x} % {N_STATIONS} AS VARCHAR) || '.' || "
+    return (f"CAST({STATION_BASE} + {sql_station_index(x)} AS VARCHAR) || '.' || "
             f"CASE WHEN {x} % 2 = 0 THEN '1' ELSE '10' END")
 
 
+def _sql_coordinate(x: str, base: float, step: float) -> str:
+    return f"CAST({base} AS DOUBLE) + CAST({sql_station_index(x)} AS DOUBLE) * CAST({step} AS DOUBLE)"
+
+
 def _sql_holidays() -> str:
     # DuckDB dayofweek: 0 = Sunday (Spark dayofweek - 1).
     parts = []
@@ -145,11 +173,15 @@ def _sql_holidays() -> str:
 
 
 ADAPTER_SQL = f"""
+a_k AS (SELECT 40 + count(*) // 500 AS k FROM events),
+a_events AS (
+  SELECT * REPLACE (CASE WHEN (user_id // 2) % 2 = 1 THEN ts + INTERVAL {SHIFT_DAYS} DAY ELSE ts END AS ts) FROM events
+),
 a_lead AS (
   SELECT event_id, ts, user_id, event_type,
          lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS nts,
          lead(event_id) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS nid
-  FROM events
+  FROM a_events
 ),
 a_trips AS (
   SELECT event_id AS id, ts AS started_at, nts AS ended_at,
@@ -157,14 +189,14 @@ a_trips AS (
          CASE WHEN nid IS NULL THEN NULL ELSE {_sql_station_text('nid')} END AS end_station_id,
          event_type AS rideable_type,
          CASE WHEN event_id % 53 = 0 THEN NULL WHEN user_id % 2 = 0 THEN 'member' ELSE 'casual' END AS member_casual,
-         CAST({BASE_LAT} AS DOUBLE) + CAST(event_id % {N_STATIONS} AS DOUBLE) * CAST({STEP_LAT} AS DOUBLE) AS start_lat,
-         CAST({BASE_LNG} AS DOUBLE) + CAST(event_id % {N_STATIONS} AS DOUBLE) * CAST({STEP_LNG} AS DOUBLE) AS start_lng,
-         CAST({BASE_LAT} AS DOUBLE) + CAST(nid % {N_STATIONS} AS DOUBLE) * CAST({STEP_LAT} AS DOUBLE) AS end_lat,
-         CAST({BASE_LNG} AS DOUBLE) + CAST(nid % {N_STATIONS} AS DOUBLE) * CAST({STEP_LNG} AS DOUBLE) AS end_lng
+         {_sql_coordinate('event_id', BASE_LAT, STEP_LAT)} AS start_lat,
+         {_sql_coordinate('event_id', BASE_LNG, STEP_LNG)} AS start_lng,
+         {_sql_coordinate('nid', BASE_LAT, STEP_LAT)} AS end_lat,
+         {_sql_coordinate('nid', BASE_LNG, STEP_LNG)} AS end_lng
   FROM a_lead
 ),
 a_sn AS (
-  SELECT DISTINCT {STATION_BASE} + event_id % {N_STATIONS} AS sn FROM events
+  SELECT DISTINCT {STATION_BASE} + {sql_station_index('event_id')} AS sn FROM events
 ),
 a_stations AS (
   SELECT CAST(sn AS BIGINT) AS id, CAST(sn AS VARCHAR) || '.10' AS short_name,
@@ -176,7 +208,7 @@ a_stations AS (
   FROM a_sn WHERE sn NOT IN ({', '.join(map(str, EXCLUDED_STATIONS))})
 ),
 a_weather AS (
-  SELECT ts AS time, value AS temp,
+  SELECT ts AS time, CASE WHEN hour(ts) NOT IN ({', '.join(map(str, WEATHER_GAP_HOURS))}) THEN value END AS temp,
          CAST(50 + event_id % 50 AS DOUBLE) AS relative_humidity,
          CAST(event_id % 13 AS DOUBLE) * 0.5 AS precipitation_total,
          CAST(event_id % 11 AS DOUBLE) * 1.5 AS average_wind_speed,
@@ -185,8 +217,8 @@ a_weather AS (
               WHEN event_id % 5 = 0 THEN CAST(event_id % 28 AS VARCHAR) || '.0'
               WHEN event_id % 7 = 0 THEN CAST(event_id % 28 AS VARCHAR) || '.7'
               ELSE CAST(event_id % 28 AS VARCHAR) END AS coco
-  FROM events WHERE hour(ts) NOT IN ({', '.join(map(str, WEATHER_GAP_HOURS))})
+  FROM a_events
 ),
-yrs AS (SELECT DISTINCT CAST(year(ts) AS INTEGER) AS y FROM events),
+yrs AS (SELECT DISTINCT CAST(year(ts) AS INTEGER) AS y FROM a_events),
 a_holidays AS ({_sql_holidays()})
 """

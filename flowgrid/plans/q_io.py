@@ -17,6 +17,7 @@ from flowgrid.functions.dates import ntz_lit
 from flowgrid.operators import clean, flow
 from flowgrid.operators.joins import bounded_broadcast
 from flowgrid.plans import sqlparts as S
+from flowgrid.plans.adapters import n_stations, sql_station_index, station_index
 from flowgrid.plans.q_drift import predictions
 from flowgrid.plans.q_grid import G, grid
 from flowgrid.plans.q_mobility import mob, weather_hourly
@@ -261,18 +262,18 @@ def q_insert_ignore(spark, sf_dir):
 
 
 @query("insert_by_period", """WITH o AS (SELECT o_orderkey, o_orderdate, o_totalprice,
-  datediff('month', TIMESTAMP '1992-01-20 00:00:00', o_orderdate) AS n FROM orders
-  WHERE o_orderdate > TIMESTAMP '1992-01-20 00:00:00' AND o_orderdate < TIMESTAMP '1997-01-01 00:00:00')
-SELECT o_orderkey, o_orderdate, o_totalprice, strftime(TIMESTAMP '1992-01-20 00:00:00' + to_months(CAST(
+  datediff('month', TIMESTAMP '1995-02-20 00:00:00', o_orderdate) AS n FROM orders
+  WHERE o_orderdate > TIMESTAMP '1995-02-20 00:00:00' AND o_orderdate < TIMESTAMP '2001-01-01 00:00:00')
+SELECT o_orderkey, o_orderdate, o_totalprice, strftime(TIMESTAMP '1995-02-20 00:00:00' + to_months(CAST(
   CASE WHEN day(o_orderdate) < 20 THEN n - 1 ELSE n END AS INTEGER)), '%Y-%m-%d') AS period FROM o""")
 def q_insert_by_period(spark, sf_dir):
-    """Months counted from 1992-01-20: one load up to 1995, then the backfill
+    """Months counted from 1995-02-20: one load up to 1998, then the backfill
     resumes after its newest timestamp and appends every further month up to
     the stop date in one pass."""
     o = TBL(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_totalprice")
-    path, start = scratch_path(spark, "orders-by-period"), "1992-01-20 00:00:00"
-    sinks.backfill_by_period(o, path, "o_orderdate", "1995-01-01 00:00:00", "month", start=start)
-    sinks.backfill_by_period(o, path, "o_orderdate", "1997-01-01 00:00:00", "month", start=start)
+    path, start = scratch_path(spark, "orders-by-period"), "1995-02-20 00:00:00"
+    sinks.backfill_by_period(o, path, "o_orderdate", "1998-01-01 00:00:00", "month", start=start)
+    sinks.backfill_by_period(o, path, "o_orderdate", "2001-01-01 00:00:00", "month", start=start)
     schema = "o_orderkey long, o_orderdate timestamp_ntz, o_totalprice double, period string"
     return spark.read.schema(schema).parquet(path)
 
@@ -352,7 +353,7 @@ def q_predictions_import(spark, sf_dir):
 
 # --------------------------------------------------------------------------- request-side joins
 
-REQ_SQL = f"""rq AS (SELECT event_id AS request_id, {S.norm_sql("CAST(100 + event_id % 23 AS VARCHAR) || '.1'")} AS station_id,
+REQ_SQL = f"""rq AS (SELECT event_id AS request_id, {S.norm_sql("CAST(100 + " + sql_station_index("event_id") + " AS VARCHAR) || '.1'")} AS station_id,
   date_trunc('hour', ts) AS date_hour, CASE WHEN event_id % 2 = 0 THEN 'take' ELSE 'drop' END AS action
   FROM events),
 st AS (SELECT short_name, station_id AS feed_station_id, capacity, CAST(id % 7 AS INTEGER) AS num_bikes_available,
@@ -363,7 +364,7 @@ def requests(spark, sf_dir) -> DataFrame:
     """Every event is a forecast request for its station and hour (even ids
     ask to take a bike, odd ids to drop one)."""
     e = TBL(spark, sf_dir, "events")
-    sid = normalize_station_id(F.concat((F.lit(100) + F.col("event_id") % 23).cast("string"), F.lit(".1")))
+    sid = normalize_station_id(F.concat((F.lit(100) + station_index(F.col("event_id"), n_stations(e))).cast("string"), F.lit(".1")))
     return e.select(F.col("event_id").alias("request_id"), sid.alias("station_id"), hour_floor("ts").alias("date_hour"),
                     F.when(F.col("event_id") % 2 == 0, F.lit("take")).otherwise(F.lit("drop")).alias("action"))
 

@@ -73,16 +73,19 @@ def q_dq_accepted_range(spark, sf_dir):
         "l_orderkey", "l_linenumber", "l_quantity")
 
 
-@query("dq_at_least_one", """SELECT c_mktsegment, count(c_acctbal) AS filler_column FROM customer
-GROUP BY 1 HAVING count(c_acctbal) = 0""")
+@query("dq_at_least_one", """SELECT c_nationkey, c_mktsegment, count(CASE WHEN c_acctbal < 0 THEN 1 END) AS filler_column
+FROM customer GROUP BY 1, 2 HAVING count(CASE WHEN c_acctbal < 0 THEN 1 END) = 0""")
 def q_dq_at_least_one(spark, sf_dir):
-    return Q.at_least_one(T(spark, sf_dir, "customer"), "c_acctbal", ["c_mktsegment"])
+    """Nation and segment pairs without any overdrawn account."""
+    c = T(spark, sf_dir, "customer").withColumn("overdrawn", F.when(F.col("c_acctbal") < 0, F.col("c_acctbal")))
+    return Q.at_least_one(c, "overdrawn", ["c_nationkey", "c_mktsegment"])
 
 
-@query("dq_not_constant", """SELECT o_orderpriority, count(DISTINCT o_orderstatus) AS filler_column FROM orders
+@query("dq_not_constant", """SELECT o_custkey, count(DISTINCT o_orderstatus) AS filler_column FROM orders
 GROUP BY 1 HAVING count(DISTINCT o_orderstatus) = 1""")
 def q_dq_not_constant(spark, sf_dir):
-    return Q.not_constant(T(spark, sf_dir, "orders"), "o_orderstatus", ["o_orderpriority"])
+    """Customers whose orders all have one status."""
+    return Q.not_constant(T(spark, sf_dir, "orders"), "o_orderstatus", ["o_custkey"])
 
 
 @query("dq_not_null_proportion", with_adapters("""SELECT * FROM (
@@ -93,31 +96,37 @@ def q_dq_not_null_proportion(spark, sf_dir):
 
 
 @query("dq_recency", """SELECT * FROM (SELECT max(o_orderdate) AS most_recent,
-  TIMESTAMP '2000-01-01 00:00:00' - INTERVAL 30 DAY AS threshold FROM orders)
+  TIMESTAMP '2010-01-01 00:00:00' - INTERVAL 30 DAY AS threshold FROM orders)
 WHERE most_recent IS NULL OR most_recent < threshold""")
 def q_dq_recency(spark, sf_dir):
-    return Q.recency(T(spark, sf_dir, "orders"), "o_orderdate", "day", 30, "2000-01-01 00:00:00")
+    return Q.recency(T(spark, sf_dir, "orders"), "o_orderdate", "day", 30, "2010-01-01 00:00:00")
 
 
-@query("dq_no_empty_string", "SELECT doc_id FROM documents WHERE text = ''")
+@query("dq_no_empty_string", """SELECT conv_id, turn FROM conversations
+WHERE regexp_extract(text, '[0-9]+') = ''""")
 def q_dq_no_empty_string(spark, sf_dir):
-    return Q.no_empty_string(T(spark, sf_dir, "documents"), "text").select("doc_id")
+    """Turns whose first number (as text) is empty."""
+    c = T(spark, sf_dir, "conversations").withColumn("number", F.regexp_extract("text", "[0-9]+", 0))
+    return Q.no_empty_string(c, "number").select("conv_id", "turn")
 
 
 @query("dq_assert_equal", G("""SELECT station_id, date_hour FROM g_grid
-WHERE NOT (net_flow = num_bikes_taken - num_bikes_dropped)"""))
+WHERE NOT (net_flow = num_bikes_taken)"""))
 def q_dq_assert_equal(spark, sf_dir):
-    g = grid(spark, sf_dir).withColumn("_exp", F.col("num_bikes_taken") - F.col("num_bikes_dropped"))
+    """Hours in which the net flow is not the pickups alone."""
+    g = grid(spark, sf_dir).withColumn("_exp", F.col("num_bikes_taken"))
     return Q.assert_equal(g, "net_flow", "_exp").select("station_id", "date_hour")
 
 
 # --------------------------------------------------------------------------- two-table checks
 
 @query("dq_equal_rowcount", """SELECT * FROM (SELECT a.count_a, b.count_b, abs(a.count_a - b.count_b) AS diff_count
-FROM (SELECT count(*) AS count_a FROM customer) a, (SELECT count(*) AS count_b FROM (SELECT DISTINCT o_custkey FROM orders)) b)
+FROM (SELECT count(*) AS count_a FROM customer) a, (SELECT count(*) AS count_b FROM (SELECT DISTINCT o_custkey FROM orders WHERE o_totalprice > 250000)) b)
 WHERE diff_count > 0""")
 def q_dq_equal_rowcount(spark, sf_dir):
-    return Q.equal_rowcount(T(spark, sf_dir, "customer"), T(spark, sf_dir, "orders").select("o_custkey").distinct())
+    """All customers against those with a large order."""
+    large = T(spark, sf_dir, "orders").where("o_totalprice > 250000")
+    return Q.equal_rowcount(T(spark, sf_dir, "customer"), large.select("o_custkey").distinct())
 
 
 @query("dq_fewer_rows_than", """SELECT * FROM (SELECT a.count_our_model, b.count_comparison_model,
@@ -154,22 +163,25 @@ def q_dq_relationships_where(spark, sf_dir):
 
 @query("dq_flow_consistency", G("""
 n_nz AS (SELECT station_id, date_hour, num_bikes_taken, num_bikes_dropped, net_flow FROM f_dedup WHERE net_flow <> 0),
-g_nz AS (SELECT station_id, date_hour, num_bikes_taken, num_bikes_dropped, net_flow FROM g_grid WHERE net_flow <> 0)
+g_nz AS (SELECT station_id, date_hour, num_bikes_taken, num_bikes_dropped, net_flow FROM g_grid WHERE net_flow <> 0 AND day > 1)
 SELECT *, 'missing_in_grid' AS issue FROM (SELECT * FROM n_nz EXCEPT SELECT * FROM g_nz)
 UNION ALL SELECT *, 'extra_in_grid' FROM (SELECT * FROM g_nz EXCEPT SELECT * FROM n_nz)"""))
 def q_dq_flow_consistency(spark, sf_dir):
+    """Flows against a grid that lacks the first day of each month."""
     cols = ["station_id", "date_hour", "num_bikes_taken", "num_bikes_dropped", "net_flow"]
     n = net(spark, sf_dir).select(*cols).where("net_flow <> 0")
-    g = grid(spark, sf_dir).select(*cols).where("net_flow <> 0")
+    g = grid(spark, sf_dir).where("net_flow <> 0 and day > 1").select(*cols)
     return n.subtract(g).withColumn("issue", F.lit("missing_in_grid")).unionByName(
         g.subtract(n).withColumn("issue", F.lit("extra_in_grid")))
 
 
 @query("dq_sequential_values", G(f"""SELECT station_id, date_hour, previous_date_hour FROM (
   SELECT station_id, date_hour, lag(date_hour) OVER (PARTITION BY station_id ORDER BY date_hour) AS previous_date_hour
-  FROM g_grid) WHERE NOT (date_hour = previous_date_hour + INTERVAL 1 HOUR)"""))
+  FROM f_dedup) WHERE NOT (date_hour = previous_date_hour + INTERVAL 1 HOUR)"""))
 def q_dq_sequential_values(spark, sf_dir):
-    return Q.sequential_values(grid(spark, sf_dir), "date_hour", 1, "hour", ["station_id"])
+    """Observed hours of a station that do not follow on each other."""
+    n = net(spark, sf_dir).select("station_id", "date_hour")
+    return Q.sequential_values(n, "date_hour", 1, "hour", ["station_id"]).select("station_id", "date_hour", "previous_date_hour")
 
 
 # --------------------------------------------------------------------------- ranges and sequences
@@ -214,12 +226,12 @@ def q_dq_mutually_exclusive_ranges(spark, sf_dir):
 
 
 @query("sequence_gaps", """SELECT o_orderkey, previous_o_orderkey FROM (
-  SELECT o_orderkey, lag(o_orderkey) OVER (ORDER BY o_orderkey) AS previous_o_orderkey FROM orders)
+  SELECT o_orderkey, lag(o_orderkey) OVER (ORDER BY o_orderkey) AS previous_o_orderkey FROM orders WHERE o_orderstatus = 'O')
 WHERE previous_o_orderkey IS NOT NULL AND o_orderkey <> previous_o_orderkey + 1""")
 def q_sequence_gaps(spark, sf_dir):
     """Global order without a partition key: successor pairs come from the
     range-partitioned lead, so no single task sees the whole table."""
-    o = T(spark, sf_dir, "orders").select("o_orderkey")
+    o = T(spark, sf_dir, "orders").where("o_orderstatus = 'O'").select("o_orderkey")
     pairs = lead_in_order(o, by=[], order=["o_orderkey"], cols={"o_orderkey": "_next"})
     return pairs.where(F.col("_next").isNotNull() & (F.col("_next") != F.col("o_orderkey") + 1)).select(
         F.col("_next").alias("o_orderkey"), F.col("o_orderkey").alias("previous_o_orderkey"))

@@ -144,14 +144,17 @@ def q_deduplicate(spark, sf_dir):
 # --------------------------------------------------------------------------- set operations
 
 @query("union_all", """SELECT c_custkey AS custkey, 'customer_without_orders' AS side FROM customer
-  WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)
-UNION ALL SELECT o_custkey, 'order_without_customer' FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer)""")
+  WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_totalprice > 200000)
+UNION ALL SELECT o_custkey, 'order_without_customer' FROM orders WHERE o_totalprice > 200000
+  AND o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0)""")
 def q_union_all(spark, sf_dir):
-    c, o = T(spark, sf_dir, "customer"), T(spark, sf_dir, "orders")
+    """Customers without a large order, and large orders of customers in debt."""
+    c, o = T(spark, sf_dir, "customer"), T(spark, sf_dir, "orders").where("o_totalprice > 200000")
     a = c.join(o, c["c_custkey"] == o["o_custkey"], "left_anti").select(F.col("c_custkey").alias("custkey"),
                                                                            F.lit("customer_without_orders").alias("side"))
-    b = o.join(c, o["o_custkey"] == c["c_custkey"], "left_anti").select(F.col("o_custkey").alias("custkey"),
-                                                                           F.lit("order_without_customer").alias("side"))
+    paid = c.where("c_acctbal > 0")
+    b = o.join(paid, o["o_custkey"] == paid["c_custkey"], "left_anti").select(F.col("o_custkey").alias("custkey"),
+                                                                                 F.lit("order_without_customer").alias("side"))
     return a.unionByName(b)
 
 

@@ -118,14 +118,15 @@ def backfill_by_period(source: DataFrame, target_path: str, ts: str, stop, perio
     spark: SparkSession = source.sparkSession
     hi = None
     if _path_exists(spark, target_path):
-        hi = spark.read.parquet(target_path).agg(F.max(ts)).first()[0]
+        hi = spark.read.schema(source.select(ts).schema).parquet(target_path).agg(F.max(ts)).first()[0]
     lower = ntz_lit(hi) if hi is not None else (ntz_lit(start) if start is not None else None)
     cond = F.col(ts) < F.timestamp_add("MILLISECOND", F.lit(-1), ntz_lit(stop))
     if lower is not None:
         cond = cond & (F.col(ts) > lower)
     label = F.date_format(period_start(ts, period, start), "yyyy-MM-dd HH" if period == "hour" else "yyyy-MM-dd")
-    source.where(cond).withColumn("period", label).write.mode("append").partitionBy("period").parquet(target_path)
-    return spark.read.parquet(target_path)
+    batch = source.where(cond).withColumn("period", label)
+    batch.write.mode("append").partitionBy("period").parquet(target_path)
+    return spark.read.schema(batch.schema).parquet(target_path)  # declared: the table may still be empty
 
 
 def append_evolving(target_path: str, batch: DataFrame) -> tuple[DataFrame, list[str], list[str]]:
