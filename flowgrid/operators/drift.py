@@ -5,6 +5,7 @@ the driver (for the p-values that need special functions)."""
 
 from __future__ import annotations
 
+import functools
 import math
 from collections.abc import Sequence
 
@@ -23,7 +24,7 @@ PH_LAMBDA = 10.0
 MIN_VOTES = 2
 
 
-def regression_metrics(df: DataFrame, y: str, yhat: str, digits: int | None = 6) -> DataFrame:
+def regression_metrics(df: DataFrame, y: str, yhat: str, digits: int | None = None) -> DataFrame:
     """n, RMSE, MAE, R^2 (null when y is constant) in one aggregate pass plus
     one pass for the centred sum of squares (mean as a scalar subquery)."""
     e = F.col(y) - F.col(yhat)
@@ -39,7 +40,7 @@ def regression_metrics(df: DataFrame, y: str, yhat: str, digits: int | None = 6)
 
 
 def fanout_metrics(actuals: DataFrame, preds: DataFrame, keys: Sequence[str], y: str, yhat: str,
-                   digits: int | None = 6) -> DataFrame:
+                   digits: int | None = None) -> DataFrame:
     """``regression_metrics`` over ``actuals JOIN preds ON keys`` (every match
     kept, null predictions dropped) without emitting the pairs.  Per key:
     counts, sums and sums of squares of both sides give n, SSE, the mean and
@@ -47,8 +48,10 @@ def fanout_metrics(actuals: DataFrame, preds: DataFrame, keys: Sequence[str], y:
     sum of the actuals in value order (for each prediction p:
     p*c - s + (S - s) - p*(N - c)), a window over one key's rows only."""
     keys = list(keys)
-    a = actuals.select(*keys, F.col(y).cast("double").alias("_v"), F.lit(1).alias("_isa"))
-    p = preds.where(F.col(yhat).isNotNull()).select(*keys, F.col(yhat).cast("double").alias("_v"),
+    # both sides relative to the mean actual: differences stay, squares stay small
+    centre = F.coalesce(actuals.agg(F.avg(F.col(y).cast("double"))).scalar(), F.lit(0.0))
+    a = actuals.select(*keys, (F.col(y).cast("double") - centre).alias("_v"), F.lit(1).alias("_isa"))
+    p = preds.where(F.col(yhat).isNotNull()).select(*keys, (F.col(yhat).cast("double") - centre).alias("_v"),
                                                    F.lit(0).alias("_isa"))
     sa = a.groupBy(*keys).agg(F.count(F.lit(1)).alias("_na"), F.sum("_v").alias("_sa"),
                               F.sum(F.col("_v") * F.col("_v")).alias("_sa2"))
@@ -106,14 +109,61 @@ def ks_two_sample(df: DataFrame, value: str, side: str, a, b) -> DataFrame:
     s = prefix_scan(x, ["v"], "_x")
     d = s.agg(F.max(F.abs("_cum")).alias("d_stat"))
     lam = F.col("d_stat") * F.lit(math.sqrt(n_a * n_b / (n_a + n_b)))
-    series = F.aggregate(F.sequence(F.lit(1), F.lit(100)), F.lit(0.0),
-                         lambda acc, k: acc + F.pow(F.lit(-1.0), k - 1) * F.exp(F.lit(-2.0) * k * k * lam * lam))
-    p = F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.lit(2.0) * series))
+    p = _ks_p(lam)
     return d.select(F.round("d_stat", 9).alias("d_stat"), F.lit(n_a).cast("long").alias("n_a"),
                     F.lit(n_b).cast("long").alias("n_b"), F.round(p, 6).alias("p_value"),
                     (p < P_THRESHOLD).alias("drift"))
 
 
+JS_THRESHOLD = 0.1
+
+
+def column_drift(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], side: str, a, b) -> DataFrame:
+    """Drift of every column between sides ``a`` and ``b``: two-sample KS for
+    numeric columns, Jensen-Shannon distance of the category shares for the
+    others (null is a category), in one pass over the rows.
+
+    Columns become (column, value) rows counted by side; one ordered scan over
+    (column, value) gives the running difference of the two distributions of
+    all numeric columns at once, because a column's differences add up to 0.
+    Returns column_name, kind, stat, p_value (KS only) and drift."""
+    sides = df.where(F.col(side).isin(a, b))
+    is_a = (F.col(side) == a).cast("int").alias("_a")
+    num = F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("double").alias("v")) for c in numeric])).alias("x")
+    cat = F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in categorical])).alias("x")
+
+    def counted(values, drop_null):
+        x = sides.select(is_a, values).select("_a", "x.c", "x.v")
+        x = x.where(F.col("v").isNotNull()) if drop_null else x
+        n = x.groupBy("c", "v").agg(F.sum("_a").alias("na"), F.sum(1 - F.col("_a")).alias("nb"))
+        total = n.groupBy("c").agg(F.sum("na").alias("all_a"), F.sum("nb").alias("all_b"))  # one row per column
+        return n.join(F.broadcast(total), "c").where((F.col("all_a") > 0) & (F.col("all_b") > 0))
+
+    out = []
+    if numeric:
+        n = counted(num, True).withColumn("_x", F.col("na") / F.col("all_a") - F.col("nb") / F.col("all_b"))
+        d = prefix_scan(n, ["c", "v"], "_x").groupBy("c").agg(
+            F.max(F.abs("_cum")).alias("d"), F.first("all_a").alias("na"), F.first("all_b").alias("nb"))
+        lam = F.col("d") * F.sqrt(F.col("na").cast("double") * F.col("nb") / (F.col("na") + F.col("nb")))
+        p = _ks_p(lam)
+        out.append(d.select(F.col("c").alias("column_name"), F.lit("numeric").alias("kind"), F.col("d").alias("stat"),
+                            p.alias("p_value"), (p < P_THRESHOLD).alias("drift")))
+    if categorical:
+        p, q = F.col("na") / F.col("all_a"), F.col("nb") / F.col("all_b")
+        part = F.when(p > 0, p * F.log(2 * p / (p + q))).otherwise(0.0) + F.when(q > 0, q * F.log(2 * q / (p + q))).otherwise(0.0)
+        js = counted(cat, False).groupBy("c").agg(F.sqrt(F.greatest(F.lit(0.0), F.sum(part) / 2)).alias("d"))
+        out.append(js.select(F.col("c").alias("column_name"), F.lit("categorical").alias("kind"), F.col("d").alias("stat"),
+                             F.lit(None).cast("double").alias("p_value"), (F.col("d") >= JS_THRESHOLD).alias("drift")))
+    return functools.reduce(DataFrame.unionByName, out)
+
+
+def _ks_p(lam):
+    """Asymptotic two-sided Kolmogorov p-value of ``lam``."""
+    series = F.aggregate(F.sequence(F.lit(1), F.lit(100)), F.lit(0.0),
+                         lambda acc, k: acc + F.pow(F.lit(-1.0), k - 1) * F.exp(F.lit(-2.0) * k * k * lam * lam))
+    return F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.lit(2.0) * series))
+
+
 def welch_stats(df: DataFrame, value: str, side: str, a, b) -> DataFrame:
     """Welch's t statistic and Welch-Satterthwaite degrees of freedom."""
     g = df.agg(*[f for s, tag in ((a, "a"), (b, "b")) for f in (
@@ -123,8 +173,7 @@ def welch_stats(df: DataFrame, value: str, side: str, a, b) -> DataFrame:
     va, vb = F.col("var_a") / F.col("n_a"), F.col("var_b") / F.col("n_b")
     t = (F.col("mean_a") - F.col("mean_b")) / F.sqrt(va + vb)
     dof = (va + vb) ** 2 / (va ** 2 / (F.col("n_a") - 1) + vb ** 2 / (F.col("n_b") - 1))
-    return g.select("n_a", "n_b", F.round("mean_a", 6).alias("mean_a"), F.round("mean_b", 6).alias("mean_b"),
-                    F.round(t, 6).alias("t_stat"), F.round(dof, 6).alias("dof"))
+    return g.select("n_a", "n_b", "mean_a", "mean_b", t.alias("t_stat"), dof.alias("dof"))
 
 
 # -- Student t p-value (regularised incomplete beta, continued fraction) ----------

@@ -15,19 +15,28 @@ from flowgrid.plans.q_grid import G, grid
 from flowgrid.plans.registry import query
 from flowgrid.operators.joins import with_scalars
 
-PERIOD_SQL = "CASE WHEN day <= 15 THEN 'reference' ELSE 'current' END"
+PERIOD_SQL = "CASE WHEN year = 2024 AND month = 1 THEN 'reference' WHEN year = 2024 AND month = 2 THEN 'current' END"
 RES_SQL = f"""r_res AS (SELECT station_id, date_hour, hour, month, jour_semaine, {PERIOD_SQL} AS period,
   net_flow AS actual, coalesce(net_flow_roll_24, 0) AS prediction,
   net_flow - coalesce(net_flow_roll_24, 0) AS residual FROM g_grid)"""
-DRIFT_COLS = ["temp", "relative_humidity", "precipitation_total", "average_wind_speed", "net_flow",
-              "num_bikes_taken", "num_bikes_dropped"]
+# fixed values: the monitored columns
+DRIFT_COLS = ["month", "day", "hour", "temp", "precipitation_total", "relative_humidity", "average_wind_speed",
+              "num_bikes_taken_lag_1", "num_bikes_dropped_lag_1", "net_flow_lag_1", "net_flow_lag_2", "net_flow_lag_24",
+              "net_flow_roll_3", "net_flow_roll_24", "coco", "net_flow"]
+DRIFT_CATEGORIES = ["station_id", "jour_semaine", "coco_group", "is_holiday"]
+
+
+def period():
+    """Reference month and current month, by year and month."""
+    first = F.col("year") == 2024
+    return F.when(first & (F.col("month") == 1), F.lit("reference")).when(first & (F.col("month") == 2), F.lit("current"))
 
 
 def residuals(spark, sf_dir) -> DataFrame:
     g = grid(spark, sf_dir)
     pred = F.coalesce(F.col("net_flow_roll_24"), F.lit(0.0))
     return g.select("station_id", "date_hour", "hour", "month", "jour_semaine",
-                    F.when(F.col("day") <= 15, F.lit("reference")).otherwise(F.lit("current")).alias("period"),
+                    period().alias("period"),
                     F.col("net_flow").alias("actual"), pred.alias("prediction"),
                     (F.col("net_flow") - pred).alias("residual"))
 
@@ -77,7 +86,7 @@ FROM {src}, (SELECT avg({y}) AS ybar FROM {src})"""
 
 @query("regression_metrics", G(RES_SQL + "\n" + _metrics_sql("r_res", "actual", "prediction")))
 def q_regression_metrics(spark, sf_dir):
-    return drift.regression_metrics(residuals(spark, sf_dir), "actual", "prediction")
+    return drift.regression_metrics(residuals(spark, sf_dir), "actual", "prediction", digits=6)
 
 
 @query("performance_gate", G(JOIN_SQL + f"""
@@ -89,7 +98,8 @@ def q_performance_gate(spark, sf_dir):
     r = residuals(spark, sf_dir).where("period = 'current'")
     keys = ["station_id", "hour", "month", "jour_semaine"]
     m = drift.fanout_metrics(r.select(*keys, "actual"), r.select(*keys, "prediction"), keys, "actual", "prediction")
-    return m.withColumn("retrain", F.coalesce(F.col("rmse") > drift.RMSE_THRESHOLD, F.lit(False)))
+    flag = F.coalesce(F.col("rmse") > drift.RMSE_THRESHOLD, F.lit(False))  # decided on the exact value
+    return m.select("n", *[F.round(c, 6).alias(c) for c in ("rmse", "mae", "r2")], flag.alias("retrain"))
 
 
 @query("naive_baseline", G("""nb AS (SELECT net_flow, CAST(net_flow_lag_1 AS DOUBLE) AS naive FROM g_grid
@@ -99,7 +109,7 @@ def q_naive_baseline(spark, sf_dir):
     """Previous-hour baseline (the target scored against its own lag 1)."""
     g = grid(spark, sf_dir).where(F.col("net_flow_lag_1").isNotNull()).select(
         "net_flow", F.col("net_flow_lag_1").cast("double").alias("naive"))
-    return drift.regression_metrics(g, "net_flow", "naive")
+    return drift.regression_metrics(g, "net_flow", "naive", digits=6)
 
 
 @query("residual_stats", G(RES_SQL + """
@@ -128,32 +138,39 @@ def q_ks_two_sample(spark, sf_dir):
     return drift.ks_two_sample(residuals(spark, sf_dir), "residual", "period", "reference", "current")
 
 
-@query("welch_t_test", G(RES_SQL + """,
-s AS (SELECT count(CASE WHEN period = 'reference' THEN residual END) AS n_a,
-  avg(CASE WHEN period = 'reference' THEN residual END) AS mean_a,
-  var_samp(CASE WHEN period = 'reference' THEN residual END) AS var_a,
-  count(CASE WHEN period = 'current' THEN residual END) AS n_b,
-  avg(CASE WHEN period = 'current' THEN residual END) AS mean_b,
-  var_samp(CASE WHEN period = 'current' THEN residual END) AS var_b FROM r_res)
-SELECT n_a, n_b, round(mean_a, 6) AS mean_a, round(mean_b, 6) AS mean_b,
-  round((mean_a - mean_b) / sqrt(var_a / n_a + var_b / n_b), 6) AS t_stat,
-  round(power(var_a / n_a + var_b / n_b, 2) / (power(var_a / n_a, 2) / (n_a - 1) + power(var_b / n_b, 2) / (n_b - 1)), 6) AS dof
-FROM s"""))
+# two-sided p-value: the t density integrated by Simpson's rule from 0 to |t|
+WELCH_SQL = f"""s AS (SELECT count(residual) FILTER (period = 'reference') AS n_a, avg(residual) FILTER (period = 'reference') AS mean_a,
+  var_samp(residual) FILTER (period = 'reference') AS var_a, count(residual) FILTER (period = 'current') AS n_b,
+  avg(residual) FILTER (period = 'current') AS mean_b, var_samp(residual) FILTER (period = 'current') AS var_b FROM r_res),
+t AS (SELECT n_a, n_b, mean_a, mean_b, (mean_a - mean_b) / sqrt(var_a / n_a + var_b / n_b) AS t_stat,
+  power(var_a / n_a + var_b / n_b, 2) / (power(var_a / n_a, 2) / (n_a - 1) + power(var_b / n_b, 2) / (n_b - 1)) AS dof FROM s),
+area AS (SELECT sum(CASE WHEN k IN (0, 4000) THEN 1 WHEN k % 2 = 1 THEN 4 ELSE 2 END
+  * exp(-(dof + 1) / 2 * ln(1 + power(t_stat * k / 4000, 2) / dof))) * any_value(abs(t_stat)) / 12000 AS a FROM t, range(0, 4001) r(k)),
+welch AS (SELECT t.*, greatest(0, 1 - 2 * a * exp(lgamma((dof + 1) / 2) - lgamma(dof / 2)) / sqrt(dof * pi())) AS p FROM t, area)"""
+
+
+@query("welch_t_test", G(RES_SQL + f""",
+{WELCH_SQL}
+SELECT n_a, n_b, round(mean_a, 6) AS mean_a, round(mean_b, 6) AS mean_b, round(t_stat, 6) AS t_stat, round(dof, 4) AS dof,
+  round(p, 6) AS p_value, p < {drift.P_THRESHOLD} AS drift FROM welch"""))
 def q_welch_t_test(spark, sf_dir):
-    """t and Welch-Satterthwaite df (the p-value needs the incomplete beta
-    function and is part of ``concept_drift_vote``)."""
-    return drift.welch_stats(residuals(spark, sf_dir), "residual", "period", "reference", "current")
+    """t, Welch-Satterthwaite df, two-sided p-value and drift flag."""
+    w = drift.welch_t_test(residuals(spark, sf_dir), "residual", "period", "reference", "current")
+    return w.select("n_a", "n_b", *[F.round(c, 6).alias(c) for c in ("mean_a", "mean_b", "t_stat")], F.round("dof", 4).alias("dof"),
+                    F.round("p_value", 6).alias("p_value"), "drift")
 
 
-@query("page_hinkley", G(RES_SQL + f""",
-ref AS (SELECT avg(residual) AS mu FROM r_res WHERE period = 'reference'),
+PH_SQL = f"""ref AS (SELECT avg(residual) AS mu FROM r_res WHERE period = 'reference'),
 cur AS (SELECT row_number() OVER (ORDER BY date_hour, station_id) - 1 AS idx,
   sum(residual - mu - {drift.PH_DELTA}) OVER (ORDER BY date_hour, station_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS s
   FROM r_res, ref WHERE period = 'current'),
-ph AS (SELECT idx, s - least(0.0, min(s) OVER (ORDER BY idx ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) AS ph_stat FROM cur)
-SELECT coalesce(min(CASE WHEN ph_stat > {drift.PH_LAMBDA} THEN idx END), -1) AS first_alarm_idx,
-  round(max(ph_stat), 6) AS max_ph_stat, coalesce(min(CASE WHEN ph_stat > {drift.PH_LAMBDA} THEN idx END), -1) >= 0 AS drift
-FROM ph"""))
+ph AS (SELECT idx, s - least(0.0, min(s) OVER (ORDER BY idx ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) AS ph_stat FROM cur),
+alarm AS (SELECT coalesce(min(idx) FILTER (ph_stat > {drift.PH_LAMBDA}), -1) AS first_alarm_idx, round(max(ph_stat), 6) AS max_ph_stat FROM ph)"""
+
+
+@query("page_hinkley", G(RES_SQL + f""",
+{PH_SQL}
+SELECT *, first_alarm_idx >= 0 AS drift FROM alarm"""))
 def q_page_hinkley(spark, sf_dir):
     """Sequential change detection over the current residuals in time order
     (ties broken by station), reference mean from the reference period."""
@@ -163,34 +180,55 @@ def q_page_hinkley(spark, sf_dir):
                                    "residual", ["date_hour", "station_id"], mu)
 
 
-@query("concept_drift_vote")
+VOTE_SQL = f"""ks AS (SELECT * FROM {_ks_sql("r_res", "residual", "period", "reference", "current")}),
+{WELCH_SQL},
+{PH_SQL},
+vote AS (SELECT d_stat AS ks_stat, p_value AS ks_p, drift AS ks_drift, round(t_stat, 6) AS t_stat, round(p, 6) AS t_p,
+  p < {drift.P_THRESHOLD} AS t_drift, first_alarm_idx AS ph_alarm_idx, first_alarm_idx >= 0 AS ph_drift,
+  CAST(drift AS INTEGER) + CAST(p < {drift.P_THRESHOLD} AS INTEGER) + CAST(first_alarm_idx >= 0 AS INTEGER) AS votes
+  FROM ks, welch, alarm)"""
+
+
+@query("concept_drift_vote", G(RES_SQL + f""",
+{VOTE_SQL}
+SELECT *, votes >= {drift.MIN_VOTES} AS concept_drift FROM vote"""))
 def q_concept_drift_vote(spark, sf_dir):
-    r = residuals(spark, sf_dir)
-    return drift.concept_drift_vote(r, "residual", "period", "reference", "current", ["date_hour", "station_id"])
+    v = drift.concept_drift_vote(residuals(spark, sf_dir), "residual", "period", "reference", "current", ["date_hour", "station_id"])
+    return v.withColumns({"t_stat": F.round("t_stat", 6), "t_p": F.round("t_p", 6)})
 
 
 def data_drift(spark, sf_dir) -> DataFrame:
-    g = grid(spark, sf_dir).withColumn("period", F.when(F.col("day") <= 15, F.lit("reference"))
-                                       .otherwise(F.lit("current")))
-    out = None
-    for c in DRIFT_COLS:
-        k = drift.ks_two_sample(g.select(F.col(c).cast("double").alias("v"), "period"), "v", "period",
-                                "reference", "current")
-        k = k.select(F.lit(c).alias("column_name"), "d_stat", "p_value", "drift")
-        out = k if out is None else out.unionByName(k)
-    return out
-
-
-@query("data_drift", G("\nUNION ALL\n".join(
-    f"SELECT '{c}' AS column_name, d_stat, p_value, drift FROM " + _ks_sql(
-        f"(SELECT CAST({c} AS DOUBLE) AS v, {PERIOD_SQL} AS period FROM g_grid)", "v", "period", "reference", "current")
-    for c in DRIFT_COLS)))
-def q_data_drift(spark, sf_dir):
-    """Per feature KS between the reference and the current period."""
-    return data_drift(spark, sf_dir)
+    g = grid(spark, sf_dir).withColumn("period", period())
+    return drift.column_drift(g, DRIFT_COLS, DRIFT_CATEGORIES, "period", "reference", "current")
+
 
+def _js_sql(column: str) -> str:
+    return f"""(WITH c AS (SELECT CAST({column} AS VARCHAR) AS v, count(*) FILTER (period = 'reference') AS a,
+       count(*) FILTER (period = 'current') AS b FROM dd WHERE period IS NOT NULL GROUP BY 1),
+  s AS (SELECT a / sum(a) OVER () AS p, b / sum(b) OVER () AS q FROM c)
+  SELECT sqrt(greatest(0, sum(CASE WHEN p > 0 THEN p * ln(2 * p / (p + q)) ELSE 0 END + CASE WHEN q > 0 THEN q * ln(2 * q / (p + q)) ELSE 0 END) / 2)) AS d FROM s)"""
 
-@query("retrain_decision")
+
+DATA_DRIFT_SQL = f"dd AS (SELECT *, {PERIOD_SQL} AS period FROM g_grid),\ndrifts AS (" + "\nUNION ALL\n".join(
+    [f"SELECT '{c}' AS column_name, 'numeric' AS kind, d_stat AS stat, p_value, drift FROM "
+     + _ks_sql(f"(SELECT CAST({c} AS DOUBLE) AS v, period FROM dd WHERE period IS NOT NULL)", "v", "period", "reference", "current") for c in DRIFT_COLS]
+    + [f"SELECT '{c}', 'categorical', round(d, 9), NULL, d >= {drift.JS_THRESHOLD} FROM " + _js_sql(c) for c in DRIFT_CATEGORIES]) + ")"
+
+
+@query("data_drift", G(DATA_DRIFT_SQL + "\nSELECT * FROM drifts"))
+def q_data_drift(spark, sf_dir):
+    """Every monitored column between the reference and the current month."""
+    d = data_drift(spark, sf_dir)
+    return d.withColumns({"stat": F.round("stat", 9), "p_value": F.round("p_value", 6)})
+
+
+@query("retrain_decision", G(RES_SQL + f""",
+{VOTE_SQL},
+{DATA_DRIFT_SQL},
+{JOIN_SQL[len(RES_SQL):].lstrip(", ").strip()},
+gate AS (SELECT coalesce(sqrt(avg(power(actual - prediction, 2))) > {drift.RMSE_THRESHOLD}, FALSE) AS performance_drift FROM j_join)
+SELECT data_drift, concept_drift, performance_drift, data_drift OR concept_drift OR performance_drift AS retrain
+FROM (SELECT coalesce(bool_or(drift), FALSE) AS data_drift FROM drifts), (SELECT votes >= {drift.MIN_VOTES} AS concept_drift FROM vote), gate"""))
 def q_retrain_decision(spark, sf_dir):
     """OR of data drift (any feature), concept drift (vote) and performance."""
     dd = data_drift(spark, sf_dir).agg(F.coalesce(F.bool_or("drift"), F.lit(False)).alias("data_drift"))

@@ -18,7 +18,7 @@ from flowgrid.operators import clean, flow
 from flowgrid.operators.joins import bounded_broadcast
 from flowgrid.plans import sqlparts as S
 from flowgrid.plans.adapters import n_stations, sql_station_index, station_index
-from flowgrid.plans.q_drift import predictions
+from flowgrid.plans.q_drift import PERIOD_SQL, predictions
 from flowgrid.plans.q_grid import G, grid
 from flowgrid.plans.q_mobility import mob, weather_hourly
 from flowgrid.plans.q_star import T as TBL
@@ -280,7 +280,7 @@ def q_insert_by_period(spark, sf_dir):
 
 @query("append_evolving", G("""r AS (SELECT md5(station_id || '|' || strftime(date_hour, '%Y-%m-%d %H:%M:%S')) AS run_id,
   station_id, date_hour AS request_datetime, hour, coalesce(net_flow_roll_24, 0) AS prediction, month,
-  CASE WHEN day <= 15 THEN 'reference' ELSE 'current' END AS period FROM g_grid)
+  """ + PERIOD_SQL + """ AS period FROM g_grid)
 SELECT run_id, station_id, request_datetime, hour, prediction, month, CAST(NULL AS INTEGER) AS model_version
 FROM r WHERE period = 'reference'
 UNION ALL SELECT run_id, station_id, request_datetime, hour, prediction, CAST(NULL AS INTEGER), 2 FROM r
