@@ -85,9 +85,12 @@ def op8_sparse_suffix_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP8_SQL = rf"""
 WITH {_windows_sql(50)},
-o AS (SELECT doc_id, i, i + 50 AS e, max(i + 50) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS top FROM late),
-s AS (SELECT *, count(*) FILTER (WHERE top IS NULL OR i > top) OVER (PARTITION BY doc_id ORDER BY i) AS grp FROM o)
-SELECT doc_id, min(i)::BIGINT - 1 AS start_word, max(e)::BIGINT - 1 AS end_word, (max(e) - min(i))::BIGINT AS n_words FROM s GROUP BY doc_id, grp
+hit AS (SELECT doc_id, i, r > 1 AS later FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY g ORDER BY doc_id, i) AS r,
+        count(*) OVER (PARTITION BY g) AS k FROM win) WHERE k > 1),
+o AS (SELECT *, i + 50 AS e, max(i + 50) OVER (PARTITION BY doc_id, later ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS top FROM hit),
+s AS (SELECT *, count(*) FILTER (WHERE top IS NULL OR i > top) OVER (PARTITION BY doc_id, later ORDER BY i) AS grp FROM o)
+SELECT doc_id, min(i)::BIGINT - 1 AS start_word, max(e)::BIGINT - 1 AS end_word, (max(e) - min(i))::BIGINT AS n_words, later
+FROM s GROUP BY doc_id, later, grp
 """
 
 QUERIES = {"op4_setsketch_near_dup": op4_setsketch_near_dup, "op6_super_kmer_windows": op6_super_kmer_windows, "op7_shift_table_decontamination": op7_shift_table_decontamination,

@@ -13,7 +13,9 @@ words to the left agree.
 
 The result holds, per document, the maximal spans of words covered by a
 passage of ``window`` words that also starts earlier (smaller doc_id, or
-earlier in the same document).
+earlier in the same document; ``later`` is true), and the maximal spans covered
+by the first occurrence of a passage that comes again (``later`` is false).
+Removing the ``later`` spans keeps one copy of every passage.
 
 Edge cases: null or short texts have no spans; a null doc_id sorts before all
 others; rows that repeat doc_id and text are one document; extra columns are
@@ -69,27 +71,27 @@ def _judge(window: int, mer: int):
         right = sorted_neighbours(_padded(b.ids, spot, total - b.anchor, window, 1))
         left = sorted_neighbours(_padded(b.ids, spot - 1, b.anchor, reach, -1))
         base = np.cumsum(b.n) - b.n
-        flags = np.zeros(int(b.n.sum()), bool)
+        codes = np.zeros(int(b.n.sum()), np.int8)
         for o in range(reach + 1):
             rel = b.anchor - o  # window that starts o words before the suffix
             i = np.flatnonzero((rel >= 0) & (rel < b.n))
             if len(i) > 1:
                 pair = _class(*right, window - o)[i] * len(b.n) + _class(*left, o)[i]
-                flags[base[i] + rel[i]] = sk.first_flags(pair, b.doc[i], b.key[i], b.start[i] + rel[i])
-        return flags
+                codes[base[i] + rel[i]] = sk.window_codes(pair, b.doc[i], b.key[i], b.start[i] + rel[i])
+        return codes
     return judge
 
 
 def repeated_spans(docs: DataFrame, window: int = WINDOW, mer: int = MER, id_col: str = "doc_id",
                    text_col: str = "text", **bounds) -> DataFrame:
-    """Rows (doc_id, start_word, end_word, n_words): maximal spans, 0-based,
-    end exclusive.  A doc_id with several texts has the spans of each."""
-    runs = sk.late_runs(docs, _judge(window, mer), window, mer, id_col, text_col, **bounds)
+    """Rows (doc_id, start_word, end_word, n_words, later): maximal spans,
+    0-based, end exclusive.  A doc_id with several texts has the spans of each."""
+    runs = sk.window_runs(docs, _judge(window, mer), window, mer, id_col, text_col, firsts=True, **bounds)
     spans = F.array_sort(F.collect_set(F.struct(F.col("start"), (F.col("start") + F.col("n") + (window - 1)).alias("end"))))
-    per_doc = runs.groupBy("doc_id", "text_key").agg(spans.alias("s"))
-    out = per_doc.select(F.when(F.col("doc_id") != sk.NO_ID, F.col("doc_id")).alias("doc_id"), F.explode(merged("s")).alias("s"))
+    per_doc = runs.groupBy("doc_id", "text_key", "late").agg(spans.alias("s"))
+    out = per_doc.select(F.when(F.col("doc_id") != sk.NO_ID, F.col("doc_id")).alias("doc_id"), "late", F.explode(merged("s")).alias("s"))
     return out.select("doc_id", F.col("s.start").cast("long").alias("start_word"), F.col("s.end").cast("long").alias("end_word"),
-                      (F.col("s.end") - F.col("s.start")).cast("long").alias("n_words"))
+                      (F.col("s.end") - F.col("s.start")).cast("long").alias("n_words"), F.col("late").alias("later"))
 
 
 def merged(spans: Column | str) -> Column:

@@ -39,7 +39,7 @@ BUCKET_BYTES = 16 << 20
 MAX_BITS = 1 << 27
 HOT_SHARE = 1e-3
 PACKED = "bucket long, payload binary"
-RUNS = "doc_id long, text_key long, start int, n int"
+RUNS = "doc_id long, text_key long, start int, n int, late boolean"
 NO_ID = -(1 << 63)
 
 
@@ -191,6 +191,7 @@ def _pack(window: int, mer: int, n_buckets: int, shared):
             body, starts, ends = squeeze(w)
             lead = combine(p, _span_hash(h, p.first, p.n + window - 1), window, body, starts, ends)
             own = lead == np.arange(len(lead))
+            copied = np.bincount(lead, minlength=len(lead)) > 1
             bucket = (tx.mix(p.value) % np.uint64(n_buckets)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
             edges = np.flatnonzero(np.diff(bucket[order], prepend=-1, append=-1))
@@ -202,14 +203,14 @@ def _pack(window: int, mer: int, n_buckets: int, shared):
                 j = i[own[i]]
                 loads.append(_dump(
                     [ids[p.doc[i]], keys[p.doc[i]].astype(np.uint32), rel[i], p.n[i].astype(np.int32), own[i], p.value[j],
-                     (p.anchor[j] - p.first[j]).astype(np.int32)],
+                     (p.anchor[j] - p.first[j]).astype(np.int32), copied[j]],
                     b"\n".join([body[x:y] for x, y in zip(lo[j].tolist(), hi[j].tolist())])))
                 names.append(int(bucket[i[0]]))
             yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(loads, pa.binary())], names=["bucket", "payload"])
     return pack
 
 
-_KINDS = [np.int64, np.uint32, np.int32, np.int32, bool, np.uint64, np.int32]
+_KINDS = [np.int64, np.uint32, np.int32, np.int32, bool, np.uint64, np.int32, bool]
 
 
 def _dump(arrays: list[np.ndarray], body: bytes) -> bytes:
@@ -243,9 +244,24 @@ class Bucket(NamedTuple):
     ptr: np.ndarray
 
 
-def _reduce(judge: Callable[[Bucket], np.ndarray], window: int):
-    """``judge`` gives one flag per window of the bucket: it also starts earlier."""
-    def late(table: pa.Table) -> pa.Table:
+ALONE, LATE, FIRST = 0, 1, 2
+
+
+def _runs(b: Bucket, hit: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(doc, key, start, n) of the runs of windows in ``hit`` (ascending)."""
+    owner = np.repeat(np.arange(len(b.n)), b.n)
+    rel = np.arange(len(owner)) - np.repeat(np.cumsum(b.n) - b.n, b.n)
+    new = np.ones(len(hit), bool)
+    new[1:] = (hit[1:] != hit[:-1] + 1) | (owner[hit[1:]] != owner[hit[:-1]])
+    a = np.flatnonzero(new)
+    o = owner[hit[a]]
+    return b.doc[o], b.key[o], b.start[o] + rel[hit[a]], np.diff(np.append(a, len(hit)))
+
+
+def _reduce(judge: Callable[[Bucket], np.ndarray], window: int, firsts: bool):
+    """``judge`` gives a code per window of the bucket: it starts earlier too
+    (LATE), it is the first of several (FIRST), or neither."""
+    def find(table: pa.Table) -> pa.Table:
         cols: list[list[np.ndarray]] = [[] for _ in _KINDS]
         strings: list[bytes] = []
         for payload in table.column("payload").to_pylist():
@@ -253,12 +269,16 @@ def _reduce(judge: Callable[[Bucket], np.ndarray], window: int):
             for c, a in zip(cols, arrays):
                 c.append(a)
             strings += s
-        doc, key, start, n, own, value, anchor = (np.concatenate(c) for c in cols)
+        doc, key, start, n, own, value, anchor, copied = (np.concatenate(c) for c in cols)
         key = key.astype(np.int64)
-        out = [(doc[~own], key[~own], start[~own], n[~own])]
+        late, first = [(doc[~own], key[~own], start[~own], n[~own])], []
         doc, key, start, n = doc[own], key[own], start[own], n[own]
         _, inverse, times = np.unique(value, return_inverse=True, return_counts=True)
-        many = np.flatnonzero(times[inverse] > 1)
+        shared = times[inverse] > 1
+        if firsts:
+            alone = copied & ~shared
+            first.append((doc[alone], key[alone], start[alone], n[alone]))
+        many = np.flatnonzero(shared)
         if len(many):
             body = b" ".join([strings[i] for i in many])
             data = np.frombuffer(body, np.uint8)
@@ -271,32 +291,30 @@ def _reduce(judge: Callable[[Bucket], np.ndarray], window: int):
             words = n[many] + window - 1
             b = Bucket(doc[many], key[many], start[many], n[many], value[many], anchor[many], ids.astype(np.int32),
                        np.concatenate([[0], np.cumsum(words)]).astype(np.int64))
-            flags = judge(b)
-            owner = np.repeat(np.arange(len(many)), b.n)
-            rel = np.arange(len(owner)) - np.repeat(np.cumsum(b.n) - b.n, b.n)
-            hit = np.flatnonzero(flags)
-            if len(hit):
-                new = np.ones(len(hit), bool)
-                new[1:] = (hit[1:] != hit[:-1] + 1) | (owner[hit[1:]] != owner[hit[:-1]])
-                a = np.flatnonzero(new)
-                size = np.diff(np.append(a, len(hit)))
-                o = owner[hit[a]]
-                out.append((b.doc[o], b.key[o], b.start[o] + rel[hit[a]], size))
-        doc, key, start, n = (np.concatenate(x) for x in zip(*out))
-        return pa.table({"doc_id": pa.array(doc, pa.int64()), "text_key": pa.array(key, pa.int64()),
-                         "start": pa.array(start.astype(np.int32)), "n": pa.array(n.astype(np.int32))})
-    return late
-
-
-def first_flags(cls: np.ndarray, doc: np.ndarray, key: np.ndarray, start: np.ndarray) -> np.ndarray:
-    """True for windows whose class has an earlier member by (doc, key, start)."""
+            codes = judge(b)
+            late.append(_runs(b, np.flatnonzero(codes == LATE)))
+            if firsts:
+                here = (codes == FIRST) | ((codes == ALONE) & np.repeat(copied[many], b.n))
+                first.append(_runs(b, np.flatnonzero(here)))
+        doc, key, start, n = (np.concatenate(x) for x in zip(*late, *first))
+        is_late = np.arange(len(doc)) < sum(len(x[0]) for x in late)
+        return pa.table({"doc_id": pa.array(doc, pa.int64()), "text_key": pa.array(key, pa.int64()), "start": pa.array(start.astype(np.int32)),
+                         "n": pa.array(n.astype(np.int32)), "late": pa.array(is_late)})
+    return find
+
+
+def window_codes(cls: np.ndarray, doc: np.ndarray, key: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """Code of each window from its class and place (doc, key, start)."""
     order = np.lexsort((start, key, doc, cls))
     c = cls[order]
     new = np.ones(len(c), bool)
     new[1:] = c[1:] != c[:-1]
-    head = order[np.maximum.accumulate(np.where(new, np.arange(len(c)), 0))]
-    out = np.empty(len(c), bool)
-    out[order] = (doc[order] != doc[head]) | (key[order] != key[head]) | (start[order] != start[head])
+    number = np.cumsum(new) - 1
+    head = order[np.flatnonzero(new)][number]
+    late = (doc[order] != doc[head]) | (key[order] != key[head]) | (start[order] != start[head])
+    several = np.bincount(number, late) > 0
+    out = np.empty(len(c), np.int8)
+    out[order] = np.where(late, LATE, np.where(several[number], FIRST, ALONE))
     return out
 
 
@@ -306,12 +324,13 @@ def source_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                        F.col(text_col).alias("_text"))
 
 
-def late_runs(docs: DataFrame, judge: Callable[[Bucket], np.ndarray], window: int, mer: int,
-              id_col: str = "doc_id", text_col: str = "text", bucket_bytes: int = BUCKET_BYTES,
-              hot_share: float = HOT_SHARE) -> DataFrame:
+def window_runs(docs: DataFrame, judge: Callable[[Bucket], np.ndarray], window: int, mer: int,
+                id_col: str = "doc_id", text_col: str = "text", firsts: bool = False,
+                bucket_bytes: int = BUCKET_BYTES, hot_share: float = HOT_SHARE) -> DataFrame:
     """Runs of windows whose words also start earlier, by (doc_id, checksum,
-    word): ``doc_id``, ``text_key``, ``start`` (0-based), ``n`` windows.  A null
-    doc_id is ``NO_ID`` (before all others)."""
+    word): ``doc_id``, ``text_key``, ``start`` (0-based), ``n`` windows, ``late``
+    true; with ``firsts`` also the runs of windows that are the first of several
+    (``late`` false).  A null doc_id is ``NO_ID`` (before all others)."""
     rows = source_rows(docs, id_col, text_col)
     sc = docs.sparkSession.sparkContext
     total = rows.agg(F.sum(F.octet_length("_text"))).first()[0] or 0
@@ -330,4 +349,4 @@ def late_runs(docs: DataFrame, judge: Callable[[Bucket], np.ndarray], window: in
     bits[words.column("w").to_numpy()] = words.column("b").to_numpy().view(np.uint64)
     shared = sc.broadcast((hot.view(np.uint64), bits))
     packed = rows.mapInArrow(_pack(window, mer, n_buckets, shared), PACKED)
-    return packed.groupBy("bucket").applyInArrow(_reduce(judge, window), RUNS)
+    return packed.groupBy("bucket").applyInArrow(_reduce(judge, window, firsts), RUNS)

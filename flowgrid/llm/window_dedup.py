@@ -60,7 +60,7 @@ def _judge(window: int):
     def judge(b: sk.Bucket) -> np.ndarray:
         owner, at = _window_matrix(b, window)
         rel = at - b.ptr[owner]
-        return sk.first_flags(classes(b.ids, at, window), b.doc[owner], b.key[owner], b.start[owner] + rel)
+        return sk.window_codes(classes(b.ids, at, window), b.doc[owner], b.key[owner], b.start[owner] + rel)
     return judge
 
 
@@ -102,8 +102,8 @@ def _cutter(window: int, with_text: bool):
 
 def repeated_runs(docs: DataFrame, window: int = WINDOW, mer: int = MER, id_col: str = "doc_id",
                   text_col: str = "text", **bounds) -> DataFrame:
-    """Runs of repeated windows per document (see ``superkmers.late_runs``)."""
-    return sk.late_runs(docs, _judge(window), window, mer, id_col, text_col, **bounds)
+    """Runs of repeated windows per document (see ``superkmers.window_runs``)."""
+    return sk.window_runs(docs, _judge(window), window, mer, id_col, text_col, **bounds)
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, mer: int = MER, id_col: str = "doc_id", text_col: str = "text",

@@ -51,17 +51,21 @@ def prose(rng, n, vocabulary=400):
     return " ".join(f"w{int(vocabulary * rng.random() ** 2)}" for _ in range(n))
 
 
-def late_windows(rows, window):
-    """{(doc_id, text): starts of windows whose words also start earlier}."""
+def late_windows(rows, window, firsts=False):
+    """{(doc_id, text): starts of windows whose words also start earlier}, and
+    those that are the first of several."""
     first, out = {}, {}
     docs = sorted({(r[0], r[1]) for r in rows}, key=lambda d: (d[0] is not None, d[0] or 0, zlib.crc32((d[1] or "").encode())))
+    heads = {d: set() for d in docs}
     for d in docs:
         w = words(d[1])
         out[d] = set()
         for i in range(len(w) - window + 1):
-            if first.setdefault(tuple(w[i:i + window]), (d, i)) != (d, i):
+            head = first.setdefault(tuple(w[i:i + window]), (d, i))
+            if head != (d, i):
                 out[d].add(i)
-    return out
+                heads[head[0]].add(head[1])
+    return (out, heads) if firsts else out
 
 
 def shingles(text, k):

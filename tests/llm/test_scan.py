@@ -154,15 +154,16 @@ def test_windows(spark, window, mer):
 @pytest.mark.parametrize("window,mer", [(50, 19), (6, 3)])
 def test_suffix_spans(spark, window, mer):
     rows = passage_rows(random.Random(window))
-    late = late_windows(rows, window)
+    late, first = late_windows(rows, window, True)
     want = Counter()
-    for (doc, _), starts in late.items():
-        covered = sorted({i + o for i in starts for o in range(window)})
-        for k, i in enumerate(covered):
-            if k == 0 or covered[k - 1] != i - 1:
-                first = i
-            if k == len(covered) - 1 or covered[k + 1] != i + 1:
-                want[(doc, first, i + 1, i + 1 - first)] += 1
+    for later, found in ((True, late), (False, first)):
+        for (doc, _), starts in found.items():
+            covered = sorted({i + o for i in starts for o in range(window)})
+            for k, i in enumerate(covered):
+                if k == 0 or covered[k - 1] != i - 1:
+                    begin = i
+                if k == len(covered) - 1 or covered[k + 1] != i + 1:
+                    want[(doc, begin, i + 1, i + 1 - begin, later)] += 1
     for share in (1e-3, 1e-9):
         out = suffix_dedup.repeated_spans(table(spark, rows, clash=True).repartition(4), window, mer, hot_share=share, bucket_bytes=20_000)
         assert Counter(map(tuple, out.collect())) == want
