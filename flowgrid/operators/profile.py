@@ -8,7 +8,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import combinations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -75,6 +75,23 @@ def histogram(df: DataFrame, cols: Sequence[str], bins: int = 30) -> DataFrame:
     return j.groupBy("column_name", b.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
 
 
+def histogram_box(df: DataFrame, cols: Sequence[str], bins: int = 30) -> DataFrame:
+    """Histogram bins with the column's five-number summary on every bin."""
+    box = describe_numeric(df, cols).select("column_name", "min", "p25", "p50", "p75", "max")  # one row per column
+    return histogram(df, cols, bins).join(F.broadcast(box), "column_name")
+
+
+def rankings(df: DataFrame, key: str, measures: dict[str, Column], k: int = 20) -> DataFrame:
+    """For every measure (name -> column) the ``k`` keys with the largest total
+    and the largest mean: (ranking, rank, key, value), ties by key.  One
+    aggregate over the rows; the ranking windows see one row per key."""
+    agg = df.groupBy(key).agg(*[f(c).cast("double").alias(f"{form}_{n}") for n, c in measures.items()
+                                for form, f in (("total", F.sum), ("mean", F.avg))])
+    long = agg.unpivot([key], [c for c in agg.columns if c != key], "ranking", "value")
+    rank = F.row_number().over(Window.partitionBy("ranking").orderBy(F.col("value").desc(), F.col(key)))
+    return long.withColumn("rank", rank.cast("int")).where(F.col("rank") <= k)
+
+
 def correlation_long(df: DataFrame, cols: Sequence[str], digits: int = 9) -> DataFrame:
     """Pearson correlation of every column pair in one aggregate, long form."""
     pairs = list(combinations(cols, 2))

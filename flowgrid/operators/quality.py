@@ -105,6 +105,14 @@ def equality(a: DataFrame, b: DataFrame, compare_columns: Sequence[str] | None =
         y.subtract(x).withColumn("which_diff", F.lit("b_minus_a")))
 
 
+def equality_failures(a: DataFrame, b: DataFrame, compare_columns: Sequence[str] | None = None) -> DataFrame:
+    """1-row failure count of ``equality``: differing rows plus the difference
+    of the two sides' numbers."""
+    side = lambda s: F.count(F.when(F.col("which_diff") == s, 1))
+    d = equality(a, b, compare_columns).agg(side("a_minus_b").alias("n_a"), side("b_minus_a").alias("n_b"))
+    return d.select("n_a", "n_b", (F.col("n_a") + F.col("n_b") + F.abs(F.col("n_a") - F.col("n_b"))).alias("failures"))
+
+
 def cardinality_equality(a: DataFrame, col_a: str, b: DataFrame, col_b: str) -> DataFrame:
     ta = a.groupBy(F.col(col_a).alias("value_field")).agg(F.count(F.lit(1)).alias("n_records"))
     tb = b.groupBy(F.col(col_b).alias("value_field")).agg(F.count(F.lit(1)).alias("n_records"))

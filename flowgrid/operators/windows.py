@@ -61,6 +61,16 @@ def deduplicate(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[C
     return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
 
 
+def with_history_tail(df: DataFrame, history: DataFrame, by: Sequence[str], order: Sequence[str], n: int, fn) -> DataFrame:
+    """Apply ``fn`` (lags, rolling means) to ``df`` preceded by the last ``n``
+    history rows of each group, and return only the rows of ``df``: its first
+    rows keep their past.  Per group only ``n`` history rows are kept."""
+    w = Window.partitionBy(*by).orderBy(*[F.col(o).desc() for o in order])
+    tail = history.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")
+    both = tail.select(*df.columns).withColumn("_old", F.lit(True)).unionByName(df.withColumn("_old", F.lit(False)))
+    return fn(both).where(~F.col("_old")).drop("_old")
+
+
 def range_violations(df: DataFrame, lower: str, upper: str, partition_by: Sequence[str] = (),
                      gaps: str = "allowed", zero_length_allowed: bool = False,
                      tiebreak: str | None = None) -> DataFrame:

@@ -11,8 +11,23 @@ from flowgrid.session import materialize
 _MEMO: dict = {}
 
 
+def _state(spark, folder: str) -> tuple:
+    """(bytes, files, newest change) of the tables the stand-ins come from."""
+    fs_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    out = []
+    for name in ("events", "orders"):
+        p = fs_path(f"{folder.rstrip('/')}/{name}.parquet")
+        fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        if fs.exists(p):
+            s = fs.getContentSummary(p)
+            out.append((s.getLength(), s.getFileCount(), fs.getFileStatus(p).getModificationTime()))
+    return tuple(out)
+
+
 def memo(spark, sf_dir: str, name: str, build) -> DataFrame:
-    key = (spark.sparkContext.applicationId, sf_dir, name)
+    """``build()`` written once per session, folder and state of the folder's
+    tables (a changed table is a new entry)."""
+    key = (spark.sparkContext.applicationId, sf_dir, _state(spark, sf_dir), name)
     if key not in _MEMO:
         _MEMO[key] = materialize(build(), name)
     return _MEMO[key]

@@ -76,6 +76,16 @@ def q_join_actuals_predictions(spark, sf_dir):
     return joined(spark, sf_dir)
 
 
+@query("join_actuals_predictions_exact", G(RES_SQL + """
+SELECT a.station_id, a.date_hour, a.actual, p.prediction FROM r_res a JOIN r_res p
+  ON a.station_id = p.station_id AND a.date_hour = p.date_hour WHERE a.period = 'current' AND p.prediction IS NOT NULL"""))
+def q_join_actuals_predictions_exact(spark, sf_dir):
+    """Each actual with the prediction for its very hour (unique key)."""
+    a = residuals(spark, sf_dir).where("period = 'current'").select("station_id", "date_hour", "actual")
+    p = predictions(spark, sf_dir).select("station_id", F.col("request_datetime").alias("date_hour"), "prediction")
+    return a.join(p.where(F.col("prediction").isNotNull()), ["station_id", "date_hour"])
+
+
 def _metrics_sql(src: str, y: str, yhat: str) -> str:
     return f"""SELECT count(*) AS n, round(sqrt(avg(({y} - {yhat}) * ({y} - {yhat}))), 6) AS rmse,
   round(avg(abs({y} - {yhat})), 6) AS mae,

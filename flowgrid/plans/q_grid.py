@@ -3,7 +3,7 @@ features, profiles, top-k and ordered operators."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowgrid.functions.columns import (COCO_LABELS, HOUR_BAND_EVENING, HOUR_BAND_MORNING, HOUR_BAND_REST,
@@ -125,6 +125,19 @@ def q_lag_features(spark, sf_dir):
     return g.drop("net_flow", "num_bikes_taken", "num_bikes_dropped")
 
 
+@query("lag_features_with_history", G("""SELECT station_id, date_hour, net_flow_lag_1, net_flow_lag_24, net_flow_roll_24
+FROM g_grid WHERE year = 2024 AND month = 2"""))
+def q_lag_features_with_history(spark, sf_dir):
+    """February's lags and rolling mean, its first hours from January's tail."""
+    g = grid(spark, sf_dir).where("year = 2024").select("station_id", "date_hour", "month", "net_flow")
+
+    def features(d):
+        d = windows.add_lags(d, "net_flow", [1, 24], ["station_id"], ["date_hour"])
+        return windows.rolling_mean(d, "net_flow", 24, ["station_id"], ["date_hour"])
+    out = windows.with_history_tail(g.where("month = 2"), g.where("month = 1"), ["station_id"], ["date_hour"], 24, features)
+    return out.drop("net_flow", "month")
+
+
 @query("rolling_mean", G("SELECT station_id, date_hour, net_flow_roll_3, net_flow_roll_24 FROM g_grid"))
 def q_rolling_mean(spark, sf_dir):
     g = grid(spark, sf_dir).select("station_id", "date_hour", "net_flow")
@@ -306,6 +319,21 @@ def q_bottom_stations(spark, sf_dir):
     return profile.top_k(grid(spark, sf_dir), "station_id", "net_flow", 20, ascending=True)
 
 
+# fixed values: what stations are ranked by
+RANKED = {"pickups": "num_bikes_taken", "drops": "num_bikes_dropped", "net_flow": "net_flow", "net_outflow": "-net_flow"}
+
+
+@query("station_rankings", G("agg AS (" + "\nUNION ALL\n".join(
+    f"SELECT '{form}_{n}' AS ranking, station_id, CAST({f}({c}) AS DOUBLE) AS value FROM g_grid GROUP BY 2"
+    for n, c in RANKED.items() for form, f in (("total", "sum"), ("mean", "avg"))) + """)
+SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY ranking ORDER BY value DESC, station_id) AS INTEGER) AS rank FROM agg)
+WHERE rank <= 20"""))
+def q_station_rankings(spark, sf_dir):
+    """Top 20 stations by total and by mean pickups, drops, net flow and its
+    opposite."""
+    return profile.rankings(grid(spark, sf_dir), "station_id", {n: F.expr(c) for n, c in RANKED.items()}, 20)
+
+
 @query("outer_toplists", G(TOP_SQL + """
 SELECT coalesce(a.station_id, b.station_id) AS station_id, a.total_num_bikes_taken, b.total_num_bikes_dropped
 FROM t_take a FULL OUTER JOIN t_drop b ON a.station_id = b.station_id"""))
@@ -482,10 +510,12 @@ def q_describe_numeric(spark, sf_dir):
 
 @query("histogram_box", G("\nUNION ALL\n".join(
     f"""SELECT '{c}' AS column_name, CAST(CASE WHEN mx = mn THEN 0 ELSE least(floor((CAST({c} AS DOUBLE) - mn) / (mx - mn) * 30), 29) END AS INTEGER) AS bin,
-  count(*) AS n FROM g_grid, (SELECT CAST(min({c}) AS DOUBLE) AS mn, CAST(max({c}) AS DOUBLE) AS mx FROM g_grid)
+  count(*) AS n, any_value(mn) AS min, any_value(q1) AS p25, any_value(q2) AS p50, any_value(q3) AS p75, any_value(mx) AS max
+  FROM g_grid, (SELECT CAST(min({c}) AS DOUBLE) AS mn, CAST(max({c}) AS DOUBLE) AS mx, quantile_cont({c}, 0.25) AS q1,
+    quantile_cont({c}, 0.5) AS q2, quantile_cont({c}, 0.75) AS q3 FROM g_grid)
   WHERE {c} IS NOT NULL GROUP BY 1, 2""" for c in NUMERIC)))
 def q_histogram_box(spark, sf_dir):
-    return profile.histogram(grid(spark, sf_dir), NUMERIC, 30)
+    return profile.histogram_box(grid(spark, sf_dir), NUMERIC, 30)
 
 
 @query("moments", G("""SELECT count(net_flow) AS n, avg(net_flow) AS mean, stddev_samp(net_flow) AS std_samp,
@@ -507,9 +537,6 @@ def q_time_ordered_split(spark, sf_dir):
     return windows.time_ordered_split(g, ["date_hour", "station_id"], 0.8)
 
 
-_ = (Window, hour_band)
-
-
 # --------------------------------------------------------------------------- table profiles (trips / weather)
 
 TRIP_COLUMNS = ["id", "started_at", "ended_at", "start_station_id", "end_station_id", "rideable_type", "member_casual",

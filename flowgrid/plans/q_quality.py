@@ -146,6 +146,15 @@ def q_dq_equality(spark, sf_dir):
     return Q.equality(c.where("c_nationkey < 12"), c.where("c_acctbal > 0"), ["c_custkey"])
 
 
+@query("dq_equality_failures", """WITH a AS (SELECT c_custkey FROM customer WHERE c_nationkey < 12),
+b AS (SELECT c_custkey FROM customer WHERE c_acctbal > 0),
+n AS (SELECT (SELECT count(*) FROM (FROM a EXCEPT FROM b)) AS n_a, (SELECT count(*) FROM (FROM b EXCEPT FROM a)) AS n_b)
+SELECT n_a, n_b, n_a + n_b + abs(n_a - n_b) AS failures FROM n""")
+def q_dq_equality_failures(spark, sf_dir):
+    c = T(spark, sf_dir, "customer")
+    return Q.equality_failures(c.where("c_nationkey < 12"), c.where("c_acctbal > 0"), ["c_custkey"])
+
+
 @query("dq_cardinality_equality", """WITH a AS (SELECT o_custkey AS value_field, count(*) AS n_records FROM orders GROUP BY 1),
 b AS (SELECT c_custkey AS value_field, count(*) AS n_records FROM customer GROUP BY 1)
 (SELECT * FROM a EXCEPT SELECT * FROM b) UNION ALL (SELECT * FROM b EXCEPT SELECT * FROM a)""")

@@ -37,17 +37,31 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    share_code(spark)
     return spark
 
 
+def share_code(spark: SparkSession) -> None:
+    """Let Python workers on this machine import the package wherever the
+    driver was started from (on a cluster it is installed or sent along)."""
+    here = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if here not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([here, *paths])
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's ``spark.checkpoint.dir``; only when it is unset
-    (local runs, tests) fall back to a fresh scratch folder."""
+    """Use the cluster's ``spark.checkpoint.dir``; only in a local session
+    (tests) an unset folder falls back to a fresh scratch folder."""
     d = spark.conf.get("spark.checkpoint.dir", None)
     sc_dir = spark.sparkContext._jsc.sc().getCheckpointDir()
     if sc_dir.isDefined():
         return sc_dir.get()
     if not d:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="flowgrid-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)
