@@ -4,8 +4,9 @@ score = sigmoid(b + sum w_i + sum_{i<j} <v_i, v_j>) over the distinct terms of
 the whole text.  The pairwise part lets two terms mean more together (an insult
 next to a mention of a group) than their weights add up to.
 
-Terms are lower-cased words ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` hashed to
-``2 ** BITS`` buckets.  The model is fitted on at most ``TRAIN_ROWS`` labelled
+Terms are lower-cased words ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` and, for longer
+words, their first ``STEM`` bytes (compounds and inflections of a word share
+them), hashed to ``2 ** BITS`` buckets.  The model is fitted on at most ``TRAIN_ROWS`` labelled
 documents (the smallest hashes of doc_id among those allowed).  Spark counts
 terms against labels there; terms with a significant association, alone or
 among documents that hold such a term already, are kept (at most
@@ -33,14 +34,15 @@ from pyspark.sql import functions as F
 from flowgrid.llm import text as tx
 
 BITS = 18
+STEM = 5
 TRAIN_ROWS = 20_000
-MAX_TERMS = 4096
-MIN_Z = 4.0
+MAX_TERMS = 1024
+MIN_Z = 6.0
 FACTORS = 8
-EPOCHS = 12
+EPOCHS = 20
 BATCH = 256
-RATE = 0.1
-L2 = 1e-4
+RATE = 0.2
+L2 = 1e-5
 
 
 class Model(NamedTuple):
@@ -55,8 +57,11 @@ def _terms(batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray, np.nda
     data, offsets = tx.utf8(batch.column("_text"))
     for lo, hi in tx.spans(offsets):
         w = tx.words(*tx.part(data, offsets, lo, hi), tx.ALNUM, lower=True)
-        bucket = (tx.word_hashes(w) >> np.uint64(64 - BITS)).astype(np.int64)
-        pair = np.unique((w.docs() << BITS) | bucket)
+        long = w.ends - w.starts > STEM
+        stem = w._replace(starts=w.starts[long], ends=w.starts[long] + STEM)
+        term = np.concatenate([tx.word_hashes(w), tx.mix(tx.word_hashes(stem))])  # a stem is not the word of that spelling
+        doc = w.docs()
+        pair = np.unique((np.concatenate([doc, doc[long]]) << BITS) | (term >> np.uint64(64 - BITS)).astype(np.int64))
         yield lo, hi, pair >> BITS, pair & ((1 << BITS) - 1)
 
 
@@ -130,8 +135,7 @@ def fit(rows: DataFrame, max_terms: int = MAX_TERMS, min_z: float = MIN_Z, facto
         for a in range(0, len(turn), BATCH):
             rows_ = turn[a:a + BATCH]
             m = np.zeros((len(rows_), len(kept)))
-            for i, r in enumerate(rows_):
-                m[i, x[r]] = 1.0
+            m[np.repeat(np.arange(len(rows_)), [len(x[r]) for r in rows_]), np.concatenate([x[r] for r in rows_])] = 1.0
             s = m @ v
             p = 1 / (1 + np.exp(-(b + m @ w + 0.5 * ((s ** 2).sum(axis=1) - m @ (v ** 2).sum(axis=1)))))
             e = (p - y[rows_]) / len(rows_)
