@@ -3,10 +3,11 @@ of relations, column values, listagg, set differences."""
 
 from __future__ import annotations
 
+import functools
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -114,10 +115,10 @@ def relations_by_pattern(spark: SparkSession, pattern: str, exclude: str | None
     return {n: spark.table(n) for n in names}
 
 
-def listagg(df: DataFrame, group: Sequence[str], measure: str, delim: str = ",",
-            order_by: Sequence[str] | None = None, limit_num: int | None = None, distinct: bool = False,
-            out: str = "agg") -> DataFrame:
-    """Ordered / distinct / limited string aggregation per group."""
+def listagg_column(measure: str, delim: str = ",", order_by: Sequence[str] | None = None, limit_num: int | None = None,
+                   distinct: bool = False) -> Column:
+    """Ordered / distinct / limited string aggregation as an aggregate column,
+    so several of them share one ``groupBy``."""
     m = F.col(measure).cast("string")
     if distinct:
         arr = F.array_sort(F.collect_set(m))
@@ -126,9 +127,24 @@ def listagg(df: DataFrame, group: Sequence[str], measure: str, delim: str = ",",
                           lambda s: s["_v"])
     else:
         arr = F.collect_list(m)
-    if limit_num:
-        arr = F.slice(arr, 1, limit_num)
-    return df.groupBy(*group).agg(F.array_join(arr, delim).alias(out))
+    return F.array_join(F.slice(arr, 1, limit_num) if limit_num else arr, delim)
+
+
+def listagg(df: DataFrame, group: Sequence[str], measure: str, delim: str = ",",
+            order_by: Sequence[str] | None = None, limit_num: int | None = None, distinct: bool = False,
+            out: str = "agg") -> DataFrame:
+    """Ordered / distinct / limited string aggregation per group.  With an
+    order and a limit only the first ``limit_num`` rows of a group are
+    collected (a rank filter that each task applies before the shuffle)."""
+    if limit_num and order_by and not distinct:
+        m = F.col(measure).cast("string")
+        keep = df.where(m.isNotNull()).withColumn("_rn", F.row_number().over(Window.partitionBy(*group).orderBy(*order_by, m)))
+        first = keep.where(F.col("_rn") <= limit_num)
+        groups = df.select(*group).distinct()
+        got = first.groupBy(*group).agg(listagg_column(measure, delim, ["_rn"]).alias(out))
+        same = functools.reduce(lambda x, y: x & y, [groups[g].eqNullSafe(got[g]) for g in group])
+        return groups.join(got, same, "left").select(*[groups[g] for g in group], F.coalesce(out, F.lit("")).alias(out))
+    return df.groupBy(*group).agg(listagg_column(measure, delim, order_by, limit_num, distinct).alias(out))
 
 
 def except_distinct(a: DataFrame, b: DataFrame) -> DataFrame:

@@ -29,12 +29,6 @@ def mob(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return m
 
 
-def grid(spark: SparkSession, sf_dir: str, **kw) -> DataFrame:
-    m = mob(spark, sf_dir)
-    kw.setdefault("weather_digits", WEATHER_DIGITS)
-    return flow.build_grid(m["trips"], m["stations"], m["weather"], m["holidays"], **kw)
-
-
 def valid_trips(spark, sf_dir) -> DataFrame:
     m = mob(spark, sf_dir)
     t = clean.filter_complete_rows(m["trips"], clean.TRIP_REQUIRED)
@@ -44,8 +38,9 @@ def valid_trips(spark, sf_dir) -> DataFrame:
 
 
 def final_trips(spark, sf_dir) -> DataFrame:
+    """Cleaned and trimmed trips, written once per session."""
     m = mob(spark, sf_dir)
-    return clean.clean_trips(m["trips"], m["stations"])
+    return memo(spark, sf_dir, "trips-final", lambda: clean.clean_trips(m["trips"], m["stations"]))
 
 
 def net_flow(spark, sf_dir) -> DataFrame:
@@ -59,7 +54,9 @@ def weather_hourly(spark, sf_dir) -> DataFrame:
 # --------------------------------------------------------------------------- flagship
 @query("station_hour_grid", with_adapters(S.GRID + "\nSELECT * FROM g_grid"))
 def q_station_hour_grid(spark, sf_dir):
-    """Dense grid + weather + holiday + calendar + lags + rolls (24 columns)."""
+    """Dense grid + weather + holiday + calendar + lags + rolls (24 columns):
+    the table that all grid queries read."""
+    from flowgrid.plans.q_grid import grid
     return grid(spark, sf_dir)
 
 

@@ -111,10 +111,10 @@ def q_column_values(spark, sf_dir):
 FROM orders GROUP BY 1""")
 def q_listagg(spark, sf_dir):
     o = T(spark, sf_dir, "orders")
-    a = reshape.listagg(o, ["o_custkey"], "o_orderstatus", ",", ["o_orderkey"], out="statuses")
-    b = reshape.listagg(o, ["o_custkey"], "o_orderstatus", ",", ["o_orderkey"], limit_num=2, out="first_two")
-    c = reshape.listagg(o, ["o_custkey"], "o_orderpriority", "|", distinct=True, out="priorities")
-    return a.join(b, "o_custkey").join(c, "o_custkey")
+    return o.groupBy("o_custkey").agg(
+        reshape.listagg_column("o_orderstatus", ",", ["o_orderkey"]).alias("statuses"),
+        reshape.listagg_column("o_orderstatus", ",", ["o_orderkey"], limit_num=2).alias("first_two"),
+        reshape.listagg_column("o_orderpriority", "|", distinct=True).alias("priorities"))
 
 
 @query("bool_or", """SELECT o_custkey, bool_or(o_totalprice > 300000) AS has_big_order FROM orders GROUP BY 1""")
