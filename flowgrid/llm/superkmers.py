@@ -124,9 +124,10 @@ def _batches(batches: Iterator[pa.RecordBatch]):
     for batch in batches:
         ids = batch.column("_id").fill_null(NO_ID).to_numpy(zero_copy_only=False).astype(np.int64)
         keys = batch.column("_key").to_numpy(zero_copy_only=False).astype(np.int64)
+        text = batch.column("_text")
         order = np.lexsort((keys, ids))
-        text = batch.column("_text").take(pa.array(order))
-        ids, keys = ids[order], keys[order]
+        if (np.diff(order) != 1).any():
+            text, ids, keys = text.take(pa.array(order)), ids[order], keys[order]
         data, offsets = tx.utf8(text)
         for lo, hi in tx.spans(offsets, BATCH_BYTES):
             w = tx.words(*tx.part(data, offsets, lo, hi), tx.NON_BLANK)

@@ -67,7 +67,9 @@ def utf8(col: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of a string column; null is empty."""
     if isinstance(col, pa.ChunkedArray):
         col = col.combine_chunks()
-    col = pc.fill_null(col, "").cast(pa.large_binary())
+    if col.null_count:
+        col = pc.fill_null(col, "")
+    col = col.cast(pa.large_binary())
     offsets = np.frombuffer(col.buffers()[1], np.int64, len(col) + 1, col.offset * 8)
     body = col.buffers()[2]
     return (np.frombuffer(body, np.uint8) if body is not None and body.size else np.empty(0, np.uint8)), offsets
