@@ -10,9 +10,14 @@ the next shorter context all bytes the longer one has seen are excluded.  The
 last resort is uniform over the bytes not excluded.  A document's score is the
 log10 probability of its bytes and the end byte.
 
-The trie is broadcast, so its size is bounded: per order at most ``MAX_NODES``
-(context, byte) nodes, those above a count that is a power of two; what falls
-out is predicted by escape.  All counts come from all training documents.
+The model is whole at every size: all contexts and counts of all training
+documents take part.  Contexts that share their last ``SHARE`` bytes meet in
+one task, where the probability of every distinct code (context and next byte)
+of the corpus is computed, trained on or not; shorter contexts are few and
+broadcast.  The codes most frequent in the documents (at most ``HEAD_CODES``)
+are broadcast with their probabilities; documents look up the others in a
+shuffle join, one row per document and code.  Only if ``max_nodes`` is given is
+the model cut to that many nodes per order, by a power-of-two count.
 
 The base score is a unigram over words: counts of all training words, exact.
 The most frequent words (at most ``HEAD_WORDS``) are broadcast; documents look
@@ -35,6 +40,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -42,12 +48,14 @@ from flowgrid.llm import text as tx
 from flowgrid.session import materialize
 
 ORDER = 5
-MAX_NODES = 1 << 20
+SHARE = 2
+HEAD_CODES = 1 << 20
 HEAD_WORDS = 1 << 17
 START, END = 0xFE, 0xFF  # bytes that UTF-8 never has
 ALPHABET = 255  # all byte values but START
 FLUSH = 1 << 21
-WORD, GRAM = 0, 1
+SLAB = 1 << 19
+WORD, GRAM, OTHER, ROW = 0, 1, 2, 3  # words and codes trained on, codes of the other documents, document rows
 
 
 def fold(id_col: Column, folds: int = 5) -> Column:
@@ -86,17 +94,19 @@ def _merge(a: tuple[np.ndarray, np.ndarray] | None, b: tuple[np.ndarray, np.ndar
 
 
 def _learner(order: int):
-    """Per task: (kind, key, n) of words and of byte contexts, combined."""
+    """Per task: (kind, key, n) of words trained on and of all byte contexts, combined."""
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows(kind, kn):
             return pa.RecordBatch.from_arrays([pa.array(np.full(len(kn[0]), kind, np.int32)), pa.array(kn[0].view(np.int64)),
                                                pa.array(kn[1].astype(np.int64))], names=["kind", "key", "n"])
-        held: dict[int, tuple | None] = {WORD: None, GRAM: None}
-        for batch in batches:
+        held: dict[int, tuple | None] = {WORD: None, GRAM: None, OTHER: None}
+        for batch, train in ((b.filter(pc.equal(b.column("_held"), not t)), t) for b in batches for t in (True, False)):
             data, offsets = tx.utf8(batch.column("_text"))
             for lo, hi in tx.spans(offsets):
                 d, o = tx.part(data, offsets, lo, hi)
-                found = {WORD: tx.word_hashes(tx.words(d, o, tx.NON_BLANK, lower=True)), GRAM: codes(d, o, order)[0]}
+                found = {GRAM if train else OTHER: codes(d, o, order)[0]}
+                if train:
+                    found[WORD] = tx.word_hashes(tx.words(d, o, tx.NON_BLANK, lower=True))
                 for kind, x in found.items():
                     if len(x):
                         held[kind] = _merge(held[kind], np.unique(x, return_counts=True))
@@ -140,7 +150,6 @@ class Trie:
             up, there = self._find(self.contexts[d - 1], self.contexts[d] & np.uint64((1 << (8 * (d - 1))) - 1))
             self.left_total.append(np.where(there, self.total[d - 1][up] - seen, 0.0) if len(n) else np.empty(0))
             self.left_kinds.append(np.where(there, self.kinds[d - 1][up] - known, 0.0) if len(n) else np.empty(0))
-        self._fill()
 
     @staticmethod
     def _find(table: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -178,44 +187,111 @@ class Trie:
         p[live] -= np.log10(rest)
         return p
 
-    def _fill(self) -> None:
-        """A direct-mapped table of the frequent codes' log probabilities."""
+
+class Head:
+    """log10 probabilities of the frequent codes: a direct-mapped table of the
+    most frequent, sorted arrays for those that share a slot with them."""
+
+    def __init__(self, code: np.ndarray, n: np.ndarray, value: np.ndarray):
         self.bits = 21
+        s = np.argsort(code)
+        self.code, self.value = code[s], value[s]
         self.key = np.full(1 << self.bits, np.iinfo(np.uint64).max, np.uint64)
-        self.value = np.zeros(1 << self.bits, np.float32)
-        code, n = self.nodes[-1], self.counts[-1]
-        code = code[np.argsort(n, kind="stable")]  # the most frequent come last and stay
-        slot = self._slot(code)
-        self.key[slot] = code
-        self.value[slot] = self.log10(code)
+        self.fast = np.zeros(1 << self.bits)
+        s = np.argsort(n, kind="stable")  # the most frequent come last and stay
+        slot = self._slot(code[s])
+        self.key[slot], self.fast[slot] = code[s], value[s]
 
     def _slot(self, code: np.ndarray) -> np.ndarray:
         return (tx.mix(code) >> np.uint64(64 - self.bits)).astype(np.int64)
 
-    def score(self, code: np.ndarray) -> np.ndarray:
-        """Same as ``log10``, through the table (single precision there)."""
+    def find(self, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Probability (0 if not here) and whether it is here."""
         slot = self._slot(code)
-        p = self.value[slot].astype(np.float64)
-        miss = np.flatnonzero(self.key[slot] != code)
-        if len(miss):
-            u, back = np.unique(code[miss], return_inverse=True)
-            p[miss] = self.log10(u)[back]
-        return p
-
-
-def build_trie(grams: DataFrame, order: int = ORDER, max_nodes: int = MAX_NODES) -> Trie:
-    """``grams``: (key, n) of the longest contexts, whole corpus."""
+        known = self.key[slot] == code
+        p = np.where(known, self.fast[slot], 0.0)
+        miss = np.flatnonzero(~known)
+        if len(miss) and len(self.code):
+            at, there = Trie._find(self.code, code[miss])
+            p[miss[there]] = self.value[at[there]]
+            known[miss[there]] = True
+        return p, known
+
+
+def _mask(d: int) -> int:
+    """Bits of a code at order ``d``."""
+    return (1 << (8 * (d + 1))) - 1
+
+
+def _level(code: np.ndarray, n: np.ndarray, d: int, floor: int) -> tuple[np.ndarray, np.ndarray]:
+    k, at = np.unique(code & np.uint64(_mask(d)), return_inverse=True)
+    n = np.bincount(at, n, minlength=len(k)).astype(np.int64)
+    return k[n >= floor], n[n >= floor]
+
+
+def _whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Tables of whole groups of ``part`` from a partition sorted by it."""
+    held: list[pa.RecordBatch] = []
+    rows, least = 0, SLAB
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+            rows += batch.num_rows
+        if rows >= least:
+            t = pa.Table.from_batches(held).combine_chunks()
+            part = t.column("part").to_numpy()
+            cut = int(np.searchsorted(part, part[-1]))
+            if cut:
+                yield t.slice(0, cut)
+            held, rows = t.slice(cut).to_batches(), t.num_rows - cut
+            least = max(SLAB, 2 * rows)
+    if rows:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
+def _prober(shared, order: int):
+    """(key, n, p) of every distinct code: occurrences in all documents and
+    log10 probability, from whole groups of contexts."""
+    def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        low, floors = shared.value
+        for t in _whole(batches):
+            code, n = t.column("key").to_numpy().view(np.uint64), t.column("n").to_numpy()
+            train = t.column("kind").to_numpy() == GRAM
+            trie = Trie(low + [_level(code[train], n[train], d, floors[d]) for d in range(len(low), order + 1)])
+            u, at = np.unique(code, return_inverse=True)
+            yield pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(np.bincount(at, n).astype(np.int64)), pa.array(trie.log10(u))],
+                                             names=["key", "n", "p"])
+    return probe
+
+
+def probabilities(grams: DataFrame, order: int = ORDER, max_nodes: int | None = None) -> DataFrame:
+    """(key, n, p) of every distinct code, from the (kind, key, n) of the
+    longest contexts of all documents."""
+    share = min(SHARE, order)
+    known = grams.filter(F.col("kind") == GRAM)
+    floors = [1] * (order + 1) if max_nodes is None else _floors(known, order, max_nodes)
+    low: list[tuple[np.ndarray, np.ndarray]] = []
+    if share:  # at most 256 ** share rows
+        t = known.groupBy(F.col("key").bitwiseAND(F.lit(_mask(share - 1))).alias("key")).agg(F.sum("n").alias("n")).toArrow()
+        code, n = t.column("key").to_numpy().view(np.uint64), t.column("n").to_numpy()
+        low = [_level(code, n, d, floors[d]) for d in range(share)]
+    shared = grams.sparkSession.sparkContext.broadcast((low, floors))
+    part = F.shiftright("key", 8).bitwiseAND(F.lit((1 << (8 * share)) - 1))
+    return (grams.select("kind", "key", "n", part.cast("long").alias("part")).repartition("part").sortWithinPartitions("part")
+            .mapInArrow(_prober(shared, order), "key long, n long, p double"))
+
+
+def _floors(grams: DataFrame, order: int, max_nodes: int) -> list[int]:
+    """Per order, the count a node needs if at most ``max_nodes`` stay."""
     tables = [grams]
     for d in range(order - 1, -1, -1):  # drop the oldest byte
-        mask = (1 << (8 * (d + 1))) - 1
-        shorter = tables[0].groupBy(F.col("key").bitwiseAND(F.lit(mask)).alias("key")).agg(F.sum("n").alias("n"))
+        shorter = tables[0].groupBy(F.col("key").bitwiseAND(F.lit(_mask(d))).alias("key")).agg(F.sum("n").alias("n"))
         tables.insert(0, materialize(shorter, f"contexts-{d}"))
-    levels, floor = [], 1
+    floors, floor = [], 1
     for t in tables:
         floor = max(floor, _count_floor(t, max_nodes))
-        kept = t.filter(F.col("n") >= floor).toArrow()
-        levels.append((kept.column("key").to_numpy().view(np.uint64), kept.column("n").to_numpy()))
-    return Trie(levels)
+        floors.append(floor)
+    return floors
 
 
 def _count_floor(counts: DataFrame, most: int) -> int:
@@ -229,9 +305,17 @@ def _count_floor(counts: DataFrame, most: int) -> int:
     return 1
 
 
-def _scorer(shared):
+def _tally(doc: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct (document, key) pairs and how often each is there."""
+    order = np.lexsort((key, doc))
+    doc, key = doc[order], key[order]
+    first = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (key[1:] != key[:-1])])) if len(doc) else np.empty(0, np.int64)
+    return doc[first], key[first], np.diff(np.append(first, len(doc)))
+
+
+def _scorer(shared, order: int):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trie, head, head_log = shared.value
+        frequent, head, head_log = shared.value
         for batch in batches:
             data, offsets = tx.utf8(batch.column("_text"))
             row_id = batch.column("_row").to_numpy()
@@ -243,42 +327,41 @@ def _scorer(shared):
                 common = head[at] == h if len(head) else np.zeros(len(h), bool)
                 base = np.bincount(doc[common], head_log[at[common]], minlength=hi - lo)
                 known = np.bincount(doc[common], minlength=hi - lo)
-                code, n = codes(d, o, trie.order)
-                score = np.add.reduceat(trie.score(code), np.cumsum(n) - n)
-                # one row per document, dealt by its own hash, then one per document and rare word
-                rare_doc, rare = doc[~common], h[~common]
-                order = np.lexsort((rare, rare_doc))
-                rd, rw = rare_doc[order], rare[order]
-                first = np.flatnonzero(np.concatenate([[True], (rd[1:] != rd[:-1]) | (rw[1:] != rw[:-1])])) if len(rd) else np.empty(0, np.int64)
-                tf = np.diff(np.append(first, len(rd)))
-                k = hi - lo
-                none = pa.nulls(len(first), pa.int64())
-                ids = batch.column("_id")[lo:hi]
+                code, n = codes(d, o, order)
+                p, there = frequent.find(code)
+                score = np.add.reduceat(p, np.cumsum(n) - n)
+                ids = row_id[lo:hi]
+                # one row per document, dealt by its own hash, then one per document and rare word or code
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(np.concatenate([tx.mix(row_id[lo:hi].astype(np.uint64)), rw[first]]).view(np.int64)),
-                    pa.array(np.concatenate([row_id[lo:hi], row_id[lo:hi][rd[first]]])),
-                    pa.array(np.concatenate([np.zeros(k, np.int64), tf])),
-                    pa.concat_arrays([ids, none]),
-                    pa.concat_arrays([batch.column("_held")[lo:hi], pa.nulls(len(first), pa.bool_())]),
-                    pa.concat_arrays([pa.array(w.count().astype(np.int64)), none]),
-                    pa.concat_arrays([pa.array(known.astype(np.int64)), none]),
-                    pa.concat_arrays([pa.array(base.astype(np.float64)), pa.nulls(len(first), pa.float64())]),
-                    pa.concat_arrays([pa.array(score), pa.nulls(len(first), pa.float64())])],
-                    names=["word", "row", "tf", "id", "held", "n", "known", "base", "score"])
+                    pa.array(np.full(hi - lo, ROW, np.int32)), pa.array(tx.mix(ids.astype(np.uint64)).view(np.int64)), pa.array(ids),
+                    pa.array(np.zeros(hi - lo, np.int64)), batch.column("_id")[lo:hi], batch.column("_held")[lo:hi],
+                    pa.array(w.count().astype(np.int64)), pa.array(known.astype(np.int64)), pa.array(base.astype(np.float64)), pa.array(score)],
+                    names=_SCORED_NAMES)
+                rare_code = np.flatnonzero(~there)
+                code_doc = np.searchsorted(np.cumsum(n), rare_code, "right")
+                for kind, (rd, key, tf) in ((WORD, _tally(doc[~common], h[~common])), (GRAM, _tally(code_doc, code[rare_code]))):
+                    for a in range(0, len(rd), 1 << 17):
+                        z = min(len(rd), a + (1 << 17))
+                        yield pa.RecordBatch.from_arrays([
+                            pa.array(np.full(z - a, kind, np.int32)), pa.array(key[a:z].view(np.int64)), pa.array(ids[rd[a:z]]), pa.array(tf[a:z]),
+                            *[pa.nulls(z - a, t) for t in (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64())]],
+                            names=_SCORED_NAMES)
     return score
 
 
-_SCORED = "word long, row long, tf long, id long, held boolean, n long, known long, base double, score double"
+_SCORED = "kind int, key long, row long, tf long, id long, held boolean, n long, known long, base double, score double"
+_SCORED_NAMES = [c.split()[0] for c in _SCORED.split(", ")]
 
 
 def score_documents(docs: DataFrame, training: Column | None = None, id_col: str = "doc_id", text_col: str = "text",
-                    order: int = ORDER, max_nodes: int = MAX_NODES, head_words: int = HEAD_WORDS) -> DataFrame:
+                    order: int = ORDER, max_nodes: int | None = None, head_words: int = HEAD_WORDS, head_codes: int = HEAD_CODES) -> DataFrame:
     """Score all documents with models learned from those where ``training``
-    holds (default: fold 1 of 5 is held out)."""
+    holds (default: fold 1 of 5 is held out).  ``head_words`` and
+    ``head_codes`` only say what is broadcast; ``max_nodes`` cuts the model."""
     sc = docs.sparkSession.sparkContext
     held = fold(F.col(id_col)) == 1 if training is None else ~F.coalesce(training, F.lit(False))
     rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"), held.alias("_held"))
-    learned = materialize(rows.filter(~F.col("_held")).select("_text").mapInArrow(_learner(order), "kind int, key long, n long")
+    learned = materialize(rows.select("_held", "_text").mapInArrow(_learner(order), "kind int, key long, n long")
                           .groupBy("kind", "key").agg(F.sum("n").alias("n")), "counts")
     words = learned.filter(F.col("kind") == WORD).select("key", "n")
     sums = words.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
@@ -289,24 +372,29 @@ def score_documents(docs: DataFrame, training: Column | None = None, id_col: str
     top = words.filter(F.col("n") >= floor).toArrow()
     head, n = top.column("key").to_numpy().view(np.uint64), top.column("n").to_numpy()
     s = np.argsort(head)
-    trie = build_trie(learned.filter(F.col("kind") == GRAM).select("key", "n"), order, max_nodes)
-    shared = sc.broadcast((trie, head[s], np.log10(n[s] + 0.5)))
-
-    scored = rows.withColumn("_row", F.monotonically_increasing_id()).mapInArrow(_scorer(shared), _SCORED)
-    tail = words.filter(F.col("n") < floor).select(F.col("key").alias("_w"), F.col("n").alias("_c"))
-    x = scored.join(tail, F.col("word") == F.col("_w"), "left")
-    c = F.coalesce("_c", F.lit(0))
-    rare = F.col("tf") > 0
+    grams = materialize(probabilities(learned.filter(F.col("kind") != WORD), order, max_nodes), "probabilities")
+    gram_floor = _count_floor(grams, head_codes)
+    top = grams.filter(F.col("n") >= gram_floor).toArrow()
+    frequent = Head(top.column("key").to_numpy().view(np.uint64), top.column("n").to_numpy(), top.column("p").to_numpy())
+    shared = sc.broadcast((frequent, head[s], np.log10(n[s] + 0.5)))
+
+    scored = rows.withColumn("_row", F.monotonically_increasing_id()).mapInArrow(_scorer(shared, order), _SCORED)
+    tail = (words.filter(F.col("n") < floor).select(F.lit(WORD).alias("_kind"), F.col("key").alias("_key"), F.log10(F.col("n") + 0.5).alias("_v"))
+            .unionByName(grams.filter(F.col("n") < gram_floor).select(F.lit(GRAM).alias("_kind"), F.col("key").alias("_key"), F.col("p").alias("_v"))))
+    x = scored.join(tail, (F.col("kind") == F.col("_kind")) & (F.col("key") == F.col("_key")), "left")
+    rare, code = F.col("kind") == WORD, F.col("kind") == GRAM
     per_row = x.groupBy("row").agg(
         *[F.max(k).alias(k) for k in ("id", "held", "n", "known", "base", "score")],
-        F.sum(F.when(rare, F.col("tf") * F.log10(c + 0.5)).otherwise(0.0)).alias("tail"),
-        F.sum(F.when(rare & (c > 0), F.col("tf")).otherwise(0)).alias("tail_known"))
+        F.sum(F.when(rare, F.col("tf") * F.coalesce("_v", F.log10(F.lit(0.5)))).otherwise(0.0)).alias("tail"),
+        F.sum(F.when(rare & F.col("_v").isNotNull(), F.col("tf")).otherwise(0)).alias("tail_known"),
+        F.sum(F.when(code, F.col("tf") * F.col("_v")).otherwise(0.0)).alias("tail_score"))
     spread = F.log10(F.lit(n_tokens + 0.5 * (vocabulary + 1)))
     end = float(np.log10(train_docs + 0.5))
     return per_row.select(
         F.col("id").alias(id_col), F.col("held").alias("held_out"), (F.col("n") + 1).alias("n_tokens"),
         (F.col("known") + F.col("tail_known") + int(train_docs > 0)).alias("n_known"), F.lit(n_tokens).cast("long").alias("train_tokens"),
-        (F.col("base") + F.col("tail") + end - (F.col("n") + 1) * spread).alias("base_score"), "score")
+        (F.col("base") + F.col("tail") + end - (F.col("n") + 1) * spread).alias("base_score"),
+        (F.col("score") + F.col("tail_score")).alias("score"))
 
 
 def adaptive_bits(text: str | None, order: int = ORDER) -> float:

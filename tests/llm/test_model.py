@@ -92,6 +92,36 @@ def test_bounded_trie_still_scores(spark):
     assert small < full < 0 and small > 2 * full
 
 
+def test_whole_model_whatever_is_broadcast(spark, monkeypatch):
+    """Every count takes part, also with a small broadcast and small slabs."""
+    monkeypatch.setattr(lm_ppm, "SLAB", 500)
+    rng = random.Random(11)
+    rows = [(i, " ".join(f"{rng.randrange(1 << 40):x}" for _ in range(30)), "en", "a") for i in range(200)]
+    trie = plain_trie(r[1] for r in rows if fold(r[0]) != 1)
+    for head in (1 << 20, 50):
+        out = lm_ppm.score_documents(table(spark, rows).repartition(3), order=ORDER, head_codes=head).collect()
+        assert len(out) == len(rows)
+        for r in out:
+            assert r["score"] == pytest.approx(plain_score(trie, rows[r["doc_id"]][1]), rel=1e-9)
+
+
+def test_no_node_is_dropped(spark):
+    """More than 2**20 distinct contexts and bytes, as the query calls it."""
+    rng = random.Random(13)
+    texts = ["".join(chr(97 + rng.randrange(26)) for _ in range(4500)) for _ in range(400)]
+    data = np.frombuffer("".join(texts).encode(), np.uint8)
+    code, n = lm_ppm.codes(data, np.arange(len(texts) + 1) * 4500)
+    train = np.array([fold(i) != 1 for i in range(len(texts))])
+    known = code[np.repeat(train, n)]
+    assert len(np.unique(known)) > 1 << 20
+    trie = lm_ppm.Trie([np.unique(known & np.uint64((1 << (8 * (d + 1))) - 1), return_counts=True) for d in range(lm_ppm.ORDER + 1)])
+    want = np.add.reduceat(trie.log10(code), np.cumsum(n) - n)
+    out = lm_ppm.score_documents(table(spark, [(i, t, "en", "a") for i, t in enumerate(texts)])).collect()
+    assert len(out) == len(texts)
+    for r in out:
+        assert r["score"] == pytest.approx(want[r["doc_id"]], rel=1e-6)
+
+
 def test_adaptive():
     assert lm_ppm.adaptive_bits("") == pytest.approx(np.log2(lm_ppm.ALPHABET))
     assert lm_ppm.adaptive_bits("abc " * 100) < 0.2 * lm_ppm.adaptive_bits("".join(chr(33 + (i * i * 7 + i // 3) % 90) for i in range(400)))
