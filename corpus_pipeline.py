@@ -22,8 +22,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component (5-word shingles, similarity 0.8)."""
-    return near_dup.keep_one(docs)
+    """One document, a (doc_id, text), of each component (5-word shingles, similarity 0.8)."""
+    return near_dup.keep_documents(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -22,8 +22,9 @@ probability ``(1 - t ** rows) ** bands`` (3e-6 at 0.8, 7e-9 at 0.85).
 Edge cases: documents without words have no shingles, form their own component
 and are kept; with fewer words than a shingle the whole sequence is the one
 shingle; rows with a null id are linked with nothing (component null, kept);
-rows that repeat an id are one node and get the same component each.  Extra
-columns are ignored; an empty table gives an empty result.
+rows that repeat an id are one node and get the same component each; where an
+id may stand for several texts, ``keep_documents`` takes each (doc_id, text) as
+its own node.  Extra columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -270,8 +271,9 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """The rows of ``docs`` (all columns) with one document of each component;
-    of rows that repeat an id one stays, rows with a null id all stay."""
+    """The rows of ``docs`` (all columns) with one document of each component,
+    for tables whose ids name one text each: of rows that repeat an id one
+    stays, rows with a null id all stay."""
     verdict = near_duplicates(docs, id_col=id_col, **options)
     kept = verdict.filter(F.col("kept")).select(F.col("doc_id").alias("_kept")).distinct()
     out = docs.join(kept, docs[id_col].cast("long").eqNullSafe(kept["_kept"]), "left_semi")
@@ -279,3 +281,21 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     if again.isEmpty():
         return out
     return out.filter(F.col(id_col).isNotNull()).dropDuplicates([id_col]).unionByName(out.filter(F.col(id_col).isNull()))
+
+
+def keep_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of ``docs`` (all columns) with one document, a (doc_id, text),
+    of each component: that of the smallest id.  Of rows equal in both one
+    stays, rows with a null id all stay; an id's other texts are documents of
+    their own."""
+    known = docs.filter(F.col(id_col).isNotNull())
+    if known.groupBy(id_col).count().filter(F.col("count") > 1).isEmpty():
+        return keep_one(docs, id_col=id_col, text_col=text_col, **options)
+    tail = "_".join(c for c in docs.columns if c.startswith(("_digest_", "_node_")))
+    digest, node = f"_digest_{tail}", f"_node_{tail}"
+    # numbers in (id, digest) order, so the smallest of a component has the smallest id; written, so they stay
+    numbered = materialize(known.withColumn(digest, F.coalesce(F.sha2(F.col(text_col).cast("binary"), 256), F.lit("")))
+                           .dropDuplicates([id_col, digest]).repartitionByRange(id_col, digest).sortWithinPartitions(id_col, digest)
+                           .withColumn(node, F.monotonically_increasing_id()), "documents")
+    kept = keep_one(numbered, id_col=node, text_col=text_col, **options)
+    return kept.select(*docs.columns).unionByName(docs.filter(F.col(id_col).isNull()))
