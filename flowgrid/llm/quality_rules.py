@@ -110,30 +110,31 @@ def mask(rule_names: list[str], rules: list[Rule] = RULES) -> int:
     return sum(1 << by_name[n] for n in set(rule_names))
 
 
+def failed_bits(m: Callable[[str], Column], rules: list[Rule] = RULES) -> Column:
+    """The bits of all rules that fail on the measurements ``m`` (by name)."""
+    bits = F.lit(0).cast("bigint")
+    for r in rules:
+        bits = bits.bitwiseOR(F.when(r.fails(m), F.lit(1 << r.bit)).otherwise(F.lit(0)).cast("bigint"))
+    return bits
+
+
 def ledger(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
            rules: list[Rule] = RULES) -> DataFrame:
     """One row per input row: id, measurements, ``failed_bits``."""
     measured = docs.select(F.col(id_col).alias("_id"), measure(F.col(text_col)).alias("_m"))
-    bits = F.lit(0).cast("bigint")
-    for r in rules:
-        bits = bits.bitwiseOR(F.when(r.fails(lambda n: F.col("_m")[n]), F.lit(1 << r.bit)).otherwise(F.lit(0)).cast("bigint"))
     return measured.select(F.col("_id").alias(id_col), *[F.col("_m")[n].alias(n) for n in MEASUREMENTS],
-                           bits.alias("failed_bits"))
+                           failed_bits(lambda n: F.col("_m")[n], rules).alias("failed_bits"))
 
 
 def passing(docs: DataFrame, policy: str = "v2", text_col: str = "text", rules: list[Rule] = RULES) -> DataFrame:
-    """The rows of ``docs`` (all columns) that no rule of the policy rejects."""
-    made = "_quality_" + "_".join(c for c in docs.columns if c.startswith("_quality_"))
-    bad = F.lit(False)
-    for r in rules:
-        if r.name in POLICIES[policy]:
-            bad = bad | r.fails(lambda n: F.col(made)[n])
-    return docs.withColumn(made, measure(F.col(text_col))).filter(~bad).select(*docs.columns)
+    """The rows of ``docs`` (all columns) that the policy keeps in the ledger."""
+    bits = let(measure(F.col(text_col)), lambda m: failed_bits(lambda n: m[n], rules))
+    return docs.filter(~rejected(policy, rules, bits))
 
 
-def rejected(policy: str, rules: list[Rule] = RULES) -> Column:
-    """Whether a ledger row is rejected under a policy version."""
-    return F.col("failed_bits").bitwiseAND(F.lit(mask(POLICIES[policy], rules)).cast("bigint")) != 0
+def rejected(policy: str, rules: list[Rule] = RULES, bits: Column | None = None) -> Column:
+    """Whether a ledger row (or ``bits``) is rejected under a policy version."""
+    return (F.col("failed_bits") if bits is None else bits).bitwiseAND(F.lit(mask(POLICIES[policy], rules)).cast("bigint")) != 0
 
 
 def apply_policy(book: DataFrame, policy: str = "v2") -> DataFrame:

@@ -202,3 +202,14 @@ def test_line_sketches_merge(spark):
     whole = line_dedup.line_sketches(lines)
     est = [{r["key"]: (round(r["e"]), r["n"]) for r in x.select("key", F.hll_sketch_estimate("sketch").alias("e"), "n").collect()} for x in (merged, whole)]
     assert est[0] == est[1]
+
+
+def test_passing_is_the_policy_on_the_ledger(spark):
+    docs = table(spark, edge_rows() + [(i, "word " * (40 + i) + "$ " * (i % 9), "en", "a") for i in range(20, 60)], clash=True)
+    for policy in qr.POLICIES:
+        book = qr.apply_policy(qr.ledger(docs), policy).filter("kept")
+        out = qr.passing(docs, policy)
+        assert out.columns == docs.columns
+        assert sorted(str(r[0]) for r in out.select("doc_id").collect()) == sorted(str(r[0]) for r in book.select("doc_id").collect())
+    with pytest.raises(KeyError):  # a rule of the policy without a bit is an error, as in the ledger
+        qr.passing(docs, "v2", rules=qr.RULES[:2])
