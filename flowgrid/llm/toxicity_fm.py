@@ -9,8 +9,8 @@ words, their first ``STEM`` bytes (compounds and inflections of a word share
 them), hashed to ``2 ** BITS`` buckets.  The model is fitted on at most ``TRAIN_ROWS`` labelled
 documents (the smallest hashes of doc_id among those allowed).  Spark counts
 terms against labels there; terms with a significant association, alone or
-among documents that hold such a term already, are kept (at most
-``MAX_TERMS``), and the machine is fitted to those by mini-batch AdaGrad.
+among documents that hold such a term already, are kept (at most ``MAX_TERMS``
+of either kind), and the machine is fitted to those by mini-batch AdaGrad.
 Scoring is one pass over all documents with the small model broadcast.
 
 Edge cases: null labels are ignored, of several labels of a document the
@@ -73,8 +73,9 @@ def _spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                              names=["y", "terms"])
 
 
-def _association(rows: DataFrame, max_terms: int, min_z: float) -> list[int]:
-    """Terms whose share differs between the labels, most significant first."""
+def _association(rows: DataFrame, max_terms: int, min_z: float, known: set[int] = frozenset()) -> list[int]:
+    """Terms whose share differs between the labels, most significant first,
+    without the known ones."""
     total = rows.agg(F.count("*").alias("n"), F.sum("y").alias("pos")).first()
     n, pos = total["n"], total["pos"] or 0
     if not pos or pos == n:
@@ -83,8 +84,8 @@ def _association(rows: DataFrame, max_terms: int, min_z: float) -> list[int]:
     share = F.col("df") / n
     z = F.abs(F.col("a") / pos - (F.col("df") - F.col("a")) / (n - pos)) / F.sqrt(share * (1 - share) * (1 / pos + 1 / (n - pos)))
     z = F.when((F.col("df") >= 3) & (F.col("df") < n), z)
-    top = c.withColumn("z", z).filter(F.col("z") >= min_z).orderBy(F.desc("z"), "t").limit(max_terms).select("t").collect()
-    return [r["t"] for r in top]
+    top = c.withColumn("z", z).filter(F.col("z") >= min_z).orderBy(F.desc("z"), "t").limit(max_terms + len(known)).select("t").collect()
+    return [r["t"] for r in top if r["t"] not in known][:max_terms]
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, allowed: Column, label: str, id_col: str, text_col: str,
@@ -105,9 +106,10 @@ def fit(rows: DataFrame, max_terms: int = MAX_TERMS, min_z: float = MIN_Z, facto
     rows = rows.persist()
     kept = _association(rows, max_terms, min_z)
     if kept:
+        known = set(kept)
         strong = F.array(*[F.lit(t) for t in kept[:256]])
-        kept += [t for t in _association(rows.filter(F.arrays_overlap("terms", strong)), max_terms, min_z) if t not in set(kept)]
-    kept = kept[:max_terms]
+        # the first pass's terms are not counted, so they take no room from those found only here
+        kept += _association(rows.filter(F.arrays_overlap("terms", strong)), max_terms, min_z, known)
     slots = np.full(1 << BITS, -1, np.int32)
     slots[kept] = np.arange(len(kept))
     chosen = rows.sparkSession.sparkContext.broadcast(slots)

@@ -155,6 +155,13 @@ def test_pairs_are_learned(spark):
     assert auc(s, y) > 0.97 and ((s >= 0.5) == y).mean() > 0.95
 
 
+def test_conditional_terms_have_their_own_room(spark):
+    """Term 3 matters only next to term 1; terms 1 and 2 fill the first pass."""
+    rows = [(1, [1, 3])] * 300 + [(1, [2])] * 300 + [(0, [1])] * 100 + [(0, [3])] * 300 + [(0, [])] * 200
+    model = toxicity_fm.fit(spark.createDataFrame(rows, "y int, terms array<long>"), max_terms=2)
+    assert len(model.weight) == 3
+
+
 def test_toxicity_edges(spark):
     docs = table(spark, edge_rows(), clash=True)
     none = spark.createDataFrame([], "doc_id long, toxic int")
