@@ -6,7 +6,7 @@ next to a mention of a group) than their weights add up to.
 
 Terms are lower-cased words ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` and, for longer
 words, their first ``STEM`` bytes (compounds and inflections of a word share
-them), hashed to ``2 ** BITS`` buckets.  The model is fitted on at most ``TRAIN_ROWS`` labelled
+them), by their 64-bit hash.  The model is fitted on at most ``TRAIN_ROWS`` labelled
 documents (the smallest hashes of doc_id among those allowed).  Spark counts
 terms against labels there; terms with a significant association, alone or
 among documents that hold such a term already, are kept (at most ``MAX_TERMS``
@@ -33,7 +33,6 @@ from pyspark.sql import functions as F
 
 from flowgrid.llm import text as tx
 
-BITS = 18
 STEM = 5
 TRAIN_ROWS = 20_000
 MAX_TERMS = 1024
@@ -46,14 +45,15 @@ L2 = 1e-5
 
 
 class Model(NamedTuple):
-    slots: np.ndarray  # bucket -> term number, -1 if not kept
+    terms: np.ndarray  # hashes of the kept terms, sorted
+    number: np.ndarray  # their term numbers
     bias: float
     weight: np.ndarray
     factors: np.ndarray
 
 
 def _terms(batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(first row, end row, document, bucket) with each pair once, by chunks."""
+    """(first row, end row, document, hash) of every term, by chunks."""
     data, offsets = tx.utf8(batch.column("_text"))
     for lo, hi in tx.spans(offsets):
         w = tx.words(*tx.part(data, offsets, lo, hi), tx.ALNUM, lower=True)
@@ -61,15 +61,27 @@ def _terms(batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray, np.nda
         stem = w._replace(starts=w.starts[long], ends=w.starts[long] + STEM)
         term = np.concatenate([tx.word_hashes(w), tx.mix(tx.word_hashes(stem))])  # a stem is not the word of that spelling
         doc = w.docs()
-        pair = np.unique((np.concatenate([doc, doc[long]]) << BITS) | (term >> np.uint64(64 - BITS)).astype(np.int64))
-        yield lo, hi, pair >> BITS, pair & ((1 << BITS) - 1)
+        yield lo, hi, np.concatenate([doc, doc[long]]), term
+
+
+def _numbers(terms: np.ndarray, number: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Term number of each hash, -1 if not kept."""
+    if not len(terms):
+        return np.full(len(x), -1, np.int64)
+    at = np.minimum(np.searchsorted(terms, x), len(terms) - 1)
+    return np.where(terms[at] == x, number[at], -1)
 
 
 def _spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for lo, hi, doc, bucket in _terms(batch):
+        for lo, hi, doc, term in _terms(batch):
+            order = np.lexsort((term, doc))
+            doc, term = doc[order], term[order]
+            once = np.ones(len(doc), bool)
+            once[1:] = (doc[1:] != doc[:-1]) | (term[1:] != term[:-1])
+            doc, term = doc[once], term[once]
             edge = np.searchsorted(doc, np.arange(hi - lo + 1)).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([batch.column("_y")[lo:hi], pa.ListArray.from_arrays(edge, pa.array(bucket.astype(np.int32)))],
+            yield pa.RecordBatch.from_arrays([batch.column("_y")[lo:hi], pa.ListArray.from_arrays(edge, pa.array(term.view(np.int64)))],
                                              names=["y", "terms"])
 
 
@@ -97,7 +109,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, allowed: Column, label: st
              .orderBy(F.xxhash64("_l"), "_l").limit(train_rows))
     # at most train_rows small rows: the broadcast is bounded
     rows = docs.select(F.col(id_col).alias("_l"), F.col(text_col).alias("_text")).join(F.broadcast(known), "_l").select("_y", "_text")
-    return rows.mapInArrow(_spell, "y int, terms array<int>")
+    return rows.mapInArrow(_spell, "y int, terms array<long>")
 
 
 def fit(rows: DataFrame, max_terms: int = MAX_TERMS, min_z: float = MIN_Z, factors: int = FACTORS, epochs: int = EPOCHS,
@@ -110,15 +122,16 @@ def fit(rows: DataFrame, max_terms: int = MAX_TERMS, min_z: float = MIN_Z, facto
         strong = F.array(*[F.lit(t) for t in kept[:256]])
         # the first pass's terms are not counted, so they take no room from those found only here
         kept += _association(rows.filter(F.arrays_overlap("terms", strong)), max_terms, min_z, known)
-    slots = np.full(1 << BITS, -1, np.int32)
-    slots[kept] = np.arange(len(kept))
-    chosen = rows.sparkSession.sparkContext.broadcast(slots)
+    hashes = np.array(kept, np.int64).view(np.uint64)
+    number = np.argsort(hashes)
+    terms = hashes[number]
+    chosen = rows.sparkSession.sparkContext.broadcast((terms, number))
 
     def narrow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             t = batch.column("terms")
-            x = [chosen.value[t[i].values.to_numpy()] for i in range(len(t))]
-            yield pa.RecordBatch.from_arrays([batch.column("y"), pa.array([a[a >= 0] for a in x], pa.list_(pa.int32()))], names=["y", "x"])
+            x = [_numbers(*chosen.value, t[i].values.to_numpy().view(np.uint64)) for i in range(len(t))]
+            yield pa.RecordBatch.from_arrays([batch.column("y"), pa.array([np.sort(a[a >= 0]).astype(np.int32) for a in x], pa.list_(pa.int32()))], names=["y", "x"])
 
     table = rows.mapInArrow(narrow, "y int, x array<int>").toArrow()
     rows.unpersist()
@@ -148,14 +161,16 @@ def fit(rows: DataFrame, max_terms: int = MAX_TERMS, min_z: float = MIN_Z, facto
             b -= RATE * db / gb ** 0.5
             w -= RATE * dw / np.sqrt(gw)
             v -= RATE * dv / np.sqrt(gv)
-    return Model(slots, b, w, v)
+    return Model(terms, number, b, w, v)
 
 
-def margins(model: Model, doc: np.ndarray, bucket: np.ndarray, n: int) -> np.ndarray:
-    """Score before the sigmoid of ``n`` documents from (document, bucket) pairs
-    in document order."""
-    t = model.slots[bucket]
-    doc, t = doc[t >= 0], t[t >= 0]
+def margins(model: Model, doc: np.ndarray, term: np.ndarray, n: int) -> np.ndarray:
+    """Score before the sigmoid of ``n`` documents from (document, hash) pairs,
+    each counted once."""
+    k = max(1, len(model.terms))
+    t = _numbers(model.terms, model.number, term)
+    pair = np.unique(doc[t >= 0] * k + t[t >= 0])
+    doc, t = pair // k, pair % k
     y = model.bias + np.bincount(doc, model.weight[t], minlength=n)
     for f in range(model.factors.shape[1]):
         v = model.factors[t, f]
@@ -167,11 +182,11 @@ def _scorer(shared):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in batches:
-            for lo, hi, doc, bucket in _terms(batch):
+            for lo, hi, doc, term in _terms(batch):
                 if model is None:
                     p = np.zeros(hi - lo)
                 else:
-                    p = 1 / (1 + np.exp(-np.clip(margins(model, doc, bucket, hi - lo), -500, 500)))
+                    p = 1 / (1 + np.exp(-np.clip(margins(model, doc, term, hi - lo), -500, 500)))
                 yield pa.RecordBatch.from_arrays([batch.column("_id")[lo:hi], pa.array(p)], names=["doc_id", "score"])
     return score
 

@@ -162,6 +162,18 @@ def test_conditional_terms_have_their_own_room(spark):
     assert len(model.weight) == 3
 
 
+def test_long_clean_text_holds_no_term(spark):
+    """Many unknown words don't add up to known ones."""
+    rng = random.Random(14)
+    insults = [f"{chr(103 + i)}rotz" for i in range(20)]
+    rows = [(i, prose(rng, 20, 300) + (" " + " ".join(insults) if i % 2 else ""), "en", "a") for i in range(400)]
+    long = " ".join(f"{rng.randrange(1 << 32):08x}" for _ in range(60_000))
+    docs = table(spark, rows + [(1000, long, "en", "a"), (1001, "deadbeef", "en", "a")])
+    lab = spark.createDataFrame([(i, i % 2) for i in range(400)], "doc_id long, toxic int")
+    s = {r["doc_id"]: r["score"] for r in toxicity_fm.score_toxicity(docs, lab, F.lit(True)).collect()}
+    assert s[1000] == pytest.approx(s[1001]) and s[1] > 0.9 > 0.5 > s[0]
+
+
 def test_toxicity_edges(spark):
     docs = table(spark, edge_rows(), clash=True)
     none = spark.createDataFrame([], "doc_id long, toxic int")
