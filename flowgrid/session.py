@@ -81,12 +81,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def materialize(df, name: str = "stage"):
+def materialize(df, name: str = "stage", compression: str | None = None):
     """Write ``df`` as Parquet into the shared checkpoint folder and read it
     back: cuts the lineage (a lost executor re-reads files instead of
     recomputing upstream Python passes) and later scans get column pruning
     and predicate pushdown."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)  # known schema: no footer-inference job
