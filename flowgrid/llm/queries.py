@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from flowgrid.llm import q_model, q_native, q_scan
+from flowgrid.llm import q_link, q_model, q_native, q_scan
 
-QUERIES = {**q_native.QUERIES, **q_scan.QUERIES, **q_model.QUERIES}
-ORACLES = {**q_native.ORACLES, **q_scan.ORACLES, **q_model.ORACLES}
+QUERIES = {**q_native.QUERIES, **q_scan.QUERIES, **q_model.QUERIES, **q_link.QUERIES}
+ORACLES = {**q_native.ORACLES, **q_scan.ORACLES, **q_model.ORACLES, **q_link.ORACLES}
