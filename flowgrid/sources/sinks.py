@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowgrid.functions.dates import date_trunc_ntz, datediff_boundaries, ntz_lit
+from flowgrid.sources import key_index
 
 
 def write_parquet(df: DataFrame, path: str, sort_by: Sequence[str] = (), partition_by: Sequence[str] = (),
@@ -57,15 +58,17 @@ def full_refresh(df: DataFrame, name: str, path: str) -> DataFrame:
     return spark.table(name)
 
 
-def insert_ignore(path: str, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
+def insert_ignore(path: str, batch: DataFrame, keys: Sequence[str], schema=None) -> DataFrame:
     """Append the batch rows whose key is not yet in the table at ``path``
     (existing row wins); files already there are not touched.  Equal keys
     inside the batch keep the smallest row (by all columns); null keys never
     conflict, as in Postgres.  The batch is deduplicated by an aggregate
-    (skew-safe) and anti-joined with the target's keys (only the key columns
-    are read).  A repeated call appends nothing, except rows with null keys."""
+    (skew-safe) and anti-joined with the keys of those target files that may
+    hold one of them, by the table's ``key_index``; other files are not opened.
+    A repeated call appends nothing, except rows with null keys.  Without the
+    table's ``schema`` one file's footer is read for it."""
     spark = batch.sparkSession
-    target = spark.read.parquet(path)
+    target = spark.read.schema(schema).parquet(path) if schema is not None else spark.read.parquet(path)
     keys = list(keys)
     others = [c for c in batch.columns if c not in keys]
     nn = F.lit(True)
@@ -74,7 +77,8 @@ def insert_ignore(path: str, batch: DataFrame, keys: Sequence[str]) -> DataFrame
     keyed, nullkey = batch.where(nn), batch.where(~nn)
     dedup = keyed.distinct() if not others else keyed.groupBy(*keys).agg(F.min(F.struct(*others)).alias("_r")).select(
         *keys, *[F.col("_r." + c).alias(c) for c in others])
-    fresh = dedup.join(target.select(*keys), keys, "left_anti")
+    held = key_index.rows_with(spark, path, target, keyed, keys)
+    fresh = dedup.join(held.select(*keys), keys, "left_anti")
     out = fresh.select(*target.columns).unionByName(nullkey.select(*target.columns))
     out.write.mode("append").parquet(path)
     return spark.read.schema(target.schema).parquet(path)
