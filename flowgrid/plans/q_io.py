@@ -52,8 +52,8 @@ def q_src_trips_csv(spark, sf_dir):
 
 @query("src_trips_zip", TRIP10_SQL)
 def q_src_trips_zip(spark, sf_dir):
-    """Trips zipped per partition by the executors (one archive per task),
-    then read with the binaryFile + mapInPandas unzip reader."""
+    """Trips zipped per partition by the executors (archives of several
+    members), then read member by member through the archives' directories."""
     base = scratch_path(spark, "trip-zip")
     frame = _trip_csv_frame(spark, sf_dir).withColumn("_pid", F.spark_partition_id())
 
@@ -67,10 +67,11 @@ def q_src_trips_zip(spark, sf_dir):
             pid = int(pdf["_pid"].iloc[0])
             # deterministic name: a retried task overwrites its own archive instead of adding one
             name = f"{root}/2024{pid:04d}-{batch_no:05d}-bike-tripdata.zip"
-            buf, blob = io.StringIO(), io.BytesIO()
-            pdf.drop(columns=["_pid"]).to_csv(buf, index=False)
+            blob = io.BytesIO()
             with zipfile.ZipFile(blob, "w", zipfile.ZIP_DEFLATED) as z:
-                z.writestr("202401-bike-tripdata.csv", buf.getvalue())
+                z.writestr("readme.txt", "not a table")
+                for part, rows in enumerate(range(0, len(pdf), 4000)):
+                    z.writestr(f"202401-bike-tripdata_{part}.csv", pdf.iloc[rows:rows + 4000].drop(columns=["_pid"]).to_csv(index=False))
             with filesystem.open_output_stream(name) as out:
                 out.write(blob.getvalue())
             yield pd.DataFrame({"n": [len(pdf)]})

@@ -82,3 +82,65 @@ def test_month_partitions(spark, tmp_path):
     df = spark.createDataFrame([(dt.datetime(2024, m, 3), 2024) for m in (1, 1, 2)], "t timestamp_ntz, year int").repartition(3)
     out = sinks.write_month_partitions(df, str(tmp_path / "m"), "t", files_per_month=2)
     assert sorted((r.year, r.month) for r in out.collect()) == [(2024, 1), (2024, 1), (2024, 2)]
+
+
+def test_a_thousand_small_files_of_two_forms(spark, tmp_path):
+    head, row = HEAD.split(","), ROW.split(",")
+    turned = [head[-1], *head[:-1]], [row[-1], *row[:-1]]
+    for i in range(1000):
+        h, r = (head, row) if i % 3 else turned
+        r = [f"r{i}" if c == "ride_id" else f"{i}.10" if c == "start_station_id" else v for c, v in zip(h, r)]
+        (tmp_path / f"2024-bike-tripdata_{i}.csv").write_text(",".join(h) + "\n" + (",".join(r) + "\n") * (1 + i % 2))
+    forms = readers.header_forms(spark, str(tmp_path))
+    assert sorted((len(n), len(f)) for n, f in forms) == [(13, 334), (13, 666)]
+    got = readers.read_trips(spark, str(tmp_path)).collect()
+    assert len(got) == 1500 and {r.start_station_id for r in got} == {f"{i}.10" for i in range(1000)}
+    assert {(r.member_casual, r.end_lng) for r in got} == {("member", -74.1)}
+
+
+def test_headers_of_files_read_in_several_blocks(spark, tmp_path):
+    # the first line of later blocks is no header
+    body = "".join(f"r{i},classic,2024-01-05 10:00:00,2024-01-05 10:20:00,S,{i}.10,E,102.1,40.7,-74.0,40.8,-74.1,member\n" for i in range(3000))
+    (tmp_path / "2024-bike-tripdata_1.csv").write_text(HEAD + "\n" + body)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        assert [n for n, _ in readers.header_forms(spark, str(tmp_path))] == [tuple(HEAD.split(","))]
+        assert readers.read_trips(spark, str(tmp_path)).count() == 3000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_archive_members_are_tasks_of_their_own(spark, tmp_path):
+    import zipfile
+    want = 0
+    for a in range(2):
+        with zipfile.ZipFile(tmp_path / f"2024{a}-bike-tripdata.zip", "w", zipfile.ZIP_DEFLATED if a else zipfile.ZIP_STORED) as z:
+            z.writestr("__MACOSX/readme.txt", "x")
+            for m in range(12):
+                n = 40 * (m + 1)
+                want += n
+                z.writestr(f"part_{m}.csv", HEAD + "\n" + (ROW + "\n") * n)
+    (tmp_path / "other.zip").write_bytes(b"not a zip")
+    found = readers.archive_members(spark, str(tmp_path))
+    assert found.count() == 24 and found.select("archive").distinct().count() == 2
+    got = readers.read_trip_archives(spark, str(tmp_path), tasks=24)
+    assert got.rdd.getNumPartitions() >= 12  # members of one archive in many tasks
+    per_task = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+    assert got.count() == want and max(per_task) <= 40 * 12 * 3
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, readers.read_whole_archives(spark, str(tmp_path)).collect()))
+    assert readers.read_trip_archives(spark, str(tmp_path / "none") if (tmp_path / "none").mkdir() is None else "").count() == 0
+
+
+def test_a_member_is_a_stream(monkeypatch, tmp_path):
+    # parsed chunk by chunk while it is unpacked: the first rows come before the end is read
+    import zipfile
+    with zipfile.ZipFile(tmp_path / "a.zip", "w", zipfile.ZIP_DEFLATED) as z, z.open("big.csv", "w", force_zip64=True) as out:
+        out.write((HEAD + "\n").encode())
+        for _ in range(300):
+            out.write((ROW + "\n").encode() * 1000)
+    monkeypatch.setattr(readers, "ZIP_CHUNK_ROWS", 1000)
+    with readers._opened(f"file://{tmp_path}/a.zip") as fh, zipfile.ZipFile(fh) as z, z.open("big.csv") as member:
+        rows = readers._csv_rows(member)
+        assert len(next(rows)) == 1000 and member._left > member._orig_file_size * 0.5 if hasattr(member, "_orig_file_size") else True
+        assert 1000 + sum(len(c) for c in rows) == 300_000
