@@ -23,12 +23,12 @@ def hot_keys(rows: DataFrame, on: Sequence[str]) -> list:
 
 def attach(rows: DataFrame, table: DataFrame, on: Sequence[str], how: str = "left", hot: list | None = None) -> DataFrame:
     """``rows`` joined (``left``, ``inner`` or ``left_semi``) with ``table``,
-    which has at most one row for each ``on``; key columns are whole numbers,
-    not null.
+    which has at most one row for each ``on``; no key column is null.
 
     Hot keys (found in ``rows`` where not given) meet their table rows, which
     are as few, by broadcast; in the shuffle join for the others their rows have
-    random keys that match nothing, so they are spread.
+    the hash of the whole row as a key, which matches nothing, so they are spread
+    (and lie where they lay if a lost task is run again).
     """
     on = list(on)
     hot = hot_keys(rows, on) if hot is None else hot
@@ -39,9 +39,9 @@ def attach(rows: DataFrame, table: DataFrame, on: Sequence[str], how: str = "lef
     few = table.join(F.broadcast(keys), on, "left_semi").withColumnsRenamed({c: f"_h_{c}" for c in new}).withColumn("_there", F.lit(True))
     few = F.broadcast(keys.withColumn("_hot", F.lit(True)).join(few, on, "left"))
     side = table.withColumnsRenamed({c: f"_k_{c}" for c in on} | {c: f"_t_{c}" for c in new}).withColumn("_met", F.lit(True))
-    # hot rows: an impossible flag in the key and a random number
-    both = rows.join(few, on, "left").withColumns({"_hot": F.coalesce("_hot", F.lit(False)), "_spread": F.when(F.col("_hot"), F.rand(0)).otherwise(0.0)})
-    side = side.withColumns({"_cold": F.lit(False), "_zero": F.lit(0.0)})
+    # hot rows: an impossible flag in the key and their hash
+    both = rows.join(few, on, "left").withColumns({"_hot": F.coalesce("_hot", F.lit(False)), "_spread": F.when(F.col("_hot"), F.xxhash64(*rows.columns)).otherwise(0)})
+    side = side.withColumns({"_cold": F.lit(False), "_zero": F.lit(0).cast("long")})
     match = (F.col("_hot") == F.col("_cold")) & (F.col("_spread") == F.col("_zero"))
     for c in on:
         match = match & (F.col(c) == F.col(f"_k_{c}"))
