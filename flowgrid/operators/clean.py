@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from flowgrid.functions.columns import duration_minutes, haversine_km, normalize_station_id
 from flowgrid.operators.joins import bounded_broadcast
+from flowgrid.operators import sketches
 from flowgrid.operators.scan import exact_quantiles
 from flowgrid.session import materialize
 
@@ -62,10 +63,14 @@ def filter_duration_range(df: DataFrame, col: str = "duration_minutes", lo: floa
     return df.where(F.col(col).between(lo, hi))
 
 
-def trim_quantiles(df: DataFrame, col: str, lo: float = 0.01, hi: float = 0.99) -> DataFrame:
-    """Keep rows with q_lo <= col <= q_hi (exact interpolated quantiles).  The
-    two statistics come back as literals, so the filter is a plain predicate."""
-    q_lo, q_hi = exact_quantiles(df, col, [lo, hi])
+def trim_quantiles(df: DataFrame, col: str, lo: float = 0.01, hi: float = 0.99, method: str = "ordered") -> DataFrame:
+    """Keep rows with q_lo <= col <= q_hi.  The two statistics come back as
+    literals, so the filter is a plain predicate.  ``method`` is ``ordered``
+    (exact interpolated quantiles by an ordered scan), ``bounds`` (the same
+    values; a sketch limits what is ordered) or ``approximate`` (the sketch's
+    quantiles, within its rank error)."""
+    how = {"ordered": exact_quantiles, "bounds": sketches.quantiles_by_rank_bounds, "approximate": sketches.approx_quantiles}
+    q_lo, q_hi = how[method](df, col, [lo, hi])
     if q_lo is None:
         return df.where(F.lit(False))
     return df.where(F.col(col).between(F.lit(q_lo), F.lit(q_hi)))

@@ -91,9 +91,35 @@ def residual_stats(df: DataFrame, residual: str, by: Sequence[str]) -> DataFrame
                                F.round(F.stddev_pop(residual), 6).alias("std_pop"))
 
 
-def ks_two_sample(df: DataFrame, value: str, side: str, a, b) -> DataFrame:
+#: n_a * n_b up to which the exact p-value is counted on request
+KS_EXACT = 10_000_000
+
+
+def ks_exact_p(n: int, m: int, d: float) -> float:
+    """P(D >= d) of the two-sample statistic without ties, by counting lattice
+    paths: an order of the pooled values is a path of n steps right and m steps
+    up, and D < d if it stays where |i / n - j / m| < d.  Paths inside are
+    counted column by column as shares of all paths, so nothing overflows."""
+    reach = round(d * n * m)  # D is a whole multiple of 1 / (n m)
+    if reach <= 0:
+        return 1.0
+    # share[j]: paths to (i, j) inside, over all paths to (i, j)
+    share = [1.0 if j * n < reach else 0.0 for j in range(m + 1)]
+    for j in range(1, m + 1):
+        if not share[j - 1]:
+            share[j] = 0.0
+    for i in range(1, n + 1):
+        share[0] = share[0] if i * m < reach else 0.0
+        for j in range(1, m + 1):
+            inside = abs(i * m - j * n) < reach
+            share[j] = (share[j] * i + share[j - 1] * j) / (i + j) if inside else 0.0
+    return min(1.0, max(0.0, 1.0 - share[m]))
+
+
+def ks_two_sample(df: DataFrame, value: str, side: str, a, b, exact: bool = False) -> DataFrame:
     """D = sup |F_a - F_b| over the pooled values (ties aggregated first),
-    asymptotic p-value, drift flag.  The running difference of the two ECDFs
+    asymptotic p-value (``exact``: counted, for samples with n_a * n_b up to
+    ``KS_EXACT``), drift flag.  The running difference of the two ECDFs
     is a prefix sum over distinct values computed with the range-partition
     scan (no single-partition window)."""
     c = df.where(F.col(value).isNotNull()).groupBy(F.col(value).alias("v")).agg(
@@ -109,7 +135,7 @@ def ks_two_sample(df: DataFrame, value: str, side: str, a, b) -> DataFrame:
     s = prefix_scan(x, ["v"], "_x")
     d = s.agg(F.max(F.abs("_cum")).alias("d_stat"))
     lam = F.col("d_stat") * F.lit(math.sqrt(n_a * n_b / (n_a + n_b)))
-    p = _ks_p(lam)
+    p = F.lit(ks_exact_p(n_a, n_b, d.first()["d_stat"])) if exact and n_a * n_b <= KS_EXACT else _ks_p(lam)
     return d.select(F.round("d_stat", 9).alias("d_stat"), F.lit(n_a).cast("long").alias("n_a"),
                     F.lit(n_b).cast("long").alias("n_b"), F.round(p, 6).alias("p_value"),
                     (p < P_THRESHOLD).alias("drift"))

@@ -166,3 +166,66 @@ def report(checks: dict[str, DataFrame]) -> DataFrame:
         r = v.agg(F.count(F.lit(1)).alias("failures")).select(F.lit(name).alias("check_name"), "failures")
         out = r if out is None else out.unionByName(r)
     return out.withColumn("passed", F.col("failures") == 0)
+
+
+def failing(condition) -> Column:
+    """Rows for which a check's failure ``condition`` holds, as an aggregate."""
+    return F.count_if(condition)
+
+
+def failing_values(column: str, values: Sequence) -> Column:
+    """Distinct values outside ``values`` (null passes), as an aggregate."""
+    return F.count_distinct(F.when(~F.col(column).isin(*values), F.col(column)))
+
+
+def failing_proportion(column: str, at_least: float, at_most: float = 1.0) -> Column:
+    """1 if the share of non-null values is outside the bounds, as an aggregate."""
+    share = F.count(F.col(column)) / F.count(F.lit(1))
+    return F.when((share < at_least) | (share > at_most), 1).otherwise(0).cast("long")
+
+
+def with_relation(df: DataFrame, column: str, parent: DataFrame, parent_column: str, flag: str) -> DataFrame:
+    """``df`` with ``flag``: its non-null ``column`` is not in ``parent`` - a row
+    condition that goes with the other checks of the table's one scan."""
+    keys = parent.where(F.col(parent_column).isNotNull()).select(F.col(parent_column).alias("_parent")).distinct()
+    return (df.join(keys, F.col(column) == F.col("_parent"), "left")
+            .withColumn(flag, F.col(column).isNotNull() & F.col("_parent").isNull()).drop("_parent"))
+
+
+def row_check_report(df: DataFrame, checks: dict[str, Column]) -> DataFrame:
+    """(check_name, failures) of all ``checks`` of one table, aggregates of the
+    forms above, compiled into a single aggregate: one scan of the columns that
+    any of them needs, whatever their number."""
+    one = df.agg(*[c.cast("long").alias(name) for name, c in checks.items()])
+    return one.unpivot([], list(checks), "check_name", "failures")
+
+
+def unique_check_report(df: DataFrame, checks: dict[str, Sequence[str]]) -> DataFrame:
+    """(check_name, failures) of several uniqueness checks of one table in one
+    scan: grouping sets, one for each check's columns; nulls are left out by a
+    single column, as in ``unique``, and a value like others in combinations."""
+    cols = list(dict.fromkeys(c for by in checks.values() for c in by))
+    names, sets = list(checks), [list(by) for by in checks.values()]
+    bit = {c: 1 << (len(cols) - 1 - i) for i, c in enumerate(cols)}
+    ids = [sum(bit[c] for c in cols if c not in by) for by in sets]
+    if len(set(ids)) < len(ids):
+        raise ValueError("two checks have the same columns")
+    groups = df.groupingSets(sets, *cols).agg(F.count(F.lit(1)).alias("n_records"), F.grouping_id().alias("_set"))
+    said = F.create_map(*[x for i, name in zip(ids, names) for x in (F.lit(i).cast("long"), F.lit(name))])
+    complete = F.lit(False)
+    for i, by in zip(ids, sets):
+        here = F.col("_set") == i
+        complete = complete | (here & F.col(by[0]).isNotNull() if len(by) == 1 else here)
+    # every check has its row, also without a failure
+    found = groups.where(complete).groupBy(F.element_at(said, F.col("_set").cast("long")).alias("check_name")).agg(
+        F.count_if(F.col("n_records") > 1).alias("failures"))
+    every = df.sparkSession.createDataFrame([(n,) for n in names], "check_name string")
+    return F.broadcast(every).join(found, "check_name", "left").select("check_name", F.coalesce("failures", F.lit(0).cast("long")).alias("failures"))
+
+
+def fused_report(parts: Sequence[DataFrame]) -> DataFrame:
+    """One row per check (name, failures, passed) from the tables' reports."""
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.withColumn("passed", F.col("failures") == 0)

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from flowgrid.functions.dates import dateadd
@@ -111,6 +111,23 @@ def time_ordered_split(df: DataFrame, order: Sequence[str], ratio: float = 0.8)
         .drop("_one", "_cum", "_cummin", "_idx")
 
 
+def positional_split(spark: SparkSession, path: str, ratio: float = 0.8) -> DataFrame:
+    """The table at ``path`` (Parquet) with ``split`` = train for the first
+    ``ratio`` share of its rows as they are stored: files in name order, rows
+    in file order.  A row's position is its index in its file, which the reader
+    gives, plus the rows of the files before; no row is ordered or shuffled.
+    The counts of the files (one row each) meet their rows by broadcast."""
+    meta = spark.read.parquet(path).select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_at"))
+    sizes = meta.groupBy("_file").agg(F.count(F.lit(1)).alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    sizes = sizes.select("_file", before.alias("_before"), F.sum("_n").over(Window.orderBy(F.lit(1)).rowsBetween(
+        Window.unboundedPreceding, Window.unboundedFollowing)).alias("_all"))
+    cut = F.floor(F.col("_all") * F.lit(ratio))
+    return (meta.join(F.broadcast(sizes), "_file")
+            .withColumn("split", F.when(F.col("_before") + F.col("_at") < cut, F.lit("train")).otherwise(F.lit("test")))
+            .drop("_file", "_at", "_before", "_all"))
+
+
 def page_hinkley(df: DataFrame, value: str, order: Sequence[str], ref_mean: float, delta: float = 0.5,
                  lam: float = 10.0) -> DataFrame:
     """Page-Hinkley statistic per row: S_i = sum_{j<=i}(x_j - ref_mean - delta),

@@ -33,5 +33,14 @@ def memo(spark, sf_dir: str, name: str, build) -> DataFrame:
     return _MEMO[key]
 
 
+def memo_value(spark, sf_dir: str, name: str, build):
+    """``build()`` once per session, folder and state of the folder's tables (for
+    values that are no table, such as a fitted model)."""
+    key = (spark.sparkContext.applicationId, sf_dir, _state(spark, sf_dir), name)
+    if key not in _MEMO:
+        _MEMO[key] = build()
+    return _MEMO[key]
+
+
 def clear_memo() -> None:
     _MEMO.clear()

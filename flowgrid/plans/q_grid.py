@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from flowgrid.functions.columns import (COCO_LABELS, HOUR_BAND_EVENING, HOUR_BAND_MORNING, HOUR_BAND_REST,
                                         calendar_features, hour_band, weather_code_label, weather_flags)
-from flowgrid.operators import flow, profile, series, windows
+from flowgrid.operators import flow, profile, series, sketches, windows
 from flowgrid.plans import sqlparts as S
 from flowgrid.plans.q_mobility import WEATHER_DIGITS, final_trips, mob
 from flowgrid.plans.registry import query, with_adapters
@@ -406,6 +406,17 @@ def q_series_alignment(spark, sf_dir):
     return profile.series_alignment(grid(spark, sf_dir))
 
 
+@query("series_hour_sets", G("""SELECT station_id, count(DISTINCT date_hour)::DOUBLE AS n_points,
+  ((SELECT count(DISTINCT date_hour) FROM g_grid) - count(DISTINCT date_hour))::DOUBLE AS n_missing,
+  count(DISTINCT date_hour) = (SELECT count(DISTINCT date_hour) FROM g_grid) AS same_set
+FROM g_grid WHERE NOT (station_id LIKE '%7' AND day = 5) GROUP BY 1"""))
+def q_series_hour_sets(spark, sf_dir):
+    """Per station its hours and those it lacks of all stations' hours; the
+    stations ending in 7 have a day taken out."""
+    g = grid(spark, sf_dir).where(~(F.col("station_id").endswith("7") & (F.col("day") == 5)))
+    return sketches.series_overlap(g, "station_id", "date_hour")
+
+
 @query("distinct_count", with_adapters(S.TRIMMED_TRIPS + """
 SELECT count(DISTINCT start_station_id) AS n_start_stations, count(DISTINCT end_station_id) AS n_end_stations
 FROM c_final"""))
@@ -537,6 +548,13 @@ def q_time_ordered_split(spark, sf_dir):
     return windows.time_ordered_split(g, ["date_hour", "station_id"], 0.8)
 
 
+@query("positional_split", """SELECT o_orderkey, CASE WHEN file_row_number < floor((SELECT count(*) FROM orders) * 0.8)
+  THEN 'train' ELSE 'test' END AS split FROM (SELECT o_orderkey, row_number() OVER () - 1 AS file_row_number FROM orders)""")
+def q_positional_split(spark, sf_dir):
+    """80/20 cut by row position in the stored file, whatever the order of its values."""
+    return windows.positional_split(spark, f"{sf_dir}/orders.parquet", 0.8).select("o_orderkey", "split")
+
+
 # --------------------------------------------------------------------------- table profiles (trips / weather)
 
 TRIP_COLUMNS = ["id", "started_at", "ended_at", "start_station_id", "end_station_id", "rideable_type", "member_casual",

@@ -262,11 +262,14 @@ def q_insert_ignore(spark, sf_dir):
     return sinks.insert_ignore(tgt_path, batch, HKEYS)
 
 
-@query("insert_by_period", """WITH o AS (SELECT o_orderkey, o_orderdate, o_totalprice,
+BY_PERIOD_SQL = """WITH o AS (SELECT o_orderkey, o_orderdate, o_totalprice,
   datediff('month', TIMESTAMP '1995-02-20 00:00:00', o_orderdate) AS n FROM orders
   WHERE o_orderdate > TIMESTAMP '1995-02-20 00:00:00' AND o_orderdate < TIMESTAMP '2001-01-01 00:00:00')
 SELECT o_orderkey, o_orderdate, o_totalprice, strftime(TIMESTAMP '1995-02-20 00:00:00' + to_months(CAST(
-  CASE WHEN day(o_orderdate) < 20 THEN n - 1 ELSE n END AS INTEGER)), '%Y-%m-%d') AS period FROM o""")
+  CASE WHEN day(o_orderdate) < 20 THEN n - 1 ELSE n END AS INTEGER)), '%Y-%m-%d') AS period FROM o"""
+
+
+@query("insert_by_period", BY_PERIOD_SQL)
 def q_insert_by_period(spark, sf_dir):
     """Months counted from 1995-02-20: one load up to 1998, then the backfill
     resumes after its newest timestamp and appends every further month up to
@@ -279,6 +282,17 @@ def q_insert_by_period(spark, sf_dir):
     return spark.read.schema(schema).parquet(path)
 
 
+@query("insert_by_period_rewrite", BY_PERIOD_SQL)
+def q_insert_by_period_rewrite(spark, sf_dir):
+    """The same months after a load that stopped in the middle of one and a
+    repeated load: every touched month is replaced as a whole."""
+    o = TBL(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_totalprice")
+    path, start = scratch_path(spark, "orders-rewritten"), "1995-02-20 00:00:00"
+    sinks.rewrite_periods(o.where(F.col("o_orderkey") % 2 == 0), path, "o_orderdate", "1995-03-05 00:00:00", "month", start=start)
+    sinks.rewrite_periods(o, path, "o_orderdate", "1998-01-01 00:00:00", "month", start=start)
+    return sinks.rewrite_periods(o, path, "o_orderdate", "2001-01-01 00:00:00", "month", start=start)
+
+
 @query("append_evolving", G("""r AS (SELECT md5(station_id || '|' || strftime(date_hour, '%Y-%m-%d %H:%M:%S')) AS run_id,
   station_id, date_hour AS request_datetime, hour, coalesce(net_flow_roll_24, 0) AS prediction, month,
   """ + PERIOD_SQL + """ AS period FROM g_grid)

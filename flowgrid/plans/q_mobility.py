@@ -119,6 +119,14 @@ def q_trim_quantiles(spark, sf_dir):
     return clean.trim_quantiles(t, "duration_minutes", 0.01, 0.99).select("id")
 
 
+@query("trim_quantiles_by_bounds", with_adapters(S.TRIMMED_TRIPS + """
+SELECT id FROM c_qtrim"""))
+def q_trim_quantiles_by_bounds(spark, sf_dir):
+    """The same trim, exact: a rank sketch limits the values that are ordered."""
+    t = clean.filter_duration_range(clean.with_duration(valid_trips(spark, sf_dir)))
+    return clean.trim_quantiles(t, "duration_minutes", 0.01, 0.99, method="bounds").select("id")
+
+
 @query("exact_percentiles", with_adapters("""
 SELECT event_type, quantile_cont(value, 0.01) AS p01, quantile_cont(value, 0.5) AS p50,
        quantile_cont(value, 0.99) AS p99 FROM events GROUP BY event_type"""))

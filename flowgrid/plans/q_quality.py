@@ -280,17 +280,6 @@ def q_generate_series(spark, sf_dir):
 
 # --------------------------------------------------------------------------- report
 
-def _checks(spark, sf_dir) -> dict[str, DataFrame]:
-    return {
-        "dq_not_null": q_dq_not_null(spark, sf_dir),
-        "dq_unique": q_dq_unique(spark, sf_dir),
-        "dq_accepted_values": q_dq_accepted_values(spark, sf_dir),
-        "dq_accepted_range": q_dq_accepted_range(spark, sf_dir),
-        "dq_not_null_proportion": q_dq_not_null_proportion(spark, sf_dir),
-        "dq_relationships_where": q_dq_relationships_where(spark, sf_dir),
-        "dq_unique_combination": q_dq_unique_combination(spark, sf_dir),
-    }
-
 
 @query("dq_report", with_adapters(S.WEATHER + """
 SELECT 'dq_not_null' AS check_name, (SELECT count(*) FROM a_trips WHERE member_casual IS NULL) AS failures
@@ -308,5 +297,17 @@ UNION ALL SELECT 'dq_unique_combination', (SELECT count(*) FROM (SELECT o_custke
     "SELECT 'dq_not_null' AS check_name,", "SELECT *, failures = 0 AS passed FROM (SELECT 'dq_not_null' AS check_name,")
     + ")")
 def q_dq_report(spark, sf_dir):
-    """One row per check (name, failures, passed); all counts in one job."""
-    return Q.report(_checks(spark, sf_dir))
+    """One row per check (name, failures, passed): the row checks of a table are
+    one aggregate over one scan of it, uniqueness checks one grouped scan."""
+    from flowgrid.functions.columns import hour_floor
+    trips = Q.row_check_report(mob(spark, sf_dir)["trips"], {
+        "dq_not_null": Q.failing(F.col("member_casual").isNull()),
+        "dq_accepted_values": Q.failing_values("rideable_type", ["view", "click", "purchase"]),
+        "dq_not_null_proportion": Q.failing_proportion("end_station_id", 0.999)})
+    li = Q.with_relation(T(spark, sf_dir, "lineitem"), "l_partkey", T(spark, sf_dir, "part").where("p_size > 10"), "p_partkey", "orphan")
+    items = Q.row_check_report(li, {
+        "dq_accepted_range": Q.failing(~F.col("l_quantity").between(1, 45)),
+        "dq_relationships_where": Q.failing((F.col("l_quantity") > 10) & F.col("orphan"))})
+    hours = Q.unique_check_report(mob(spark, sf_dir)["weather"].select(hour_floor("time").alias("date_hour")), {"dq_unique": ["date_hour"]})
+    orders = Q.unique_check_report(T(spark, sf_dir, "orders"), {"dq_unique_combination": ["o_custkey", "o_orderstatus"]})
+    return Q.fused_report([trips, items, hours, orders])

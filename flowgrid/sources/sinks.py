@@ -133,6 +133,30 @@ def backfill_by_period(source: DataFrame, target_path: str, ts: str, stop, perio
     return spark.read.schema(batch.schema).parquet(target_path)  # declared: the table may still be empty
 
 
+def rewrite_periods(source: DataFrame, target_path: str, ts: str, stop, period: str = "month", start=None) -> DataFrame:
+    """Insert-by-period that replaces whole periods: from the start of the
+    newest loaded one up to ``stop`` minus one millisecond, every period that is
+    touched is written anew from ``source`` and takes the place of its old
+    partition when the job commits (dynamic partition overwrite); periods
+    before it stay untouched.  A load that failed, ran twice or came with half
+    of a period's rows is put right by the next one, and late rows of the newest
+    period come in.  ``start`` as in ``backfill_by_period``."""
+    spark: SparkSession = source.sparkSession
+    hi = None
+    if _path_exists(spark, target_path):
+        listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(target_path)  # names only, no file is opened
+        hi = listed.agg(F.max(F.url_decode(F.regexp_extract("path", "/period=([^/]+)/", 1)))).first()[0] or None
+    name = F.date_format(period_start(ts, period, start), "yyyy-MM-dd HH" if period == "hour" else "yyyy-MM-dd")
+    cond = F.col(ts) < F.timestamp_add("MILLISECOND", F.lit(-1), ntz_lit(stop))
+    if start is not None:
+        cond = cond & (F.col(ts) > ntz_lit(start))
+    if hi is not None:
+        cond = cond & (F.col("period") >= hi)
+    batch = source.withColumn("period", name).where(cond)
+    batch.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("period").parquet(target_path)
+    return spark.read.schema(batch.schema).parquet(target_path)
+
+
 def append_evolving(target_path: str, batch: DataFrame) -> tuple[DataFrame, list[str], list[str]]:
     """Append with additive schema evolution: columns the batch lacks are null,
     new batch columns are added (reported once: the table's schema is that of
