@@ -406,8 +406,8 @@ def q_series_alignment(spark, sf_dir):
     return profile.series_alignment(grid(spark, sf_dir))
 
 
-@query("series_hour_sets", G("""SELECT station_id, count(DISTINCT date_hour)::DOUBLE AS n_points,
-  ((SELECT count(DISTINCT date_hour) FROM g_grid) - count(DISTINCT date_hour))::DOUBLE AS n_missing,
+@query("series_hour_sets", G("""SELECT station_id, count(DISTINCT date_hour)::BIGINT AS n_points,
+  ((SELECT count(DISTINCT date_hour) FROM g_grid) - count(DISTINCT date_hour))::BIGINT AS n_missing,
   count(DISTINCT date_hour) = (SELECT count(DISTINCT date_hour) FROM g_grid) AS same_set
 FROM g_grid WHERE NOT (station_id LIKE '%7' AND day = 5) GROUP BY 1"""))
 def q_series_hour_sets(spark, sf_dir):
