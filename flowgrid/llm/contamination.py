@@ -170,7 +170,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
     the hit word spans and the ids of the items that occur."""
     sc = docs.sparkSession.sparkContext
     source = docs.select(F.col(id_col).cast("long").alias("_id"),
-                         F.crc32(F.coalesce(F.col(text_col), F.lit("")).cast("binary")).alias("_key"),
+                         F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("_key"),
                          F.col(text_col).alias("_text"))
     found = []
     for block in blocks(benchmark, window, max_patterns, item_col, item_text_col):
@@ -213,10 +213,12 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDO
     """The rows of ``docs`` (all columns) without an occurrence of any pattern;
     blocks of patterns are filters one after the other, without a shuffle."""
     sc = docs.sparkSession.sparkContext
+    names = docs.columns
+    docs = docs.toDF(*[f"c{i}" for i in range(len(names))])  # any input names, dots included
     for block in blocks(benchmark, window, max_patterns, item_col, item_text_col):
-        shared = sc.broadcast(([Matcher(n, ps) for n, ps in sorted(block.items())], docs.columns.index(text_col)))
+        shared = sc.broadcast(([Matcher(n, ps) for n, ps in sorted(block.items())], names.index(text_col)))
         docs = docs.mapInArrow(_dropper(shared), docs.schema)
-    return docs
+    return docs.toDF(*names)
 
 
 def merge_spans(spans):

@@ -49,7 +49,7 @@ def line_table(docs: DataFrame, site: Column, id_col: str = "doc_id", text_col:
 
 
 def _checksum(text: Column) -> Column:
-    return F.crc32(F.coalesce(text, F.lit("")).cast("binary"))
+    return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
 def line_sketches(lines: DataFrame, lg_k: int = LG_K) -> DataFrame:

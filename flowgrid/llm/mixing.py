@@ -9,9 +9,12 @@ document gets the full passes, the documents first in that order one more, and
 the document at the boundary the part that is left, so a source's total meets
 its target to the word wherever the flow allows it.
 
-The running word count over a pattern never sits in one task: documents are
-dealt into bins of the seeded hash, bin sums are prefix-summed on the small
-table, and only the documents of one bin are ordered together.
+The running word count over a pattern never sits in one task: rows are
+range-partitioned on pattern, seeded hash, id, size, text hash and a row
+number, so a pattern, an id on a third of the rows or rows equal in everything
+are split over tasks (``spread.running``).  Sources and their targets are
+tables; the driver holds patterns and sources only where several patterns
+compete for a source, because there the flow has something to decide.
 
 Edge cases: null text has size 0; a null source is a source of its own, last in
 order; documents without any source (empty membership) take 0; a null doc_id
@@ -19,8 +22,9 @@ hashes as "null"; rows that repeat a doc_id count like any other rows (their
 order among themselves is by size, then by text).  Sources of size 0 get
 target 0.  An empty table gives an empty result.  Extra columns are ignored.
 
-Bounds: the driver holds one row per pattern and per source, at most
-``MAX_PATTERNS`` of each; more raise an error.
+Bounds: any number of sources.  The driver holds one row for each competing
+pattern and each of their sources, at most ``MAX_PATTERNS`` of each; more raise
+an error.
 """
 
 from __future__ import annotations
@@ -29,15 +33,15 @@ from collections import deque
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.window import Window
+
+from flowgrid.llm.spread import attach, hot_keys, running
+from flowgrid.session import materialize
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 MAX_PASSES = 2
 SEED = "mix-1"
 MAX_PATTERNS = 20_000
-BIN_DOCS = 4096
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -45,13 +49,13 @@ def targets(sizes: dict[str | None, int], weights: dict[str | None, float], tota
             limit: float = MAX_PASSES) -> dict[str | None, float]:
     """Share ``total`` by weight; a source stops at ``limit`` times its size and
     its excess goes to the others by weight."""
-    open_, left, weight = [], total, sum(weights[s] for s in sizes)
+    open_, left, weight = set(), total, sum(weights[s] for s in sizes)
     for s in sorted(sizes, key=lambda s: limit * sizes[s] / weights[s]):
         if limit * sizes[s] < left / weight * weights[s]:
             left -= limit * sizes[s]
             weight -= weights[s]
         else:
-            open_.append(s)
+            open_.add(s)
     level = left / weight if open_ else 0.0
     return {s: level * weights[s] if s in open_ else float(limit * sizes[s]) for s in sizes}
 
@@ -143,57 +147,94 @@ def size_of(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def source_targets(sources: DataFrame, total: float, weights: tuple = WEIGHTS, limit: float = MAX_PASSES) -> DataFrame:
+    """``sources`` (src, source_size) with ``target``: the shares of ``total`` by
+    cycled weight, each stopped at ``limit`` times its size and its excess given
+    to the others (``targets`` as tables, for any number of sources).
+
+    In the order of cap / weight the sources before some place stop at their cap
+    and those from it on share what is left; that place is the first whose cap
+    reaches its share.  Running sums come from ordered scans; one number, the
+    level, passes through the driver."""
+    by = ["_none", "src"]
+    place = running(sources.withColumns({"_one": F.lit(1).cast("long"), "_none": F.col("src").isNull()}), "_one", by)
+    cycled = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), ((F.col("place") - 1) % len(weights) + 1).cast("int"))
+    cap = F.lit(float(limit)) * F.col("source_size")
+    s = place.withColumns({"_w": cycled, "_cap": cap}).drop("place").withColumns({"_k": F.col("_cap") / F.col("_w"), "_cw": F.col("_w"), "_cc": F.col("_cap")})
+    s = materialize(running(s, "_one", ["_k", *by], sums=["_cw", "_cc"]), "mix-sources")
+    all_weight = s.agg(F.sum("_w")).first()[0] or 0.0
+    level = (F.lit(float(total)) - (F.col("_cc") - F.col("_cap"))) / (F.lit(all_weight) - (F.col("_cw") - F.col("_w")))
+    found = s.where(F.col("_k") >= level).agg(F.min_by(level, F.struct("_k", *by))).first()[0]
+    target = F.col("_cap") if found is None else F.least(F.col("_cap"), F.lit(found) * F.col("_w"))
+    return s.select("src", "source_size", target.alias("target"))
+
+
+def _plan(patterns: DataFrame, weights: tuple, share: float, max_passes: int) -> DataFrame:
+    """Per pattern ``_key``: full passes ``_full``, words of one more ``_rest``,
+    and ``source_size`` / ``target`` of its sources.
+
+    A pattern of one source that no pattern of several shares has one arc, so
+    its flow is its source's quota: these, any number of them, are joined.  The
+    flow itself runs on the patterns that compete for a source."""
+    spark = patterns.sparkSession
+    patterns = materialize(patterns, "mix-patterns")
+    total = patterns.agg(F.sum("size")).first()[0] or 0
+    sizes = patterns.select(F.explode("src").alias("src"), "size").groupBy("src").agg(F.sum("size").alias("source_size"))
+    goal = materialize(source_targets(sizes, share * total, weights, max_passes), "mix-targets")
+    shared = patterns.where(F.size("src") > 1).select(F.explode("src").alias("src")).distinct()
+    # null is a source like others
+    single = patterns.where(F.size("src") == 1).select("_key", "size", F.get("src", F.lit(0)).alias("src"))
+    lone = single.join(shared.withColumnRenamed("src", "_s"), F.col("src").eqNullSafe(F.col("_s")), "left_anti")
+    lone = lone.join(goal.withColumnRenamed("src", "_g"), F.col("src").eqNullSafe(F.col("_g")))
+    quota = F.floor(F.col("target") + 0.5)
+    some = F.col("size") > 0
+    lone = lone.select("_key", F.when(some, F.floor(quota / F.when(some, F.col("size")))).otherwise(0).cast("long").alias("_full"),
+                       F.when(some, quota % F.when(some, F.col("size"))).otherwise(0).cast("long").alias("_rest"),
+                       F.array("source_size").alias("source_size"), F.array("target").alias("target"))
+    rest = patterns.join(lone.select("_key"), "_key", "left_anti").limit(MAX_PATTERNS + 1).collect()
+    if len(rest) > MAX_PATTERNS:
+        raise ValueError(f"more than {MAX_PATTERNS} membership patterns compete for sources")
+    rows = []
+    if rest:
+        wanted = shared.join(goal.withColumnRenamed("src", "_g"), F.col("src").eqNullSafe(F.col("_g"))).limit(MAX_PATTERNS + 1).collect()
+        if len(wanted) > MAX_PATTERNS:
+            raise ValueError(f"more than {MAX_PATTERNS} sources in competing membership patterns")
+        source_size, target = ({r["src"]: r[c] for r in wanted} for c in ("source_size", "target"))
+        sized = {tuple(r["src"]): r["size"] for r in rest}
+        flow = route(sized, {x: int(t + 0.5) for x, t in target.items()}, max_passes)
+        for r in rest:
+            p = tuple(r["src"])
+            full, left = divmod(sum(flow[p].values()), r["size"]) if r["size"] else (0, 0)
+            rows.append((r["_key"], full, left, [source_size[x] for x in p], [target[x] for x in p]))
+    return lone.unionByName(spark.createDataFrame(rows, "_key string, _full long, _rest long, source_size array<long>, target array<double>"))
+
+
 def mix(docs: DataFrame, membership: Column, weights: tuple = WEIGHTS, share: float = SHARE,
         max_passes: int = MAX_PASSES, seed: str = SEED, id_col: str = "doc_id", text_col: str = "text",
         keep: list[str] | None = None) -> DataFrame:
     """Per document row: ``size``, its ``sources`` (array), ``taken`` words and
     ``source_size`` / ``target`` of its sources (arrays aligned with ``sources``).
 
-    ``keep`` names input columns to carry, as ``k_<name>``.
+    ``keep`` names input columns to carry, as ``k_0``, ``k_1``, ... in that order.
     """
     spark = docs.sparkSession
     membership = F.coalesce(membership, F.array().cast("array<string>"))
     nulls_last = F.concat(F.array_sort(F.array_compact(F.array_distinct(membership))),
                           F.filter(F.array_distinct(membership), lambda x: x.isNull()))
-    rows = docs.select(*[F.col(c).alias(f"k_{c}") for c in keep or []], F.col(id_col).alias("_id"), nulls_last.alias("_src"),
-                       size_of(F.col(text_col)).alias("_size"),
-                       F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col).cast("string"), F.lit("null")))).alias("_h"),
-                       F.crc32(F.coalesce(F.col(text_col), F.lit("")).cast("binary")).alias("_t"))
-    rows = rows.withColumn("_key", F.to_json("_src"))
-
-    table = (rows.groupBy("_key").agg(F.first("_src").alias("src"), F.sum("_size").alias("size"), F.count("*").alias("n"))
-             .limit(MAX_PATTERNS + 1).collect())
-    if len(table) > MAX_PATTERNS:
-        raise ValueError(f"more than {MAX_PATTERNS} membership patterns")
-    pattern_size = {tuple(r["src"]): r["size"] for r in table}
-    source_size: dict[str | None, int] = {}
-    for p, n in pattern_size.items():
-        for x in p:
-            source_size[x] = source_size.get(x, 0) + n
-    goal = targets(source_size, cycle_weights(list(source_size), weights), share * sum(pattern_size.values()), max_passes)
-    flow = route(pattern_size, {x: int(g + 0.5) for x, g in goal.items()}, max_passes)
-
-    # pattern -> full passes, words of one more pass, bins
-    n_bins = max(1, sum(r["n"] for r in table) // BIN_DOCS)
-    plan = []
-    for r in table:
-        p = tuple(r["src"])
-        words = sum(flow[p].values())
-        full, rest = divmod(words, r["size"]) if r["size"] else (0, 0)
-        plan.append((r["_key"], full, rest, [source_size[x] for x in p], [goal[x] for x in p]))
-    plan_df = spark.createDataFrame(plan, T.StructType([
-        T.StructField("_key", T.StringType()), T.StructField("_full", T.LongType()), T.StructField("_rest", T.LongType()),
-        T.StructField("source_size", T.ArrayType(T.LongType())), T.StructField("target", T.ArrayType(T.DoubleType()))]))
-    hashed = F.conv(F.substring("_h", 1, 8), 16, 10).cast("long")
-    rows = rows.withColumn("_bin", F.shiftright(hashed * n_bins, 32).cast("int"))
-    before = (rows.groupBy("_key", "_bin").agg(F.sum("_size").alias("_s"))
-              .withColumn("_before", F.sum("_s").over(Window.partitionBy("_key").orderBy("_bin")) - F.col("_s")).drop("_s"))
-    inner = Window.partitionBy("_key", "_bin").orderBy("_h", "_id", "_size", "_t").rowsBetween(Window.unboundedPreceding, -1)
-    placed = (rows.join(before, ["_key", "_bin"])
-              .withColumn("_cum", F.col("_before") + F.coalesce(F.sum("_size").over(inner), F.lit(0)))
-              .join(F.broadcast(plan_df), "_key"))
+    thin = docs.select(F.col(f"`{id_col}`").alias("_id"), nulls_last.alias("_src"), size_of(F.col(f"`{text_col}`")).alias("_size"),
+                       F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("null")))).alias("_h"),
+                       F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))).alias("_t"),
+                       *[F.col(f"`{c}`").alias(f"k_{i}") for i, c in enumerate(keep or [])])
+    carried = [f"k_{i}" for i in range(len(keep or []))]
+    # every text is searched once; equal rows have a number of their own, so they can be dealt apart
+    rows = materialize(thin.withColumns({"_key": F.to_json("_src"), "_n": F.monotonically_increasing_id()}), "mix-rows")
+    plan = _plan(rows.groupBy("_key").agg(F.first("_src").alias("src"), F.sum("_size").alias("size")), weights, share, max_passes)
+    order = running(rows.select("_key", "_h", "_id", "_size", "_t", "_n", F.col("_size").alias("_cum")), "_key", ["_h", "_id", "_size", "_t", "_n"],
+                    sums=["_cum"]).select("_n", (F.col("_cum") - F.col("_size")).alias("_cum"))
+    hot = hot_keys(rows, ["_key"])
+    placed = attach(rows.join(order, "_n"), plan, ["_key"], "inner", hot=hot)
     extra = F.greatest(F.lit(0), F.least(F.col("_size"), F.col("_rest") - F.col("_cum")))
-    return placed.select(*[f"k_{c}" for c in keep or []], F.col("_id").alias(id_col), F.col("_src").alias("sources"),
+    return placed.select(*carried, F.col("_id").alias(id_col), F.col("_src").alias("sources"),
                          F.col("_size").alias("size"), "source_size", "target",
                          (F.col("_full") * F.col("_size") + extra).cast("long").alias("taken"))
 
@@ -206,4 +247,4 @@ def repeat_documents(docs: DataFrame, membership: Column, id_col: str = "doc_id"
     passes = F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size")) + (2 * part >= F.col("size")).cast("int")).otherwise(0)
     taken = mixed.withColumn("_passes", passes.cast("int")).filter(F.col("_passes") > 0)
     copies = taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_passes"))))
-    return copies.select(*[F.col(f"k_{c}").alias(c) for c in docs.columns])
+    return copies.select(*[F.col(f"k_{i}") for i in range(len(docs.columns))]).toDF(*docs.columns)

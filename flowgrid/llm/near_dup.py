@@ -285,17 +285,17 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
 
 def keep_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` (all columns) with one document, a (doc_id, text),
-    of each component: that of the smallest id.  Of rows equal in both one
-    stays, rows with a null id all stay; an id's other texts are documents of
-    their own."""
-    known = docs.filter(F.col(id_col).isNotNull())
-    if known.groupBy(id_col).count().filter(F.col("count") > 1).isEmpty():
+    of each component: that of the smallest id, one with an id before one
+    without.  Of rows equal in both one stays; an id's other texts, and texts
+    without an id, are documents of their own."""
+    if docs.groupBy(id_col).count().filter(F.col(id_col).isNull() | (F.col("count") > 1)).isEmpty():
         return keep_one(docs, id_col=id_col, text_col=text_col, **options)
     tail = "_".join(c for c in docs.columns if c.startswith(("_digest_", "_node_")))
     digest, node = f"_digest_{tail}", f"_node_{tail}"
     # numbers in (id, digest) order, so the smallest of a component has the smallest id; written, so they stay
-    numbered = materialize(known.withColumn(digest, F.coalesce(F.sha2(F.col(text_col).cast("binary"), 256), F.lit("")))
-                           .dropDuplicates([id_col, digest]).repartitionByRange(id_col, digest).sortWithinPartitions(id_col, digest)
+    order = [F.col(id_col).isNull(), F.col(id_col), F.col(digest)]
+    numbered = materialize(docs.withColumn(digest, F.coalesce(F.sha2(F.col(text_col).cast("binary"), 256), F.lit("")))
+                           .dropDuplicates([id_col, digest]).repartitionByRange(*order).sortWithinPartitions(*order)
                            .withColumn(node, F.monotonically_increasing_id()), "documents")
     kept = keep_one(numbered, id_col=node, text_col=text_col, **options)
-    return kept.select(*docs.columns).unionByName(docs.filter(F.col(id_col).isNull()))
+    return kept.drop(digest, node)

@@ -64,9 +64,11 @@ def assign_shards(docs: DataFrame, shards: list[str] = SHARDS, slots: int = SLOT
     """``docs`` with ``slot`` and ``shard``."""
     spark: SparkSession = docs.sparkSession
     table = fill_table(shards, slots, weights)
-    place = spark.createDataFrame([(i, s) for i, s in enumerate(table)], "__slot int, __shard string")
-    other = F.col(fallback) if fallback in docs.columns else F.lit("")
-    kept = [F.col(c) for c in docs.columns if c not in ("slot", "shard")]
-    placed = docs.select(*kept, slot_of(F.col(key), other, slots).alias("slot"))
-    return (placed.join(F.broadcast(place), F.col("slot") == F.col("__slot"), "left")
-            .select(*[c for c in placed.columns], F.col("__shard").alias("shard")))
+    names = [c for c in docs.columns if c not in ("slot", "shard")]
+    # columns by position: no input name, dotted or not, meets one of ours
+    numbered = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    at = {c: F.col(f"c{i}") for i, c in enumerate(docs.columns)}
+    placed = numbered.select(*[at[c] for c in names], slot_of(at[key], at.get(fallback, F.lit("")), slots).alias("slot"))
+    place = spark.createDataFrame([(i, s) for i, s in enumerate(table)], "slot int, shard string")
+    out = placed.join(F.broadcast(place), "slot", "left").select(*placed.columns, "shard")
+    return out.toDF(*names, "slot", "shard")

@@ -17,7 +17,7 @@ Map side, per Arrow batch: super-k-mers with equal words are combined; only
 the first of them is sent, the windows of the others are already known to be
 repeats.  Strings for one bucket are compressed into one row.
 
-A document is (doc_id, checksum of its text); rows that repeat both are one
+A document is (doc_id, 64-bit hash of its text); rows that repeat both are one
 document.
 """
 
@@ -119,8 +119,8 @@ def _span_hash(h: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray
 
 
 def _batches(batches: Iterator[pa.RecordBatch]):
-    """Parts of batches: ids, checksums, squeezed text, word ranges, hashes, ptr;
-    documents of one part are in (id, checksum) order."""
+    """Parts of batches: ids, hashes, squeezed text, word ranges, hashes, ptr;
+    documents of one part are in (id, hash) order."""
     for batch in batches:
         ids = batch.column("_id").fill_null(NO_ID).to_numpy(zero_copy_only=False).astype(np.int64)
         keys = batch.column("_key").to_numpy(zero_copy_only=False).astype(np.int64)
@@ -203,7 +203,7 @@ def _pack(window: int, mer: int, n_buckets: int, shared):
                 i = order[a:b]
                 j = i[own[i]]
                 loads.append(_dump(
-                    [ids[p.doc[i]], keys[p.doc[i]].astype(np.uint32), rel[i], p.n[i].astype(np.int32), own[i], p.value[j],
+                    [ids[p.doc[i]], keys[p.doc[i]].astype(np.int64), rel[i], p.n[i].astype(np.int32), own[i], p.value[j],
                      (p.anchor[j] - p.first[j]).astype(np.int32), copied[j]],
                     b"\n".join([body[x:y] for x, y in zip(lo[j].tolist(), hi[j].tolist())])))
                 names.append(int(bucket[i[0]]))
@@ -211,7 +211,7 @@ def _pack(window: int, mer: int, n_buckets: int, shared):
     return pack
 
 
-_KINDS = [np.int64, np.uint32, np.int32, np.int32, bool, np.uint64, np.int32, bool]
+_KINDS = [np.int64, np.int64, np.int32, np.int32, bool, np.uint64, np.int32, bool]
 
 
 def _dump(arrays: list[np.ndarray], body: bytes) -> bytes:
@@ -321,14 +321,14 @@ def window_codes(cls: np.ndarray, doc: np.ndarray, key: np.ndarray, start: np.nd
 
 def source_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).cast("long").alias("_id"),
-                       F.crc32(F.coalesce(F.col(text_col), F.lit("")).cast("binary")).alias("_key"),
+                       F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("_key"),
                        F.col(text_col).alias("_text"))
 
 
 def window_runs(docs: DataFrame, judge: Callable[[Bucket], np.ndarray], window: int, mer: int,
                 id_col: str = "doc_id", text_col: str = "text", firsts: bool = False,
                 bucket_bytes: int = BUCKET_BYTES, hot_share: float = HOT_SHARE) -> DataFrame:
-    """Runs of windows whose words also start earlier, by (doc_id, checksum,
+    """Runs of windows whose words also start earlier, by (doc_id, hash,
     word): ``doc_id``, ``text_key``, ``start`` (0-based), ``n`` windows, ``late``
     true; with ``firsts`` also the runs of windows that are the first of several
     (``late`` false).  A null doc_id is ``NO_ID`` (before all others)."""

@@ -5,12 +5,13 @@ the whole text.  The pairwise part lets two terms mean more together (an insult
 next to a mention of a group) than their weights add up to.
 
 Terms are lower-cased words ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` and, for longer
-words, their first ``STEM`` bytes (compounds and inflections of a word share
+words, their first ``STEM`` characters (compounds and inflections of a word share
 them), by their 64-bit hash.  The model is fitted on at most ``TRAIN_ROWS`` labelled
-documents (the smallest hashes of doc_id among those allowed).  Spark counts
-terms against labels there; terms with a significant association, alone or
-among documents that hold such a term already, are kept (at most ``MAX_TERMS``
-of either kind), and the machine is fitted to those by mini-batch AdaGrad.
+texts (the smallest hashes of doc_id among those allowed, each (doc_id, text)
+once).  Spark counts terms against labels there; all terms with a significant
+association, alone or among documents that hold one of the ``OPENERS`` most
+significant ones, are kept, and the machine is fitted to those by mini-batch
+AdaGrad.
 Scoring is one pass over all documents with the small model broadcast.
 
 Edge cases: null labels are ignored, of several labels of a document the
@@ -35,7 +36,7 @@ from flowgrid.llm import text as tx
 
 STEM = 5
 TRAIN_ROWS = 20_000
-MAX_TERMS = 1024
+OPENERS = 256
 MIN_Z = 6.0
 FACTORS = 8
 EPOCHS = 20
@@ -57,8 +58,10 @@ def _terms(batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray, np.nda
     data, offsets = tx.utf8(batch.column("_text"))
     for lo, hi in tx.spans(offsets):
         w = tx.words(*tx.part(data, offsets, lo, hi), tx.ALNUM, lower=True)
-        long = w.ends - w.starts > STEM
-        stem = w._replace(starts=w.starts[long], ends=w.starts[long] + STEM)
+        lead = np.flatnonzero((w.data & 0xC0) != 0x80)  # first bytes of characters
+        at = np.searchsorted(lead, w.starts)
+        long = np.searchsorted(lead, w.ends) - at > STEM
+        stem = w._replace(starts=w.starts[long], ends=lead[at[long] + STEM])
         term = np.concatenate([tx.word_hashes(w), tx.mix(tx.word_hashes(stem))])  # a stem is not the word of that spelling
         doc = w.docs()
         yield lo, hi, np.concatenate([doc, doc[long]]), term
@@ -85,9 +88,9 @@ def _spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                              names=["y", "terms"])
 
 
-def _association(rows: DataFrame, max_terms: int, min_z: float, known: set[int] = frozenset()) -> list[int]:
-    """Terms whose share differs between the labels, most significant first,
-    without the known ones."""
+def _association(rows: DataFrame, min_z: float, known: set[int] = frozenset()) -> list[int]:
+    """All terms whose share differs between the labels by ``min_z`` standard
+    errors, most significant first, without the known ones."""
     total = rows.agg(F.count("*").alias("n"), F.sum("y").alias("pos")).first()
     n, pos = total["n"], total["pos"] or 0
     if not pos or pos == n:
@@ -96,32 +99,34 @@ def _association(rows: DataFrame, max_terms: int, min_z: float, known: set[int]
     share = F.col("df") / n
     z = F.abs(F.col("a") / pos - (F.col("df") - F.col("a")) / (n - pos)) / F.sqrt(share * (1 - share) * (1 / pos + 1 / (n - pos)))
     z = F.when((F.col("df") >= 3) & (F.col("df") < n), z)
-    top = c.withColumn("z", z).filter(F.col("z") >= min_z).orderBy(F.desc("z"), "t").limit(max_terms + len(known)).select("t").collect()
-    return [r["t"] for r in top if r["t"] not in known][:max_terms]
+    top = c.withColumn("z", z).filter(F.col("z") >= min_z).orderBy(F.desc("z"), "t").select("t").collect()
+    return [r["t"] for r in top if r["t"] not in known]
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, allowed: Column, label: str, id_col: str, text_col: str,
                   train_rows: int) -> DataFrame:
-    """(y, terms) of the bounded training sample."""
-    known = (labels.filter(F.col(label).isNotNull() & F.col(id_col).isNotNull()).select(F.col(id_col).alias("_l"), F.col(label).cast("int").alias("_y"))
-             .groupBy("_l").agg(F.max("_y").alias("_y"))
-             .join(docs.filter(allowed).select(F.col(id_col).alias("_l")).distinct(), "_l", "left_semi")
-             .orderBy(F.xxhash64("_l"), "_l").limit(train_rows))
-    # at most train_rows small rows: the broadcast is bounded
-    rows = docs.select(F.col(id_col).alias("_l"), F.col(text_col).alias("_text")).join(F.broadcast(known), "_l").select("_y", "_text")
+    """(y, terms) of the bounded training sample: at most ``train_rows`` texts,
+    each (id, text) once however often it is repeated."""
+    named = (labels.filter(F.col(label).isNotNull() & F.col(id_col).isNotNull()).select(F.col(id_col).alias("_l"), F.col(label).cast("int").alias("_y"))
+             .groupBy("_l").agg(F.max("_y").alias("_y")))
+    texts = docs.filter(allowed).select(F.col(id_col).alias("_l"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("_d"), F.col(text_col).alias("_text"))
+    known = texts.select("_l", "_d").distinct().join(named, "_l").orderBy(F.xxhash64("_l"), "_l", "_d").limit(train_rows)
+    # at most train_rows small rows: the broadcast is bounded, and so is what the aggregate keeps
+    rows = (texts.join(F.broadcast(known), ["_l", "_d"]).groupBy("_l", "_d").agg(F.first("_y").alias("_y"), F.first("_text").alias("_text"))
+            .select("_y", "_text"))
     return rows.mapInArrow(_spell, "y int, terms array<long>")
 
 
-def fit(rows: DataFrame, max_terms: int = MAX_TERMS, min_z: float = MIN_Z, factors: int = FACTORS, epochs: int = EPOCHS,
+def fit(rows: DataFrame, min_z: float = MIN_Z, factors: int = FACTORS, epochs: int = EPOCHS, openers: int = OPENERS,
         seed: int = 7) -> Model | None:
-    """Fit the machine; None without training rows."""
+    """Fit the machine; None without training rows.  Every term of the sample
+    that passes the test is in the model; the ``openers`` most significant ones
+    say which documents the second, conditional test looks at."""
     rows = rows.persist()
-    kept = _association(rows, max_terms, min_z)
+    kept = _association(rows, min_z)
     if kept:
-        known = set(kept)
-        strong = F.array(*[F.lit(t) for t in kept[:256]])
-        # the first pass's terms are not counted, so they take no room from those found only here
-        kept += _association(rows.filter(F.arrays_overlap("terms", strong)), max_terms, min_z, known)
+        strong = F.array(*[F.lit(t) for t in kept[:openers]])
+        kept += _association(rows.filter(F.arrays_overlap("terms", strong)), min_z, set(kept))
     hashes = np.array(kept, np.int64).view(np.uint64)
     number = np.argsort(hashes)
     terms = hashes[number]
@@ -149,13 +154,17 @@ def fit(rows: DataFrame, max_terms: int = MAX_TERMS, min_z: float = MIN_Z, facto
         turn = rng.permutation(len(y))
         for a in range(0, len(turn), BATCH):
             rows_ = turn[a:a + BATCH]
-            m = np.zeros((len(rows_), len(kept)))
-            m[np.repeat(np.arange(len(rows_)), [len(x[r]) for r in rows_]), np.concatenate([x[r] for r in rows_])] = 1.0
-            s = m @ v
-            p = 1 / (1 + np.exp(-(b + m @ w + 0.5 * ((s ** 2).sum(axis=1) - m @ (v ** 2).sum(axis=1)))))
+            size = np.array([len(x[r]) for r in rows_])
+            doc, t = np.repeat(np.arange(len(rows_)), size), np.concatenate([x[r] for r in rows_])
+
+            def total(values, by=doc, n=len(rows_)):  # sums of rows of ``values`` by document or term
+                return np.stack([np.bincount(by, c, minlength=n) for c in values.T], axis=1) if values.ndim > 1 else np.bincount(by, values, minlength=n)
+
+            s = total(v[t])
+            p = 1 / (1 + np.exp(-(b + total(w[t]) + 0.5 * ((s ** 2).sum(axis=1) - total((v[t] ** 2).sum(axis=1))))))
             e = (p - y[rows_]) / len(rows_)
-            dw = m.T @ e
-            dv = m.T @ (e[:, None] * s) - dw[:, None] * v + L2 * v
+            dw = total(e[doc], t, len(kept))
+            dv = total(e[doc, None] * s[doc], t, len(kept)) - dw[:, None] * v + L2 * v
             dw, db = dw + L2 * w, float(e.sum())
             gb, gw, gv = gb + db ** 2, gw + dw ** 2, gv + dv ** 2
             b -= RATE * db / gb ** 0.5

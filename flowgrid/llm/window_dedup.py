@@ -13,7 +13,7 @@ grouped per document and joined with the texts once.
 Edge cases: null text has no words; documents shorter than a window lose
 nothing; blanks between words are not compared; a null doc_id sorts before all
 others; rows that repeat doc_id and text are one document and get the same
-result each; a doc_id with different texts is ordered by the texts' checksum.
+result each; a doc_id with different texts is ordered by the texts' hash.
 Extra columns are ignored; an empty table gives an empty result.
 """
 

@@ -5,8 +5,11 @@ import random
 import re
 import zlib
 
+import xxhash
+
 BLANK = re.compile(r"[\x20\x09-\x0D]+")
-CLASH = ["_id", "_text", "_key", "id", "n", "size", "slot", "shard", "hits", "sources", "component", "_runs", "key", "_h", "site"]
+CLASH = ["_id", "_text", "_key", "id", "n", "size", "slot", "shard", "hits", "sources", "component", "_runs", "key", "_h", "site", "__slot", "__shard", "a.b", "c0",
+         "_src", "_n", "_pid", "place", "k_0"]
 
 
 def words(text):
@@ -43,7 +46,7 @@ def table(spark, rows, clash=False, schema="doc_id long, text string, lang strin
     df = spark.createDataFrame(rows, schema)
     if clash:
         from pyspark.sql import functions as F
-        df = df.withColumns({c: F.lit("clash") for c in CLASH})
+        df = df.withColumns({c: F.lit("clash") for c in CLASH if c not in df.columns})
     return df
 
 
@@ -51,11 +54,17 @@ def prose(rng, n, vocabulary=400):
     return " ".join(f"w{int(vocabulary * rng.random() ** 2)}" for _ in range(n))
 
 
+def text_key(text):
+    """The signed 64-bit hash that orders texts of one id."""
+    h = xxhash.xxh64_intdigest((text or "").encode(), 42)
+    return h - (1 << 64) if h >> 63 else h
+
+
 def late_windows(rows, window, firsts=False):
     """{(doc_id, text): starts of windows whose words also start earlier}, and
     those that are the first of several."""
     first, out = {}, {}
-    docs = sorted({(r[0], r[1]) for r in rows}, key=lambda d: (d[0] is not None, d[0] or 0, zlib.crc32((d[1] or "").encode())))
+    docs = sorted({(r[0], r[1]) for r in rows}, key=lambda d: (d[0] is not None, d[0] or 0, text_key(d[1])))
     heads = {d: set() for d in docs}
     for d in docs:
         w = words(d[1])

@@ -5,6 +5,7 @@ from collections import Counter, defaultdict
 from math import log10
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -155,13 +156,57 @@ def test_pairs_are_learned(spark):
     assert auc(s, y) > 0.97 and ((s >= 0.5) == y).mean() > 0.95
 
 
-def test_conditional_terms_have_their_own_room(spark):
-    """Term 3 matters only next to term 1; terms 1 and 2 fill the first pass."""
+def test_conditional_terms(spark):
+    """Term 3 matters only next to term 1: alone it tells nothing."""
     rows = [(1, [1, 3])] * 300 + [(1, [2])] * 300 + [(0, [1])] * 100 + [(0, [3])] * 300 + [(0, [])] * 200
-    model = toxicity_fm.fit(spark.createDataFrame(rows, "y int, terms array<long>"), max_terms=2)
+    model = toxicity_fm.fit(spark.createDataFrame(rows, "y int, terms array<long>"))
     assert len(model.weight) == 3
 
 
+def test_no_cap_on_terms(spark):
+    """Every significant term is in the model, however many there are."""
+    rows = [(i % 2, [j * 2 + i % 2 for j in range(1500)] + [5000 + i]) for i in range(120)]
+    model = toxicity_fm.fit(spark.createDataFrame(rows, "y int, terms array<long>"), epochs=1)
+    assert len(model.weight) == 3000
+
+
+def test_fit_is_bounded_by_rows(spark):
+    """One id on many rows: its texts count towards the bound, repeats once."""
+    rows = [(7, f"text number {i}", "en", "a") for i in range(600)] + [(8, "the same", "en", "a")] * 500 + [(9, "other", "en", "a"), (10, None, "en", "a")]
+    lab = spark.createDataFrame([(7, 1), (8, 0), (9, 0), (10, 1)], "doc_id long, toxic int")
+    drawn = toxicity_fm.training_rows(table(spark, rows), lab, F.lit(True), "toxic", "doc_id", "text", 200)
+    assert drawn.count() == 200
+    assert toxicity_fm.training_rows(table(spark, rows), lab, F.lit(True), "toxic", "doc_id", "text", 10_000).count() == 603
+
+
+def test_margins_are_the_explicit_pair_sum():
+    rng = np.random.default_rng(5)
+    terms = np.sort(rng.integers(1, 1 << 62, 40).astype(np.uint64))
+    model = toxicity_fm.Model(terms, rng.permutation(40), 0.3, rng.normal(size=40), rng.normal(size=(40, 4)))
+    docs = [list(rng.choice(terms, rng.integers(0, 15))) + [np.uint64(3)] for _ in range(30)]  # repeats and an unknown term
+    doc = np.repeat(np.arange(30), [len(d) for d in docs])
+    got = toxicity_fm.margins(model, doc, np.concatenate(docs).astype(np.uint64), 30)
+    for d, y in zip(docs, got):
+        t = [int(model.number[np.searchsorted(terms, x)]) for x in sorted(set(d)) if x in terms]
+        want = model.bias + sum(model.weight[i] for i in t) + sum(
+            float(model.factors[a] @ model.factors[b]) for k, a in enumerate(t) for b in t[k + 1:])
+        assert y == pytest.approx(want, abs=1e-9)
+
+
+def test_stems_end_at_characters():
+    texts = ["ééééééé abcdefg", "äbcde äbcdef 日本語日本語"]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["_text"])
+    (_, _, doc, term), = toxicity_fm._terms(batch)
+    # 5 words and the stems of those over five characters
+    assert len(term) == 5 + 4
+    stems = set(term[5:].tolist())
+    want = []
+    for w in ("ééééé", "abcde", "äbcde", "日本語日本"):
+        data = np.frombuffer(w.encode(), np.uint8)
+        want.append(int(tx.mix(tx.word_hashes(tx.words(data, np.array([0, len(data)]), tx.ALNUM)))[0]))
+    assert stems == set(want)
+
+
 def test_long_clean_text_holds_no_term(spark):
     """Many unknown words don't add up to known ones."""
     rng = random.Random(14)

@@ -7,7 +7,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from flowgrid.llm import line_dedup, mixing, sharding
+from flowgrid.llm import line_dedup, mixing, sharding, spread
 from flowgrid.llm import quality_rules as qr
 from tests.llm.helpers import edge_rows, prose, table, words
 
@@ -140,16 +140,14 @@ def taken_plainly(rows, seed=mixing.SEED):
     return out, goal
 
 
-def test_mix(spark, monkeypatch):
+def test_mix(spark):
     rng = random.Random(3)
     rows = edge_rows()[:3] + edge_rows()[5:] + [(i, prose(rng, rng.randrange(0, 60)), "en", rng.choice(["a", "b", "c", "d", None])) for i in range(20, 900)]
     expected, goal = taken_plainly(rows)
-    for bin_docs in (4096, 20):
-        monkeypatch.setattr(mixing, "BIN_DOCS", bin_docs)
-        out = mixing.mix(table(spark, rows, clash=True), F.array("source")).collect()
-        got = Counter((r["doc_id"], r["size"], r["sources"][0], r["taken"]) for r in out)
-        assert got == expected
-        assert all(r["target"][0] == pytest.approx(goal[r["sources"][0]]) for r in out)
+    out = mixing.mix(table(spark, rows, clash=True), F.array("source")).collect()
+    got = Counter((r["doc_id"], r["size"], r["sources"][0], r["taken"]) for r in out)
+    assert got == expected
+    assert all(r["target"][0] == pytest.approx(goal[r["sources"][0]]) for r in out)
     assert mixing.mix(table(spark, rows).limit(0), F.array("source")).count() == 0
     df = table(spark, rows, clash=True)
     copies = mixing.repeat_documents(df, F.array("source"))
@@ -167,6 +165,70 @@ def test_mix_overlapping(spark):
     assert all(r["taken"] == 0 for r in out if not r["sources"])
 
 
+def test_mix_of_fifty_thousand_sources(spark):
+    rng = random.Random(9)
+    rows = [(i, "w " * rng.randrange(0, 9), "en", f"site-{i % 50_000}") for i in range(60_000)]
+    expected, goal = taken_plainly_fast(rows)
+    out = mixing.mix(table(spark, rows), F.array("source")).collect()
+    assert Counter((r["doc_id"], r["size"], r["sources"][0], r["taken"]) for r in out) == expected
+    assert all(r["target"][0] == pytest.approx(goal[r["sources"][0]]) for r in out)
+
+
+def taken_plainly_fast(rows):
+    """``taken_plainly`` source by source."""
+    by = defaultdict(list)
+    for r in rows:
+        by[r[3]].append(r)
+    sizes = {s: sum(len(words(r[1])) for r in mine) for s, mine in by.items()}
+    goal = mixing.targets(sizes, mixing.cycle_weights(list(sizes)), 1.5 * sum(sizes.values()))
+    out = Counter()
+    for s, mine in by.items():
+        full, rest = divmod(int(goal[s] + 0.5), sizes[s]) if sizes[s] else (0, 0)
+        for r in sorted(mine, key=lambda r: hashlib.md5(f"{mixing.SEED}:{r[0]}".encode()).hexdigest()):
+            n = len(words(r[1]))
+            extra = min(n, rest)
+            rest -= extra
+            out[(r[0], n, s, full * n + extra)] += 1
+    return out, goal
+
+
+def test_mix_competing_and_lone_patterns(spark):
+    """Lone sources go by joins, competing ones by the flow: as the flow alone."""
+    rng = random.Random(4)
+    kinds = [["a"], ["a", "b"], ["b", "c"], ["d"], ["e"], [None], [None, "f"], ["g"], []]
+    rows = [(i, "w " * rng.randrange(1, 30), rng.choice(kinds)) for i in range(500)]
+    out = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, tags array<string>"), F.col("tags")).collect()
+    sizes, taken = Counter(), Counter()
+    for r in out:
+        sizes[tuple(r["sources"])] += r["size"]
+        taken[tuple(r["sources"])] += r["taken"]
+        assert r["taken"] <= 2 * r["size"]
+    source = Counter()
+    for p, n in sizes.items():
+        for x in p:
+            source[x] += n
+    goal = mixing.targets(dict(source), mixing.cycle_weights(list(source)), 1.5 * sum(sizes.values()))
+    for r in out:
+        assert list(r["target"]) == pytest.approx([goal[x] for x in r["sources"]]) and list(r["source_size"]) == [source[x] for x in r["sources"]]
+    flow = mixing.route(dict(sizes), {x: int(g + 0.5) for x, g in goal.items()})
+    assert sum(taken.values()) == sum(sum(f.values()) for f in flow.values())
+    for p in [("d",), ("e",), ("g",)]:
+        assert taken[p] == sum(flow[p].values())
+
+
+def test_a_hot_id_is_spread(spark):
+    rows = [(5 if i % 3 == 0 else i, f"w{i} " * (i % 7), "en", "a") for i in range(9000)]
+    docs = table(spark, rows)
+    thin = docs.select(F.lit("k").alias("g"), F.md5(F.col("doc_id").cast("string")).alias("h"), F.xxhash64("text").alias("t"), F.length("text").cast("long").alias("n"))
+    dealt = spread.running(thin, "g", ["h", "t"], sums=["n"])
+    at = spark.read.parquet(next(f for f in dealt.inputFiles()).rsplit("/", 1)[0])
+    per = sorted(r["count"] for r in at.groupBy("_pid").count().collect())
+    assert max(per) <= 2 * per[len(per) // 2]
+    expected, _ = taken_plainly(rows)
+    got = Counter((r["doc_id"], r["size"], r["sources"][0]) for r in mixing.mix(docs, F.array("source")).collect())
+    assert sum(got.values()) == sum(expected.values()) == 9000
+
+
 def test_lines(spark):
     rng = random.Random(4)
     common = ["shared header", "  shared footer\t", "seen twice"]

@@ -221,3 +221,48 @@ def test_contamination(spark, max_patterns):
     assert Counter(r["doc_id"] for r in clean.collect()) == Counter(k[0] for k in want.elements() if not k[2])
     assert contamination.find_contamination(df, bench.limit(0)).filter("n_hit > 0").count() == 0
     assert contamination.find_contamination(df.limit(0), bench).count() == 0
+
+
+def colliding(n=2):
+    """Different texts with one CRC-32."""
+    import zlib
+    rng, seen = random.Random(6), {}
+    while True:
+        t = " ".join(f"q{rng.randrange(10**6)}" for _ in range(30))
+        other = seen.setdefault(zlib.crc32(t.encode()), t)
+        if other != t:
+            return other, t
+
+
+def test_texts_of_one_id_with_one_checksum(spark):
+    """The text without a repeat loses nothing to the one that has some."""
+    a, b = colliding()
+    first = " ".join(a.split()[:25])
+    for i in (None, 4):
+        rows = [(1, first, "en", "x"), (i, a, "en", "x"), (i, b, "en", "x")]
+        if i is None:
+            rows[0] = (None, first, "en", "x")
+        late = late_windows(rows, 20)
+        out = window_dedup.remove_repeats(table(spark, rows), with_text=True).collect()
+        got = Counter((r["n_words"], r["n_removed"]) for r in out)
+        want = Counter()
+        for _, t, *_ in rows:
+            w, s = t.split(), late[(i if t != first or i is None else 1, t)]
+            want[len(w), len({k + j for k in s for j in range(20)})] += 1
+        assert got == want and want[30, 0] >= 1
+
+
+def test_null_ids_are_near_deduplicated(spark):
+    rng = random.Random(8)
+    t, u = prose(rng, 60, 5000), prose(rng, 60, 5000)
+    rows = [(None, t, "en", "a"), (None, t, "en", "b"), (None, u, "en", "a"), (3, u, "en", "a"), (None, None, "en", "a"), (None, None, "en", "b"), (9, "", "en", "c")]
+    kept = near_dup.keep_documents(table(spark, rows, clash=True))
+    assert kept.columns == table(spark, rows, clash=True).columns
+    assert Counter((r["doc_id"], r["text"]) for r in kept.collect()) == Counter([(None, t), (3, u), (None, None), (9, "")])
+
+
+def test_decontamination_keeps_any_names(spark):
+    docs = table(spark, [(1, "one two three", "en", "a"), (2, None, "en", "a"), (3, "x " + "b c d " * 5, "en", "a")], clash=True)
+    bench = spark.createDataFrame([("i", "b c d b c d b c d b")], "item_id string, text string")
+    out = contamination.drop_contaminated(docs, bench)
+    assert out.columns == docs.columns and sorted(r["doc_id"] for r in out.collect()) == [1, 2]
