@@ -111,6 +111,7 @@ def weather_hourly_filled(wh: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------------------
 # Grid
 # ---------------------------------------------------------------------------
+#: fixed values: the columns of the grid table, in its order
 GRID_COLUMNS = ["station_id", "date_hour", "year", "month", "day", "hour", "temp", "precipitation_total",
                 "relative_humidity", "average_wind_speed", "num_bikes_taken_lag_1", "num_bikes_dropped_lag_1",
                 "net_flow_lag_1", "net_flow_lag_2", "net_flow_lag_24", "net_flow_roll_3", "net_flow_roll_24",

@@ -10,7 +10,6 @@ from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from flowgrid.functions.columns import hour_band
 from flowgrid.operators.joins import with_scalars
@@ -180,6 +179,3 @@ def duplicate_rows(df: DataFrame, key: Sequence[str]) -> DataFrame:
     key is skewed.  No window holds a whole key group in one task."""
     dup = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
     return df.join(dup, list(key), "left_semi")
-
-
-_ = T  # typing helper re-export

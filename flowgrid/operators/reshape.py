@@ -77,7 +77,7 @@ def unpivot(df: DataFrame, cast_to: str = "string", exclude: Sequence[str] = (),
 
 def union_relations(relations: dict[str, DataFrame], include: Sequence[str] | None = None,
                     exclude: Sequence[str] | None = None, column_override: dict[str, str] | None = None,
-                    source_column_name: str | None = "_dbt_source_relation", where: str | None = None) -> DataFrame:
+                    source_column_name: str | None = "_source_relation", where: str | None = None) -> DataFrame:
     """Union relations with different columns: superset of columns (first
     seen order), missing -> null, type overrides, optional include/exclude
     (not both) and a source-name column."""

@@ -225,6 +225,7 @@ def q_weather_code_label(spark, sf_dir):
     return w.groupBy("coco", weather_code_label("coco").alias("coco_label")).agg(F.count(F.lit(1)).alias("n_hours"))
 
 
+#: fixed values: the columns of the feature table, in its order
 FEATURES = ["station_id", "date_hour", "year", "month", "day", "hour", "temp", "precipitation_total",
             "relative_humidity", "average_wind_speed", "num_bikes_taken_lag_1", "num_bikes_dropped_lag_1",
             "net_flow_lag_1", "net_flow_lag_2", "net_flow_lag_24", "net_flow_roll_3", "net_flow_roll_24",

@@ -179,7 +179,7 @@ def q_distinct_rows(spark, sf_dir):
     return T(spark, sf_dir, "lineitem").select("l_returnflag", "l_linestatus").distinct()
 
 
-UNION_REL_SQL = """SELECT 'orders' AS _dbt_source_relation, o_orderkey AS order_key, o_totalprice AS amount,
+UNION_REL_SQL = """SELECT 'orders' AS _source_relation, o_orderkey AS order_key, o_totalprice AS amount,
   o_orderdate AS event_date, CAST(NULL AS DOUBLE) AS quantity FROM orders
 UNION ALL SELECT 'lineitem', l_orderkey, l_extendedprice, l_shipdate, l_quantity FROM lineitem"""
 
