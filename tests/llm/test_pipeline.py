@@ -13,7 +13,7 @@ from tests.llm.test_native import measured, taken_plainly
 
 
 def test_registered():
-    names = [f"op{n}_" for n in range(1, 11)]
+    names = [f"op{n}_" for n in range(1, 14)]
     assert all(any(q.startswith(n) for q in queries.QUERIES) for n in names)
     assert set(queries.QUERIES) | {"pipeline"} <= set(entry.queries())
     assert set(queries.ORACLES) <= set(entry.oracle_sql())
@@ -100,3 +100,16 @@ def test_mix_repeats_follow_the_plan(spark):
     docs = spark.createDataFrame([(i, "w " * 10, "en", "a", 20) for i in range(50)], "doc_id long, text string, lang string, source string, n_chars long")
     out = mixing.repeat_documents(docs, F.array("source"))
     assert out.count() == 75 and out.columns == docs.columns
+
+
+def test_pipeline_on_nothing(spark, tmp_path):
+    """An empty table stays empty through all stages; so does one of which the rules keep nothing."""
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    spark.createDataFrame([("b", "some benchmark words here to match against nothing at all now")], "item_id string, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    for name, rows in (("none", []), ("short", [(1, "too short", "en", "a", 9), (None, None, None, None, None)])):
+        folder = tmp_path / name
+        folder.mkdir()
+        spark.createDataFrame(rows, schema).write.parquet(f"{folder}/documents.parquet")
+        spark.read.parquet(f"{tmp_path}/benchmark.parquet").write.parquet(f"{folder}/benchmark.parquet")
+        out = corpus_pipeline.run(spark, str(folder))
+        assert out.count() == 0 and set(out.columns) == {"doc_id", "text", "lang", "source", "n_chars", "slot", "shard"}
