@@ -61,14 +61,14 @@ def test_pipeline(spark, tmp_path):
 
 
 def test_near_duplicates_keep_all_texts_of_an_id(spark):
-    """A placeholder id with unrelated texts: each stays, copies of them go."""
+    """A placeholder id with unrelated texts: each stays, copies of them go, those without an id too."""
     rng = random.Random(22)
     texts = [prose(rng, 80, 20_000) for _ in range(40)]
     rows = ([(0, t, "en", "a") for t in texts[:30]] + [(0, texts[0], "en", "b"), (0, None, "en", "a"), (None, texts[1], "en", "a")]
             + [(i, t, "en", "a") for i, t in enumerate(texts[20:], 100)] + [(-5, texts[2] + " end", "en", "a"), (500, texts[3] + " end", "en", "a")])
     docs = spark.createDataFrame([(*r, 0) for r in rows], "doc_id long, text string, lang string, source string, n_chars long").repartition(4)
     out = corpus_pipeline.near_duplicates(spark, docs, "")
-    want = ([(0, t) for i, t in enumerate(texts[:30]) if i != 2] + [(0, None), (None, texts[1]), (-5, texts[2] + " end")]
+    want = ([(0, t) for i, t in enumerate(texts[:30]) if i != 2] + [(0, None), (-5, texts[2] + " end")]
             + [(i, t) for i, t in enumerate(texts[20:], 100) if t not in texts[:30]])
     assert out.columns == docs.columns
     assert sorted((str(r[0]), str(r[1])) for r in out.collect()) == sorted((str(a), str(b)) for a, b in want)
