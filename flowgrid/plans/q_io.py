@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from flowgrid.functions.columns import hour_floor, normalize_station_id
 from flowgrid.functions.dates import ntz_lit
 from flowgrid.operators import clean, flow
-from flowgrid.operators.joins import bounded_broadcast
+from flowgrid.operators.joins import bounded_broadcast, shuffled
 from flowgrid.plans import sqlparts as S
 from flowgrid.plans.adapters import n_stations, sql_station_index, station_index
 from flowgrid.plans.q_drift import PERIOD_SQL, predictions
@@ -421,7 +421,7 @@ LEFT JOIN g_grid g ON g.station_id = rq.station_id AND g.date_hour = rq.date_hou
 def q_recommend_action(spark, sf_dir):
     a = availability(spark, sf_dir)
     g = grid(spark, sf_dir).select("station_id", "date_hour", F.coalesce("net_flow_roll_24", F.lit(0.0)).alias("pf"))
-    j = a.join(g, ["station_id", "date_hour"], "left")
+    j = a.join(shuffled(g), ["station_id", "date_hour"], "left")
     pred = F.coalesce(F.col("pf"), F.lit(0.0))
     return j.select("request_id", "action", pred.alias("predicted_flow"),
                     decision(F.col("action"), F.col("num_bikes_available"), F.col("num_docks_available"), pred)
