@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from flowgrid.operators import drift
 from flowgrid.plans.q_grid import G, grid
 from flowgrid.plans.registry import query
-from flowgrid.operators.joins import with_scalars
+from flowgrid.operators.joins import shuffled, with_scalars
 
 PERIOD_SQL = "CASE WHEN year = 2024 AND month = 1 THEN 'reference' WHEN year = 2024 AND month = 2 THEN 'current' END"
 RES_SQL = f"""r_res AS (SELECT station_id, date_hour, hour, month, jour_semaine, {PERIOD_SQL} AS period,
@@ -67,7 +67,7 @@ def joined(spark, sf_dir) -> DataFrame:
     a = r.select("station_id", "date_hour", "hour", "month", "jour_semaine", "actual")
     p = r.select("station_id", "hour", "month", "jour_semaine", F.col("date_hour").alias("request_datetime"),
                  "prediction")
-    return a.join(p, ["station_id", "hour", "month", "jour_semaine"]).where(F.col("prediction").isNotNull()) \
+    return a.join(shuffled(p), ["station_id", "hour", "month", "jour_semaine"]).where(F.col("prediction").isNotNull()) \
         .select("station_id", "date_hour", "request_datetime", "actual", "prediction")
 
 
@@ -83,7 +83,7 @@ def q_join_actuals_predictions_exact(spark, sf_dir):
     """Each actual with the prediction for its very hour (unique key)."""
     a = residuals(spark, sf_dir).where("period = 'current'").select("station_id", "date_hour", "actual")
     p = predictions(spark, sf_dir).select("station_id", F.col("request_datetime").alias("date_hour"), "prediction")
-    return a.join(p.where(F.col("prediction").isNotNull()), ["station_id", "date_hour"])
+    return a.join(shuffled(p.where(F.col("prediction").isNotNull())), ["station_id", "date_hour"])
 
 
 def _metrics_sql(src: str, y: str, yhat: str) -> str:

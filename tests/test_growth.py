@@ -6,7 +6,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from flowgrid.plans import q_io
+from flowgrid.plans import q_drift, q_grid, q_io
 
 
 @pytest.fixture(scope="module")
@@ -28,3 +28,10 @@ def test_requests_meet_the_grid_without_a_broadcast_of_it(spark, feed):
     df = q_io.q_recommend_action(spark, feed)
     assert broadcasts(df) == 1  # the stations, counted before
     assert df.count() == 1600
+
+
+def test_joins_of_grid_rows_do_not_trust_the_file_size(spark, feed):
+    for q in (q_drift.q_join_actuals_predictions_exact, q_drift.q_join_actuals_predictions, q_grid.q_anti_missing_rows):
+        df = q(spark, feed)
+        assert broadcasts(df) == 0
+        assert df.count() > 0
