@@ -6,6 +6,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from flowgrid.operators import learn
 from flowgrid.plans import q_drift, q_grid, q_io
 
 
@@ -35,3 +36,15 @@ def test_joins_of_grid_rows_do_not_trust_the_file_size(spark, feed):
         df = q(spark, feed)
         assert broadcasts(df) == 0
         assert df.count() > 0
+
+
+def test_vectors_are_read_as_stored(spark):
+    from pyspark.ml.linalg import DenseVector, SparseVector, VectorUDT
+    from pyspark.sql import types as T
+    rows = [(0, SparseVector(4, {1: 1.0, 3: 2.5})), (1, DenseVector([0.0, 7.0, -1.0])), (2, SparseVector(5, [], [])),
+            (3, SparseVector(4, [0, 2], [0.0, 3.0])), (4, SparseVector(10 ** 9, {999_999_999: 1.0}))]  # the last fits nowhere densely
+    schema = T.StructType([T.StructField("k", T.IntegerType()), T.StructField("x", VectorUDT())])
+    df = spark.createDataFrame(rows, schema)
+    got = df.select("k", learn.vector_width("x"), learn.vector_slots("x")).orderBy("k").collect()
+    assert [tuple(r) for r in got] == [(0, 4, "1:1.0,3:2.5"), (1, 3, "1:7.0,2:-1.0"), (2, 5, ""), (3, 4, "2:3.0"),
+                                       (4, 10 ** 9, "999999999:1.0")]
