@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from flowgrid.operators import learn
-from flowgrid.plans import q_drift, q_grid, q_io
+from flowgrid.plans import q_drift, q_grid, q_io, q_learn
 
 
 @pytest.fixture(scope="module")
@@ -48,3 +48,9 @@ def test_vectors_are_read_as_stored(spark):
     got = df.select("k", learn.vector_width("x"), learn.vector_slots("x")).orderBy("k").collect()
     assert [tuple(r) for r in got] == [(0, 4, "1:1.0,3:2.5"), (1, 3, "1:7.0,2:-1.0"), (2, 5, ""), (3, 4, "2:3.0"),
                                        (4, 10 ** 9, "999999999:1.0")]
+
+
+def test_features_are_never_made_dense(spark, feed):
+    df = q_learn.q_feature_pipeline(spark, feed)
+    assert "vector_to_array" not in df._jdf.queryExecution().analyzed().toString()
+    assert df.where("n_nonzero > n_features").count() == 0 and df.count() > 0
