@@ -42,40 +42,43 @@ def regression_metrics(df: DataFrame, y: str, yhat: str, digits: int | None = No
 def fanout_metrics(actuals: DataFrame, preds: DataFrame, keys: Sequence[str], y: str, yhat: str,
                    digits: int | None = None) -> DataFrame:
     """``regression_metrics`` over ``actuals JOIN preds ON keys`` (every match
-    kept, null predictions dropped) without emitting the pairs.  Per key:
-    counts, sums and sums of squares of both sides give n, SSE, the mean and
-    SST; the sum of |a - p| over a key's pairs comes from a running count and
-    sum of the actuals in value order (for each prediction p:
-    p*c - s + (S - s) - p*(N - c)), a window over one key's rows only."""
+    kept, null predictions dropped) without emitting the pairs.  Both sides
+    are dealt by key once.  Per key: counts, sums and sums of squares of both
+    sides give n, SSE, the mean and SST; the sum of |a - p| over a key's pairs
+    comes from a running count and sum of the actuals in value order (for each
+    prediction p: p*c - s + (S - s) - p*(N - c)), a window over one key's rows
+    only."""
     keys = list(keys)
     # both sides relative to the mean actual: differences stay, squares stay small
     centre = F.coalesce(actuals.agg(F.avg(F.col(y).cast("double"))).scalar(), F.lit(0.0))
     a = actuals.select(*keys, (F.col(y).cast("double") - centre).alias("_v"), F.lit(1).alias("_isa"))
     p = preds.where(F.col(yhat).isNotNull()).select(*keys, (F.col(yhat).cast("double") - centre).alias("_v"),
                                                    F.lit(0).alias("_isa"))
-    sa = a.groupBy(*keys).agg(F.count(F.lit(1)).alias("_na"), F.sum("_v").alias("_sa"),
-                              F.sum(F.col("_v") * F.col("_v")).alias("_sa2"))
-    w = Window.partitionBy(*keys).orderBy(F.col("_v"), F.col("_isa").desc()) \
-        .rowsBetween(Window.unboundedPreceding, 0)
-    u = a.unionByName(p).withColumns({"_c": F.sum("_isa").over(w),
-                                      "_s": F.sum(F.when(F.col("_isa") == 1, F.col("_v")).otherwise(0.0)).over(w)})
-    pr = u.where(F.col("_isa") == 0).join(sa, keys)  # keys present on both sides only
-    pv, c, s_le = F.col("_v"), F.col("_c"), F.col("_s")
-    absum = pv * c - s_le + (F.col("_sa") - s_le) - pv * (F.col("_na") - c)
-    k = pr.groupBy(*keys).agg(F.first("_na").alias("_na"), F.first("_sa").alias("_sa"), F.first("_sa2").alias("_sa2"),
-                              F.count(F.lit(1)).alias("_np"), F.sum("_v").alias("_sp"),
-                              F.sum(pv * pv).alias("_sp2"), F.sum(absum).alias("_abs"))
-    na, np_, sa_, sp_ = F.col("_na"), F.col("_np"), F.col("_sa"), F.col("_sp")
+    w = Window.partitionBy(*keys).orderBy(F.col("_v"), F.col("_isa").desc())
+    upto, whole = w.rowsBetween(Window.unboundedPreceding, 0), Window.partitionBy(*keys)
+    isa, pv = F.col("_isa") == 1, F.col("_v")
+    act, pred = F.when(isa, pv), F.when(~isa, pv)
+    u = a.unionByName(p).dropna(subset=keys).withColumns({  # a null key meets nothing
+        "_c": F.sum("_isa").over(upto), "_s": F.coalesce(F.sum(act).over(upto), F.lit(0.0)),
+        "_na": F.sum("_isa").over(whole), "_sa": F.sum(act).over(whole)})
+    na, sa = F.col("_na"), F.col("_sa")
+    absum = F.when(~isa, pv * F.col("_c") - F.col("_s") + (sa - F.col("_s")) - pv * (na - F.col("_c")))
+    k = u.groupBy(*keys).agg(F.sum("_isa").alias("_na"), F.sum(act).alias("_sa"), F.sum(act * act).alias("_sa2"),
+                             F.count(act).alias("_nv"), F.var_pop(act).alias("_var"), F.min(act).alias("_lo"), F.max(act).alias("_hi"),
+                             F.count(pred).alias("_np"), F.sum(pred).alias("_sp"), F.sum(pred * pred).alias("_sp2"), F.sum(absum).alias("_abs"))
+    k = k.where((F.col("_na") > 0) & (F.col("_np") > 0))  # keys present on both sides only
+    np_, sp = F.col("_np"), F.col("_sp")
+    # SST about the mean of all pairs, within keys and between their means
+    # (exactly 0 for a constant target): each actual weighs as many pairs as
+    # its key has predictions
+    nv = F.col("_nv")
     t = k.agg(F.coalesce(F.sum(na * np_), F.lit(0)).alias("n"),
-              F.sum(np_ * F.col("_sa2") - 2 * sa_ * sp_ + na * F.col("_sp2")).alias("_sse"),
-              F.sum(F.col("_abs")).alias("_abs"),
-              F.try_divide(F.sum(np_ * sa_), F.sum(na * np_).cast("double")).alias("_ybar"))
-    # SST directly (exactly 0 for a constant target): each actual weighs as
-    # many pairs as its key has predictions
-    ybar = t.select("_ybar").scalar()
-    sst_f = a.join(k.select(*keys, "_np"), keys).agg(
-        F.sum(F.col("_np") * (F.col("_v") - ybar) * (F.col("_v") - ybar)).alias("_sst"))
-    t = with_scalars(t, sst_f)
+              F.sum(np_ * F.col("_sa2") - 2 * sa * sp + na * F.col("_sp2")).alias("_sse"), F.sum("_abs").alias("_abs"),
+              F.sum(np_ * nv * F.col("_var")).alias("_within"), F.sum(F.try_divide(np_ * sa * sa, nv)).alias("_means"),
+              F.sum(np_ * sa).alias("_sum"), F.sum(np_ * nv).alias("_w"), (F.min("_lo") == F.max("_hi")).alias("_one"))
+    ybar = F.try_divide(F.col("_sum"), F.col("n").cast("double"))
+    between = F.greatest(F.col("_means") - 2 * ybar * F.col("_sum") + ybar * ybar * F.col("_w"), F.lit(0.0))
+    t = t.withColumn("_sst", F.when(F.col("_one") & (F.col("_within") == 0), F.lit(0.0)).otherwise(F.col("_within") + between))
     n = F.col("n").cast("double")
     sst = F.col("_sst")
     sse = F.greatest(F.col("_sse"), F.lit(0.0))

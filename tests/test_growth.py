@@ -6,7 +6,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from flowgrid.operators import learn
+from flowgrid.operators import drift, learn
 from flowgrid.plans import q_drift, q_grid, q_io, q_learn
 
 
@@ -54,3 +54,21 @@ def test_features_are_never_made_dense(spark, feed):
     df = q_learn.q_feature_pipeline(spark, feed)
     assert "vector_to_array" not in df._jdf.queryExecution().analyzed().toString()
     assert df.where("n_nonzero > n_features").count() == 0 and df.count() > 0
+
+
+def test_fanout_metrics_deal_each_side_once(spark):
+    rows = [(k, float((i * 7 + k) % 5), float(i % 3)) for k in range(6) for i in range(4)]
+    df = spark.createDataFrame(rows + [(None, 3.0, 1.0), (9, None, 2.0), (9, 4.0, None)], "k int, y double, p double")
+    a, p = df.where("k is null or k <> 2").select("k", "y"), df.where("k is null or k <> 3").select("k", "p")
+    got = drift.fanout_metrics(a, p, ["k"], "y", "p", digits=6)
+    plan = got._jdf.queryExecution().sparkPlan().toString()
+    assert "Join" not in plan and plan.count("LocalTableScan") + plan.count("Scan ExistingRDD") == 2
+    pairs = a.join(p.where("p is not null"), "k")
+    want = drift.regression_metrics(pairs.where("y is not null"), "y", "p", digits=6).first()
+    same = drift.fanout_metrics(a.where("y is not null"), p, ["k"], "y", "p", digits=6).first()
+    assert tuple(same) == tuple(want)
+    assert got.first().n == pairs.count()
+    # one actual in every pair, others without a prediction: no spread to explain
+    one = spark.createDataFrame([(k, 0.1) for k in (1, 2, 3) for _ in range(k)] + [(7, 50.0)], "k int, y double")
+    pr = spark.createDataFrame([(1, 1.0), (2, 2.0), (2, 3.0), (3, 0.5)], "k int, p double")
+    assert drift.fanout_metrics(one, pr, ["k"], "y", "p").first().r2 is None
