@@ -72,3 +72,15 @@ def test_fanout_metrics_deal_each_side_once(spark):
     one = spark.createDataFrame([(k, 0.1) for k in (1, 2, 3) for _ in range(k)] + [(7, 50.0)], "k int, y double")
     pr = spark.createDataFrame([(1, 1.0), (2, 2.0), (2, 3.0), (3, 0.5)], "k int, p double")
     assert drift.fanout_metrics(one, pr, ["k"], "y", "p").first().r2 is None
+
+
+def test_saved_and_kept_predictions_meet_without_a_broadcast(spark, feed, monkeypatch):
+    rows = learn.as_training_frame(q_grid.grid(spark, feed))
+    fill = learn.impute_values(rows)
+    model = learn.fit_pipeline(learn.impute(rows, fill), "linear", maxIter=1)
+    monkeypatch.setattr(q_learn, "final_model", lambda *_: (model, fill))
+    df = q_learn.q_final_model_save_load(spark, feed)
+    assert df._jdf.queryExecution().executedPlan().toString().count("BroadcastHashJoin") == 0
+    assert df.first().max_abs_diff == 0.0
+    scored = q_learn.q_batch_forecast(spark, feed)
+    assert "SortMergeJoin" in scored._jdf.queryExecution().sparkPlan().toString() and scored.count() == 1600
