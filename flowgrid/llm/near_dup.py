@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from flowgrid.llm import setsketch as ss
 from flowgrid.llm import text as tx
 from flowgrid.llm.components import components
-from flowgrid.session import materialize
+from flowgrid.session import arrow_batches, materialize
 
 SHINGLE = 5
 PERCENT = 80
@@ -49,13 +49,17 @@ ROWS = 5
 OWN_BLOCK = 256
 ALL_BLOCK = 1024
 _PAIRS = 1 << 14
+#: bytes of a batch of texts, register pairs or set pairs, and of the text sketched at once: what a task holds outside
+#: the heap does not grow with the length of the texts (a batch holds one row at least)
+BATCH_BYTES = 4 << 20
+_TEXT_BYTES = 1 << 20
 
 
 def _sketcher(shingle: int, m: int):
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = tx.utf8(batch.column("_text"))
-            for lo, hi in tx.spans(offsets):
+            for lo, hi in tx.spans(offsets, _TEXT_BYTES):
                 w = tx.words(*tx.part(data, offsets, lo, hi), tx.NON_BLANK, lower=True)
                 e, p = ss.shingle_sets(tx.word_hashes(w), w.ptr, shingle)
                 reg = ss.registers(e, p, m)
@@ -71,7 +75,7 @@ def _setter(shingle: int):
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = tx.utf8(batch.column("_text"))
-            for lo, hi in tx.spans(offsets):
+            for lo, hi in tx.spans(offsets, _TEXT_BYTES):
                 w = tx.words(*tx.part(data, offsets, lo, hi), tx.NON_BLANK, lower=True)
                 e, p = ss.shingle_sets(tx.word_hashes(w), w.ptr, shingle)
                 yield pa.RecordBatch.from_arrays(
@@ -225,7 +229,13 @@ _BLOCK_SCHEMA = "key long, i int, j int, id long, component long, n long, band i
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, bands: int = BANDS, rows: int = ROWS,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document row: ``doc_id``, ``n_shingles``, ``component_id`` (smallest
-    id reachable) and ``kept`` (it is that document)."""
+    id reachable) and ``kept`` (it is that document).  Every Python pass runs
+    in here, in batches of bounded size; only joins are left to the caller."""
+    with arrow_batches(docs.sparkSession, BATCH_BYTES):
+        return _near_duplicates(docs, shingle, percent, bands, rows, id_col, text_col)
+
+
+def _near_duplicates(docs: DataFrame, shingle: int, percent: int, bands: int, rows: int, id_col: str, text_col: str) -> DataFrame:
     m = bands * rows
     source = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"))
     sketched = materialize(source.mapInArrow(_sketcher(shingle, m), "id long, n long, digest binary, reg binary"), "sketches")

@@ -72,6 +72,40 @@ def test_near_duplicates_in_blocks(spark, monkeypatch):
     assert 1 < len(set(expected.values())) < 120
 
 
+def test_near_duplicates_in_bounded_batches(spark, monkeypatch):
+    """Long texts and pairs of long sets come in batches of bounded size; the session's own bound is restored."""
+    bound, name = 1 << 16, "spark.sql.execution.arrow.maxBytesPerBatch"
+    monkeypatch.setattr(near_dup, "BATCH_BYTES", bound)
+
+    def watched(real):
+        def made(*options):
+            inner = real(*options)
+
+            def run(batches):
+                def small(b):
+                    assert b.nbytes <= 2 * bound, b.nbytes
+                    return b
+                return inner(small(b) for b in batches)
+            return run
+        return made
+    for step in ("_sketcher", "_setter", "_verify"):
+        monkeypatch.setattr(near_dup, step, watched(getattr(near_dup, step)))
+    rng = random.Random(12)
+    centre = prose(rng, 2000, 100_000)
+    rows = [(i, mutate(rng, centre, 0.01), "en", "a") for i in range(40)] + [(500, centre, "en", "a")]
+    before = spark.conf.get(name, None)
+    for own in (None, str(1 << 30)):
+        if own:
+            spark.conf.set(name, own)
+        try:
+            out = near_dup.near_duplicates(table(spark, rows).coalesce(1), 3, 85).collect()
+            assert {r["doc_id"]: r["component_id"] for r in out} == near_components(rows, 3, 85)
+            assert spark.conf.get(name, None) == (own or before)
+        finally:
+            if own:
+                spark.conf.unset(name)
+
+
 def test_keep_one(spark):
     rows = edge_rows() + near_rows(random.Random(2), 4)
     df = table(spark, rows, clash=True)
