@@ -6,8 +6,9 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from flowgrid.operators import drift, learn
-from flowgrid.plans import q_drift, q_grid, q_io, q_learn
+from flowgrid.functions.columns import normalize_station_id
+from flowgrid.operators import clean, drift, learn, scan
+from flowgrid.plans import adapters, q_drift, q_grid, q_io, q_learn
 
 
 @pytest.fixture(scope="module")
@@ -84,3 +85,38 @@ def test_saved_and_kept_predictions_meet_without_a_broadcast(spark, feed, monkey
     assert df.first().max_abs_diff == 0.0
     scored = q_learn.q_batch_forecast(spark, feed)
     assert "SortMergeJoin" in scored._jdf.queryExecution().sparkPlan().toString() and scored.count() == 1600
+
+
+def test_trips_are_ordered_with_one_shuffle(spark, feed, monkeypatch):
+    written = []
+    monkeypatch.setattr(scan, "materialize", lambda df, name, keep=scan.materialize: written.append(name) or keep(df, name))
+    t = adapters.trips(adapters.table(spark, feed, "events"))
+    assert written == ["large-groups"]  # no user has many events, so no ordered copy of them is written
+    assert t._jdf.queryExecution().sparkPlan().toString().count("Exchange") == 1 and t.count() == 1600
+
+
+def test_large_groups_are_split_and_others_are_not(spark, monkeypatch):
+    rows = [(None if k == 2 else k, (i * 37) % 101, i) for k, n in ((0, 90), (1, 7), (2, 60), (3, 1), (4, 20)) for i in range(n)]
+    df = spark.createDataFrame(rows, "k int, v int, id int")
+    split = []
+    monkeypatch.setattr(scan, "_lead_by_range", lambda d, *a, f=scan._lead_by_range: split.append(d.count()) or f(d, *a))
+    want = sorted(map(tuple, scan.lead_in_order(df, ["k"], ["v", "id"], {"id": "nid"}, skew_safe=False).collect()), key=str)
+    for most, large in ((20, 150), (89, 90), (90, None)):
+        split.clear()
+        got = scan.lead_in_order(df, ["k"], ["v", "id"], {"id": "nid"}, n=5, group_rows=most)
+        assert sorted(map(tuple, got.collect()), key=str) == want
+        assert split == ([large] if large else [])
+
+
+def test_trips_out_of_range_are_not_looked_up(spark, feed):
+    trips = adapters.trips(adapters.table(spark, feed, "events"))
+    plan = clean.clean_trips(trips, adapters.stations(adapters.table(spark, feed, "events")), trims=False) \
+        ._jdf.queryExecution().analyzed().toString()
+    assert plan.index("LeftSemi") < plan.index("substring_index") < plan.index("duration_minutes#", plan.index("substring_index"))
+
+
+def test_station_ids_are_padded_as_before(spark):
+    ids = {"5980.1": "5980.10", "5980.10": "5980.10", "5980": "5980", ".5": ".50", "5980.": "5980.", "a..b": "a..b",
+           "1.2.3": "1.20", "1.23.4": "1.23.4", "": "", ".": ".", None: None}
+    df = spark.createDataFrame([(k, v) for k, v in ids.items()], "k string, v string")
+    assert df.where(~normalize_station_id("k").eqNullSafe(F.col("v"))).count() == 0
